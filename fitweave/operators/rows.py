@@ -30,12 +30,15 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_no") ->
     part = F.shiftright("_at", 33)
     sizes = ordered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     # One row per sorted part: bounded by the number of shuffle partitions.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    starts, start = [], 0
+    for found, size in sizes.orderBy("_part").collect():
+        starts.append((found, start))
+        start += size
+    before = df.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
     within = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         ordered.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")
+        .join(F.broadcast(before), "_part")
         .select(*cols(df.columns), (F.col("_start") + within).alias(name))
     )
 

@@ -24,6 +24,7 @@ from fitweave.operators.dedupe import (
 from fitweave.operators.lists import PAGE_ROWS, ordered_lists
 from fitweave.operators.pivot import pivot_text
 from fitweave.operators.report import vehicle_rows, with_category_cells
+from fitweave.operators.rows import number_rows
 from fitweave.operators.spread import attach_notes, spread_lists
 from fitweave.shared import pinned
 from fitweave.vocabulary import (
@@ -50,30 +51,35 @@ from fitweave.vocabulary import (
 )
 
 VEHICLE = [BRAND, MODEL, ENGINES]
+ROW = "row_no"
+SOURCE_ROW = "source_row"
 
 
 def distinct_fitments(fit: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """First row per vehicle type and article, written once for the steps after it."""
+    """First row per vehicle type and article, numbered in row order.
+
+    Written once; the steps after it order by the one number ``row_no``.
+    """
     columns = [*VEHICLE, TYPE, POWER, PERIOD, CATEGORY, ARTICLE]
     keys = [BRAND, MODEL, ARTICLE, ENGINES, TYPE]
-    return pinned(keep_first(fit.select(*cols([*columns, *order_by])), keys, order_by), "fitments")
+    first = keep_first(fit.select(*cols([*columns, *order_by])), keys, order_by)
+    return number_rows(first, order_by).select(*cols(columns), ROW)
 
 
-def vehicle_names(distinct: DataFrame, order_by: Sequence[str]) -> DataFrame:
+def vehicle_names(distinct: DataFrame) -> DataFrame:
     """First row per vehicle type, with horse power and period."""
-    columns = [*VEHICLE, TYPE, POWER, PERIOD, *order_by]
-    names = keep_first(distinct.select(*cols(columns)), [*VEHICLE, TYPE], order_by)
-    return names.dropna(subset=VEHICLE)
+    names = distinct.select(*cols([*VEHICLE, TYPE, POWER, PERIOD]), ROW)
+    return keep_first(names, [*VEHICLE, TYPE], [ROW]).dropna(subset=VEHICLE)
 
 
-def vehicle_articles(distinct: DataFrame, order_by: Sequence[str]) -> DataFrame:
+def vehicle_articles(distinct: DataFrame) -> DataFrame:
     """First row per vehicle, period, horse power and article.
 
     Type and category are not in the key: an article filed twice counts under
     its first category.
     """
     keys = [*VEHICLE, PERIOD, POWER, ARTICLE]
-    rows = keep_first(distinct.select(*cols([*keys, CATEGORY, *order_by])), keys, order_by)
+    rows = keep_first(distinct.select(*cols([*keys, CATEGORY]), ROW), keys, [ROW])
     return rows.withColumns(
         {
             ARTICLE: required(col(ARTICLE), "an article number is missing"),
@@ -83,18 +89,15 @@ def vehicle_articles(distinct: DataFrame, order_by: Sequence[str]) -> DataFrame:
 
 
 def article_pivot(
-    distinct: DataFrame,
-    order_by: Sequence[str],
-    categories: Sequence[str],
-    page_rows: int = PAGE_ROWS,
+    distinct: DataFrame, categories: Sequence[str], page_rows: int = PAGE_ROWS
 ) -> DataFrame:
     return pivot_text(
-        vehicle_articles(distinct, order_by),
+        vehicle_articles(distinct),
         VEHICLE,
         CATEGORY,
         ARTICLE,
         categories,
-        order_by,
+        [ROW],
         page_rows=page_rows,
         size_from=distinct,
     )
@@ -105,26 +108,24 @@ def category_pivot(
     order_by: Sequence[str],
     categories: Sequence[str] | None = None,
     page_rows: int = PAGE_ROWS,
-    keep_order: bool = False,
 ) -> DataFrame:
     """One row per vehicle type with a text column of articles per category.
 
-    Columns: brand, model, engines, type, horse power, period, ``page``, then
-    the categories in first-seen order.  ``keep_order`` also returns the order
-    columns of the vehicle's first row.
+    Columns: brand, model, engines, type, horse power, period, ``page``,
+    ``row_no`` (orders the vehicle types as first seen), then the categories in
+    first-seen order.
     """
     distinct = distinct_fitments(fit, order_by)
     if categories is None:
-        categories = values_in_first_seen_order(distinct, CATEGORY, order_by)
-    pivot = article_pivot(distinct, order_by, categories, page_rows)
-    names = vehicle_names(distinct, order_by)
-    columns = [*VEHICLE, TYPE, POWER, PERIOD, "page", *categories]
-    return names.join(pivot, VEHICLE).select(*cols(columns + (list(order_by) if keep_order else [])))
+        categories = values_in_first_seen_order(distinct, CATEGORY, [ROW])
+    pivot = article_pivot(distinct, categories, page_rows)
+    columns = [*VEHICLE, TYPE, POWER, PERIOD, "page", ROW, *categories]
+    return vehicle_names(distinct).join(pivot, VEHICLE).select(*cols(columns))
 
 
-def sorted_pivot(pivot: DataFrame, order_by: Sequence[str]) -> DataFrame:
+def sorted_pivot(pivot: DataFrame) -> DataFrame:
     """The pivot by brand and model, ties in row order."""
-    return sort_rows(pivot, [BRAND, MODEL], [*order_by, "page"])
+    return sort_rows(pivot, [BRAND, MODEL], [ROW, "page"])
 
 
 def vehicle_report(
@@ -137,16 +138,15 @@ def vehicle_report(
     """Brand, model and type rows with the category cells of each type.
 
     Brands and models come in sorted order, types in first-seen order.  Report
-    columns are followed by ``level``, ``place`` (sorts the rows) and ``page``.
+    columns are followed by ``level``, ``page`` and ``row_no``, the position.
     """
     distinct = distinct_fitments(fit, order_by)
     if categories is None:
-        categories = values_in_first_seen_order(distinct, CATEGORY, order_by)
-    names = pinned(vehicle_names(distinct, order_by), "names")
-    rows = vehicle_rows(names, [BRAND, MODEL, *order_by], page_rows, models_once)
-    pivot = article_pivot(distinct, order_by, categories, page_rows)
-    report = with_category_cells(rows, pivot, categories)
-    return report.select(
+        categories = values_in_first_seen_order(distinct, CATEGORY, [ROW])
+    names = number_rows(vehicle_names(distinct), [BRAND, MODEL, ROW], "position")
+    rows = vehicle_rows(names, ["position"], page_rows, models_once)
+    pivot = article_pivot(distinct, categories, page_rows)
+    report = with_category_cells(rows, pivot, categories).select(
         col("label").alias(LABEL_COLUMN),
         col("engine_codes").alias(ENGINE_COLUMN),
         col("horse_powers").alias(POWER_COLUMN),
@@ -154,7 +154,9 @@ def vehicle_report(
         "level",
         "place",
         "page",
-    ).withColumnRenamed(CABIN_SOURCE, CABIN)
+    )
+    numbered = number_rows(report, ["place", "page"], ROW).drop("place")
+    return numbered.withColumnRenamed(CABIN_SOURCE, CABIN)
 
 
 def prefix_split(
@@ -177,17 +179,20 @@ def after_file(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def spread_report(
     report: DataFrame,
-    order_by: Sequence[str],
     keys: Sequence[str] = tuple(REPORT_KEYS),
     lists: Sequence[str] = tuple(SPREAD_COLUMNS),
     cells: Sequence[str] = tuple(CATEGORY_COLUMNS),
     **options,
 ) -> DataFrame:
-    """One value per cell, each shown once per label, engines and horse powers."""
+    """One value per cell, each shown once per label, engines and horse powers.
+
+    ``report`` carries ``row_no`` and ``page``; the pages of one source row
+    follow each other.
+    """
     plain = [c for c in cells if c not in lists]
-    spread = spread_lists(
-        after_file(report, [*keys, *cells]), keys, lists, plain, order_by, **options
-    )
+    rows = after_file(report, [*keys, *cells])
+    rows = rows.withColumn(SOURCE_ROW, col(ROW) - col("page"))
+    spread = spread_lists(rows, keys, lists, plain, [SOURCE_ROW], page="page", **options)
     return spread.select(*cols([*keys, *cells, *others(spread, [*keys, *cells])]))
 
 
@@ -222,6 +227,26 @@ def attach_criteria(
     return attach_notes(rows, lookup, keys[0], keys, cells, order_by, notes_order, line_order)
 
 
+def finished_catalogue(
+    report: DataFrame,
+    criteria: DataFrame,
+    notes_order: Sequence[str],
+    keys: Sequence[str] = tuple(REPORT_KEYS),
+    lists: Sequence[str] = tuple(SPREAD_COLUMNS),
+    cells: Sequence[str] = tuple(CATEGORY_COLUMNS),
+) -> DataFrame:
+    """From the split report to the catalogue: spread lists, then attach criteria.
+
+    Several branches of a step read its input, so a step's table is written
+    once and scanned by the next.
+    """
+    notes = pinned(criteria_notes(criteria, notes_order), "notes")
+    spread = spread_report(report, keys, lists, cells, line_order=True)
+    return attach_criteria(
+        pinned(spread, "spread"), notes, ["line"], notes_order, keys=keys, cells=cells
+    )
+
+
 def sort_links(links: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     return sort_rows(links, ["ART_ID", "VEH_TYPE_NO", "ART_NUM"], order_by)
 

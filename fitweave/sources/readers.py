@@ -57,10 +57,22 @@ def read_delimited(
 
 
 def read_table(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | None = None,
+    spread_by: str | None = None,
 ) -> DataFrame:
+    """Parquet scan.
+
+    With ``spread_by``, a table that comes in fewer parts than there are cores
+    is dealt out by that column first; a larger one is scanned as it is.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    scan = reader.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by and scan.rdd.getNumPartitions() < cores:
+        return scan.repartition(cores, spread_by)
+    return scan
 
 
 def with_file_order(scan: DataFrame) -> DataFrame:

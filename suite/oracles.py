@@ -183,8 +183,8 @@ def _attached(source: str, order: str, keys: list[str], cells: list[str]) -> str
       on a.{c} is not distinct from l."ArticleNumber" and a.{keys[0]} is not distinct from l."VM_df2")"""
         order += f", q{n}"
         last = f"j{n}"
-    text += _masked("shown", last, order, keys, cells)
-    return text + f"\nselect distinct {', '.join([*keys, *cells])} from shown"
+    text += _masked("once", last, order, keys, cells)
+    return text + f"\nselect distinct {', '.join([*keys, *cells])} from once"
 
 
 _TAIL_STAGES = ""
@@ -267,8 +267,8 @@ select Name, VM, TypeName, 0 as page,
 from (select * from fit qualify row_number() over (
   partition by Name, VM, TypeName, Engines order by seq) = 1)
 group by Name, VM, TypeName""",
-    "vehicle_report": REPORT + "select * exclude (page) from rep",
-    "report_split": SPLIT + "select * exclude (row_no) from split",
+    "vehicle_report": REPORT + "select * from rep",
+    "report_split": SPLIT + "select * from split",
     "report_spread": SPREAD + f"select {_COLUMNS} from spread",
     "report_criteria": SPREAD + _notes(CRITERIA)
     + f", again as (select {_ORDER6}, {', '.join(f'''nullif({c}, '') as {c}''' for c in [*REPORT_KEYS, *SPREAD_CELLS])} from spread)"

@@ -21,7 +21,7 @@ from fitweave.functions.cells import (
 from fitweave.functions.records import first_record_text
 from fitweave.operators import dedupe, lists, report, rows, spread
 from fitweave.plans import jobs
-from fitweave.shared import new_path
+from fitweave.shared import new_path, pinned
 from fitweave.sources import readers, writers
 from suite.views import LINE_ORDER, article_number, criteria, fit, quantity_lists, table
 
@@ -68,7 +68,7 @@ def show_once(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def category_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.category_pivot(fit(spark, sf), LINE_ORDER)
+    return jobs.category_pivot(fit(spark, sf), LINE_ORDER).drop("row_no")
 
 
 def period_envelope(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,7 +93,7 @@ def report_levels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def engine_lists(spark: SparkSession, sf: str) -> DataFrame:
-    engines = report.engine_rows(fit(spark, sf), LINE_ORDER)
+    engines = pinned(report.engine_rows(fit(spark, sf), LINE_ORDER), "engines")
     found = report.engine_lists(engines)
     return found.select(
         "Name",
@@ -110,8 +110,7 @@ def nested_document(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def vehicle_report(spark: SparkSession, sf: str) -> DataFrame:
-    found = jobs.vehicle_report(fit(spark, sf), LINE_ORDER)
-    return rows.number_rows(found, ["place", "page"]).drop("place", "page")
+    return jobs.vehicle_report(fit(spark, sf), LINE_ORDER)
 
 
 CABIN_PARTS = {"CAC": ("CAC", ()), "CAB": ("CAB", ()), "CA": ("CA", ("CAC", "CAB"))}
@@ -125,26 +124,21 @@ def split_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def report_split(spark: SparkSession, sf: str) -> DataFrame:
-    return split_report(spark, sf).drop("place")
+    return split_report(spark, sf)
 
 
 def report_spread(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.spread_report(
-        split_report(spark, sf), ["place"], lists=SPREAD_LISTS, cells=SPREAD_CELLS, page="page"
-    )
+    return jobs.spread_report(split_report(spark, sf), lists=SPREAD_LISTS, cells=SPREAD_CELLS)
 
 
 def report_criteria(spark: SparkSession, sf: str) -> DataFrame:
-    found = jobs.spread_report(
+    return jobs.finished_catalogue(
         split_report(spark, sf),
-        ["place"],
+        criteria(spark, sf),
+        LINE_ORDER,
         lists=SPREAD_LISTS,
         cells=SPREAD_CELLS,
-        page="page",
-        line_order=True,
     )
-    notes = jobs.criteria_notes(criteria(spark, sf), LINE_ORDER)
-    return jobs.attach_criteria(found, notes, ["line"], LINE_ORDER, cells=SPREAD_CELLS)
 
 
 def criteria_notes(spark: SparkSession, sf: str) -> DataFrame:
@@ -193,29 +187,27 @@ SPREAD_KEYS = ["o_custkey", "o_orderpriority", "o_orderstatus"]
 
 
 def spread_lists(spark: SparkSession, sf: str) -> DataFrame:
-    found = quantity_lists(spark, sf)
+    found = pinned(quantity_lists(spark, sf), "lists")
     return spread.spread_lists(
         found, SPREAD_KEYS, ["A", "N", "R"], ["month"], ["o_orderkey"], page="page"
     )
 
 
 def spread_lists_tail(spark: SparkSession, sf: str) -> DataFrame:
-    found = quantity_lists(spark, sf)
+    found = pinned(quantity_lists(spark, sf), "lists")
     return spread.spread_lists(
         found, SPREAD_KEYS, ["A", "N", "R"], ["month"], ["o_orderkey", "page"], drop_tail=2
     )
 
 
 def attach_criteria(spark: SparkSession, sf: str) -> DataFrame:
-    notes = jobs.criteria_notes(
-        criteria(spark, sf).withColumns(
-            {
-                "ArticleNumber": F.when(F.col("l_partkey") > 2, F.col("ArticleNumber")),
-                "TypeName": F.nullif("TypeName", F.lit("5-LOW")),
-            }
-        ),
-        LINE_ORDER,
+    given = criteria(spark, sf).withColumns(
+        {
+            "ArticleNumber": F.when(F.col("l_partkey") > 2, F.col("ArticleNumber")),
+            "TypeName": F.nullif("TypeName", F.lit("5-LOW")),
+        }
     )
+    notes = pinned(jobs.criteria_notes(given, LINE_ORDER), "notes")
     lines = fit(spark, sf).select(
         F.nullif("TypeName", F.lit("5-LOW")).alias("label"),
         "VM",
@@ -226,7 +218,7 @@ def attach_criteria(spark: SparkSession, sf: str) -> DataFrame:
         *LINE_ORDER,
     )
     return jobs.attach_criteria(
-        lines,
+        pinned(lines, "lines"),
         notes,
         LINE_ORDER,
         LINE_ORDER,

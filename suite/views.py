@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fitweave.operators.pivot import pivot_text
+from fitweave.sources.readers import read_table
+
 # Identifies a line: the line number alone does not, and prices settle the
 # rare repeat of all four keys.
 LINE_ORDER = [
@@ -12,8 +15,19 @@ LINE_ORDER = [
 ]
 
 
+# The tables that carry rows for whole jobs, with the key that deals them out
+# when a small copy comes as one file.
+SPREAD_BY = {
+    "lineitem": "l_orderkey",
+    "orders": "o_orderkey",
+    "events": "event_id",
+    "documents": "doc_id",
+    "conversations": "conv_id",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet", spread_by=SPREAD_BY.get(name))
 
 
 def article_number() -> Column:
@@ -91,8 +105,6 @@ def quantity_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Orders without a line under a flag have a null list.
     """
-    from fitweave.operators.pivot import pivot_text
-
     lines = table(spark, sf_dir, "lineitem").withColumn(
         "quantity", F.col("l_quantity").cast("int").cast("string")
     )
