@@ -45,3 +45,13 @@ def same_keys(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column
         quoted = "`" + n.replace("`", "``") + "`"
         condition = condition & left[quoted].eqNullSafe(right[quoted])
     return condition
+
+
+def earliest(names: Sequence[str]) -> Column:
+    """Aggregate: the least order key, as a struct of the named columns.
+
+    One column is aggregated bare, which keeps the hash aggregate.
+    """
+    if len(names) == 1:
+        return F.struct(F.min(col(names[0])).alias(names[0]))
+    return F.min(entry(names))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fitweave.columns import ascending, col, cols, entry, others, same_keys
+from fitweave.columns import ascending, col, cols, earliest, entry, others, same_keys
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -47,7 +47,7 @@ def mark_repeats(
     """
     firsts = (
         df.groupBy(*cols(keys))
-        .agg(F.min(entry(order_by)).alias("_first"))
+        .agg(earliest(order_by).alias("_first"))
         .select(*[F.col("_first").getField(c).alias(c) for c in order_by])
         .withColumn("_is_first", F.lit(True))
     )
@@ -67,7 +67,7 @@ def values_in_first_seen_order(df: DataFrame, name: str, order_by: Sequence[str]
 
     Its length is the number of columns to be made, which bounds it.
     """
-    seen = df.groupBy(col(name)).agg(F.min(entry(order_by)).alias("_first"))
+    seen = df.groupBy(col(name)).agg(earliest(order_by).alias("_first"))
     return [r[0] for r in seen.orderBy("_first").select(col(name)).collect()]
 
 

@@ -242,9 +242,8 @@ def finished_catalogue(
     """
     notes = pinned(criteria_notes(criteria, notes_order), "notes")
     spread = spread_report(report, keys, lists, cells, line_order=True)
-    return attach_criteria(
-        pinned(spread, "spread"), notes, ["line"], notes_order, keys=keys, cells=cells
-    )
+    numbered = number_rows(spread, ["line"]).drop("line")
+    return attach_criteria(numbered, notes, [ROW], notes_order, keys=keys, cells=cells)
 
 
 def sort_links(links: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
