@@ -1,0 +1,67 @@
+import random
+
+from pyspark.sql import functions as F
+
+from fitweave.functions.cells import list_text
+from fitweave.operators.lists import ordered_lists
+from fitweave.operators.pivot import pivot_text
+from fitweave.plans.jobs import barcode_lists
+
+
+def test_hot_group_goes_on_in_pages(spark):
+    rng = random.Random(5)
+    data = []
+    for i in range(900):
+        data.append((i, "hot" if i % 3 == 0 else f"k{rng.randrange(40)}", rng.randrange(10)))
+    shuffled = list(data)
+    rng.shuffle(shuffled)
+    df = spark.createDataFrame(shuffled, "at int, k string, v int").repartition(5)
+    whole = {}
+    for _, k, v in data:
+        whole.setdefault(k, []).append(v)
+    for page_rows in (1, 7, 50, 1000):
+        pages = ordered_lists(df, ["k"], {"v": F.col("v")}, ["at"], page_rows=page_rows).collect()
+        assert max(len(r.v) for r in pages) <= page_rows
+        got = {}
+        for r in sorted(pages, key=lambda r: (r.k, r.page)):
+            assert r.page == len(got.setdefault(r.k, [])) // page_rows
+            got[r.k] += r.v
+        assert got == whole
+
+
+def test_nulls_stay_in_lists_and_null_keys_go(spark, rows_of):
+    df = spark.createDataFrame([(1, "a", 1), (2, "a", None), (3, None, 3)], "at int, k string, v int")
+    found = ordered_lists(df, ["k"], {"v": F.col("v")}, ["at"])
+    assert rows_of(found) == [("a", 0, [1, None])]
+
+
+def test_pivot_text(spark, rows_of):
+    df = spark.createDataFrame(
+        [(1, "x", "Oil", "A1"), (2, "x", "Air", "B1"), (3, "x", "Oil", "A2*"), (4, "y", "Oil", "C"),
+         (5, None, "Oil", "D")],
+        "at int, k string, c string, v string",
+    )
+    found = pivot_text(df, ["k"], "c", "v", ["Oil", "Air"], ["at"])
+    assert rows_of(found) == [("x", 0, "A1,A2*", "B1"), ("y", 0, "C", "")]
+    paged = pivot_text(df, ["k"], "c", "v", ["Oil", "Air"], ["at"], page_rows=1)
+    assert rows_of(paged) == [
+        ("x", 0, "A1", "B1"), ("x", 1, "A2*", ""), ("y", 0, "C", ""),
+    ]
+
+
+def test_barcodes_of_the_literal_sample(spark):
+    # A small sample of codes and names.
+    codes = [899787930149, 8997879301494, 8997879351499, 458027058618, 4580270586184]
+    names = ["F1111_Sakura", "F1111_Sakura", "F1111_Sakura", "PN8808", "PN8808"]
+    data = list(zip(range(5), names, codes))
+    df = spark.createDataFrame(data, "at int, `Артикул` string, `Штрихкод` bigint")
+    found = barcode_lists(df, "Артикул", "Штрихкод", ["at"]).collect()
+    assert [tuple(r) for r in found] == [
+        ("F1111_Sakura", 0, "[899787930149, 8997879301494, 8997879351499]"),
+        ("PN8808", 0, "[458027058618, 4580270586184]"),
+    ]
+
+
+def test_list_text(spark):
+    df = spark.range(1).select(list_text(F.array(F.lit(1), F.lit(2))).alias("t"))
+    assert df.first().t == "[1, 2]"

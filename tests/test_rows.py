@@ -1,0 +1,74 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from fitweave.operators import rows
+
+
+def table(spark, n=200, seed=3):
+    rng = random.Random(seed)
+    data = [(i, i // 70, rng.choice(["a", "b", None])) for i in range(n)]
+    shuffled = list(data)
+    rng.shuffle(shuffled)
+    return data, spark.createDataFrame(shuffled, "at int, g int, v string").repartition(7)
+
+
+def test_number_rows(spark):
+    _, df = table(spark)
+    numbered = rows.number_rows(df, ["at"]).collect()
+    assert sorted((r.row_no, r.at) for r in numbered) == [(i, i) for i in range(200)]
+
+
+@pytest.mark.parametrize("block_rows", [4, 7, 1000])
+@pytest.mark.parametrize("offset", [-3, -1, 1, 2])
+def test_neighbours_cross_blocks(spark, block_rows, offset):
+    data, df = table(spark)
+    numbered = rows.number_rows(df, ["at"])
+    near = rows.neighbours(numbered, {"n": (F.col("v"), offset)}, block_rows=block_rows)
+    inside = rows.neighbours(
+        numbered, {"n": (F.col("v"), offset)}, within=["g"], block_rows=block_rows
+    )
+    got = {r.at: r.n for r in near.collect()}
+    got_inside = {r.at: r.n for r in inside.collect()}
+    assert len(got) == len(data)
+    for at, g, _ in data:
+        other = at + offset
+        exists = 0 <= other < len(data)
+        assert got[at] == (data[other][2] if exists else None)
+        assert got_inside[at] == (data[other][2] if exists and data[other][1] == g else None)
+
+
+def test_neighbours_reject_offsets_beyond_a_block(spark):
+    _, df = table(spark, 5)
+    with pytest.raises(ValueError):
+        rows.neighbours(df, {"n": (F.col("v"), 9)}, row_no="at", block_rows=4)
+
+
+def test_shift_and_tail(spark, rows_of):
+    df = spark.createDataFrame([(i, i) for i in range(1, 5)], "at int, v int")
+    assert rows_of(rows.shift_rows(df, ["v"], ["at"])) == [(1, None), (2, None), (3, 1), (4, 2)]
+    assert rows_of(rows.drop_tail(df, ["at"])) == [(1, 1), (2, 2)]
+    assert rows.drop_tail(df, ["at"], 9).count() == 0
+
+
+def test_row_levels(spark):
+    data = [(0, None), (1, ""), (2, "E1"), (3, None), (4, "E2"), (5, None)]
+    df = spark.createDataFrame(data, "at int, engine string")
+    levels = rows.row_levels(df, "engine", ["at"]).orderBy("at")
+    assert [r.row_level for r in levels.collect()] == [
+        "brand", "model", "detail", "model", "detail", "model",
+    ]
+
+
+def test_header_on_change(spark):
+    data = [(0, None), (1, None), (2, "a"), (3, "a"), (4, "b")]
+    df = spark.createDataFrame(data, "at int, h string")
+    shown = rows.header_on_change(df, ["h"], ["at"]).orderBy("at")
+    assert [r.h for r in shown.collect()] == [None, "", "a", "", "b"]
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "at int, v string")
+    assert rows.number_rows(df, ["at"]).count() == 0
+    assert rows.shift_rows(df, ["v"], ["at"]).count() == 0
