@@ -79,10 +79,8 @@ def list_text(values: Column) -> Column:
 
 def id_text(value: Column) -> Column:
     """A numeric id as integer text, truncated toward zero; empty when missing."""
-    number = value.cast("double")
-    missing = number.isNull() | F.isnan(number)
-    whole = F.when(~missing, number).cast("bigint").cast("string")
-    return F.coalesce(whole, F.lit(""))
+    present = value.isNotNull() & ~F.isnan(value.cast("double"))
+    return F.coalesce(F.when(present, value).cast("bigint").cast("string"), F.lit(""))
 
 
 def period_bounds(period: Column) -> tuple[Column, Column]:

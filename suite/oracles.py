@@ -40,8 +40,8 @@ K = FIT + """
 PIVOT = K + f"""
 , k2 as (select * from k qualify row_number() over (
     partition by Name, VM, Engines, Year, HorsePowers, ArticleNumber order by seq) = 1)
-, k3 as (select *, (row_number() over (
-    partition by Name, VM, Engines, GenericArticle order by seq) - 1) // 100000 as page from k2)
+, k3 as (select *, cast((row_number() over (
+    partition by Name, VM, Engines, GenericArticle order by seq) - 1) // 100000 as int) as page from k2)
 , pv as (select Name, VM, Engines, page, {", ".join(
     f"coalesce(string_agg(ArticleNumber, ',' order by seq) filter (where GenericArticle = '{c}'), '') as {c}"
     for c in KINDS)}
@@ -320,8 +320,8 @@ with lists as (select l_orderkey, string_agg({PREFIX} || cast(p_partkey as varch
   from lineitem join part on l_partkey = p_partkey group by l_orderkey)
 select l_orderkey, 0 as page, {_buckets("article")} from lists""",
     "text_members": rf"""
-select doc_id, len(string_split(text, ',')) as members,
-  len(list_distinct(string_split(text, ','))) as distinct_members,
+select doc_id, cast(len(string_split(text, ',')) as int) as members,
+  cast(len(list_distinct(string_split(text, ','))) as int) as distinct_members,
   array_to_string(list_filter(list_transform(string_split(text, ','),
     lambda y: regexp_replace(y, '^{_BLANK}+|{_BLANK}+$', '', 'g')),
     lambda x: starts_with(x, 'a') and not starts_with(x, 'an')), ', ') as picked
