@@ -90,6 +90,10 @@ def shift_rows(
     return near.select(*[col(place[c]).alias(c) if c in place else col(c) for c in df.columns])
 
 
+def first_rows(df: DataFrame, order_by: Sequence[str], count: int = 10) -> DataFrame:
+    return df.orderBy(*ascending(order_by)).limit(count)
+
+
 def last_rows(df: DataFrame, order_by: Sequence[str], count: int) -> DataFrame:
     return df.orderBy(*[col(c).desc() for c in order_by]).limit(count)
 

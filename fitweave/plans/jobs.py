@@ -21,7 +21,7 @@ from fitweave.operators.dedupe import (
     sort_rows,
     values_in_first_seen_order,
 )
-from fitweave.operators.lists import PAGE_ROWS, ordered_lists
+from fitweave.operators.lists import PAGE_ROWS, ordered_lists, repeated_members
 from fitweave.operators.pivot import pivot_text
 from fitweave.operators.report import vehicle_rows, with_category_cells
 from fitweave.operators.rows import number_rows
@@ -123,6 +123,12 @@ def category_pivot(
     return vehicle_names(distinct).join(pivot, VEHICLE).select(*cols(columns))
 
 
+def repeated_articles(fit: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """Pivot cells that list an article twice: distinct and total members."""
+    articles = vehicle_articles(distinct_fitments(fit, order_by))
+    return repeated_members(articles, [*VEHICLE, CATEGORY], ARTICLE)
+
+
 def sorted_pivot(pivot: DataFrame) -> DataFrame:
     """The pivot by brand and model, ties in row order."""
     return sort_rows(pivot, [BRAND, MODEL], [ROW, "page"])

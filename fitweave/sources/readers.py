@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fitweave.columns import col
 from fitweave.vocabulary import (
     ARTICLE, BRAND, CATEGORY, CRITERIA, ENGINES, MODEL, PERIOD, POWER, TYPE,
 )
@@ -41,19 +42,34 @@ ARTICLE_FILES = _schema(
 FILE_ORDER = ["file", "file_part", "file_row"]
 
 
+# Texts that a delimited scan takes as missing.
+NULL_TEXTS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType,
     separator: str = ";",
-    null_text: str = "",
+    null_texts: list[str] | None = None,
 ) -> DataFrame:
-    """Header-row delimited text with a declared schema; quotes are doubled inside."""
-    return (
-        spark.read.schema(schema)
-        .options(sep=separator, header=True, escape='"', nullValue=null_text, mode="FAILFAST")
+    """Header-row delimited text with a declared schema; quotes are doubled inside.
+
+    ``null_texts`` (default ``NULL_TEXTS``) become null in any column; other
+    text that does not fit its column's type is an error.
+    """
+    missing = NULL_TEXTS if null_texts is None else null_texts
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    scan = (
+        spark.read.schema(as_text)
+        .options(sep=separator, header=True, escape='"', nullValue="", mode="FAILFAST")
         .csv(path)
     )
+    present = {f.name: F.when(~col(f.name).isin(missing), col(f.name)) for f in schema}
+    return scan.withColumns({f.name: present[f.name].cast(f.dataType) for f in schema})
 
 
 def read_table(

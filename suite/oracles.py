@@ -337,6 +337,14 @@ select event_id, case when event_id % 5 = 4
     "repeated_members": """
 select o_custkey, count(distinct o_orderstatus) as distinct_members, cast(count(*) as bigint) as members
 from orders group by o_custkey having count(distinct o_orderstatus) <> count(*)""",
+    "repeated_articles": K + """
+, k2 as (select * from k qualify row_number() over (
+    partition by Name, VM, Engines, Year, HorsePowers, ArticleNumber order by seq) = 1)
+select Name, VM, Engines, GenericArticle, count(distinct ArticleNumber) as distinct_members,
+  cast(count(*) as bigint) as members
+from k2 group by Name, VM, Engines, GenericArticle having count(distinct ArticleNumber) <> count(*)""",
+    "first_rows": """
+select o_totalprice, o_orderkey, o_custkey from orders order by o_totalprice, o_orderkey limit 10""",
     "barcode_lists": """
 select o_custkey, 0 as page,
   '[' || string_agg(cast(o_orderkey as varchar), ', ' order by o_orderkey) || ']' as o_orderkey

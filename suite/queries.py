@@ -280,6 +280,15 @@ def repeated_members(spark: SparkSession, sf: str) -> DataFrame:
     return lists.repeated_members(table(spark, sf, "orders"), ["o_custkey"], "o_orderstatus")
 
 
+def repeated_articles(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.repeated_articles(fit(spark, sf), LINE_ORDER)
+
+
+def first_rows(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").select("o_totalprice", "o_orderkey", "o_custkey")
+    return rows.first_rows(orders, ["o_totalprice", "o_orderkey"])
+
+
 def barcode_lists(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey")
     return jobs.barcode_lists(orders, "o_custkey", "o_orderkey", ["o_orderkey"])
@@ -351,7 +360,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         vehicle_report, report_split, report_spread, report_criteria, criteria_notes,
         header_on_change, row_level, row_level_within, row_numbers, shift_rows, drop_tail,
         spread_lists, spread_lists_tail, attach_criteria, prefix_split, text_members,
-        strip_text, literal_replace, criteria_text, repeated_members, barcode_lists,
+        strip_text, literal_replace, criteria_text, repeated_members, repeated_articles,
+        first_rows, barcode_lists,
         paged_lists, sort_links, unquoted_lines, clean_vehicles, distinct_values,
         csv_round_trip, parquet_round_trip, file_order,
     ]

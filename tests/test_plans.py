@@ -1,0 +1,24 @@
+"""No query multiplies tables, passes a table through one task or runs Python."""
+
+import contextlib
+import io
+
+import pytest
+
+import __spark_entry__ as entry
+
+# One task sees at most a fixed number of rows in these.
+LIMITS = {"first_rows", "drop_tail"}
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_plan(spark, name):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        entry.queries()[name](spark, "/root/testdata/sf0.001").explain()
+    plan = text.getvalue()
+    assert "Scan" in plan
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert word not in plan
+    if name not in LIMITS:
+        assert "SinglePartition" not in plan

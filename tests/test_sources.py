@@ -36,9 +36,16 @@ def test_delimited_scan(spark, tmp_path, rows_of):
     df = readers.read_delimited(spark, str(path), readers.ARTICLE_VEHICLE_LINKS)
     assert rows_of(df) == [(1, None, "007"), (2, 5, 'a;"b')]
     na = tmp_path / "na.csv"
-    na.write_text("ART_ID;VEH_TYPE_NO;ART_NUM\n1;2;NA\n")
-    df = readers.read_delimited(spark, str(na), readers.ARTICLE_VEHICLE_LINKS, null_text="NA")
-    assert df.first().ART_NUM is None
+    na.write_text("ART_ID;VEH_TYPE_NO;ART_NUM\n1;N/A;NA\n")
+    df = readers.read_delimited(spark, str(na), readers.ARTICLE_VEHICLE_LINKS)
+    assert rows_of(df) == [(1, None, None)]
+    kept = readers.read_delimited(
+        spark, str(na), readers.ARTICLE_VEHICLE_LINKS, null_texts=["", "N/A"]
+    )
+    assert kept.first().ART_NUM == "NA"
+    na.write_text("ART_ID;VEH_TYPE_NO;ART_NUM\nx;1;a\n")
+    with pytest.raises(PySparkException):
+        readers.read_delimited(spark, str(na), readers.ARTICLE_VEHICLE_LINKS).collect()
 
 
 def test_minimal_quoting(spark, tmp_path):
