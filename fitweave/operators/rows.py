@@ -31,7 +31,7 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_no") ->
     sizes = ordered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     # One row per sorted part: bounded by the number of shuffle partitions.
     starts, start = [], 0
-    for found, size in sizes.orderBy("_part").collect():
+    for found, size in sorted(tuple(r) for r in sizes.collect()):
         starts.append((found, start))
         start += size
     before = df.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")

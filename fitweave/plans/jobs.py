@@ -188,17 +188,20 @@ def spread_report(
     keys: Sequence[str] = tuple(REPORT_KEYS),
     lists: Sequence[str] = tuple(SPREAD_COLUMNS),
     cells: Sequence[str] = tuple(CATEGORY_COLUMNS),
+    padded: Sequence[str] = tuple(CABIN_PREFIXES),
     **options,
 ) -> DataFrame:
     """One value per cell, each shown once per label, engines and horse powers.
 
     ``report`` carries ``row_no`` and ``page``; the pages of one source row
-    follow each other.
+    follow each other.  ``padded`` lists were joined by the prefix split.
     """
     plain = [c for c in cells if c not in lists]
     rows = after_file(report, [*keys, *cells])
     rows = rows.withColumn(SOURCE_ROW, col(ROW) - col("page"))
-    spread = spread_lists(rows, keys, lists, plain, [SOURCE_ROW], page="page", **options)
+    spread = spread_lists(
+        rows, keys, lists, plain, [SOURCE_ROW], page="page", padded=padded, **options
+    )
     return spread.select(*cols([*keys, *cells, *others(spread, [*keys, *cells])]))
 
 
@@ -240,6 +243,7 @@ def finished_catalogue(
     keys: Sequence[str] = tuple(REPORT_KEYS),
     lists: Sequence[str] = tuple(SPREAD_COLUMNS),
     cells: Sequence[str] = tuple(CATEGORY_COLUMNS),
+    padded: Sequence[str] = tuple(CABIN_PREFIXES),
 ) -> DataFrame:
     """From the split report to the catalogue: spread lists, then attach criteria.
 
@@ -247,7 +251,7 @@ def finished_catalogue(
     once and scanned by the next.
     """
     notes = pinned(criteria_notes(criteria, notes_order), "notes")
-    spread = spread_report(report, keys, lists, cells, line_order=True)
+    spread = spread_report(report, keys, lists, cells, padded, line_order=True)
     numbered = number_rows(spread, ["line"]).drop("line")
     return attach_criteria(numbered, notes, [ROW], notes_order, keys=keys, cells=cells)
 

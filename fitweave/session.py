@@ -1,0 +1,22 @@
+"""Session settings for a given amount of input."""
+
+from __future__ import annotations
+
+MB = 1024 * 1024
+
+
+def settings_for(input_bytes: int, cores: int, partition_bytes: int = 256 * MB) -> dict[str, str]:
+    """Spark settings under which a shuffle part holds about ``partition_bytes``.
+
+    Adaptive execution merges parts that turn out small and splits join parts
+    that turn out large, so the count only has to be high enough.
+    """
+    parts = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

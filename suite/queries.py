@@ -128,7 +128,9 @@ def report_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def report_spread(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.spread_report(split_report(spark, sf), lists=SPREAD_LISTS, cells=SPREAD_CELLS)
+    return jobs.spread_report(
+        split_report(spark, sf), lists=SPREAD_LISTS, cells=SPREAD_CELLS, padded=list(CABIN_PARTS)
+    )
 
 
 def report_criteria(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,6 +140,7 @@ def report_criteria(spark: SparkSession, sf: str) -> DataFrame:
         LINE_ORDER,
         lists=SPREAD_LISTS,
         cells=SPREAD_CELLS,
+        padded=list(CABIN_PARTS),
     )
 
 

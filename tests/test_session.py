@@ -1,0 +1,8 @@
+from fitweave.session import MB, settings_for
+
+
+def test_parts_grow_with_the_input():
+    assert settings_for(10 * MB, 8)["spark.sql.shuffle.partitions"] == "16"
+    assert settings_for(100 * 10**12, 4000)["spark.sql.shuffle.partitions"] == "372530"
+    applied = settings_for(1, 1)
+    assert applied["spark.sql.adaptive.skewJoin.enabled"] == "true"
