@@ -65,13 +65,13 @@ def ordered_lists(
     values: Mapping[str, Column],
     order_by: Sequence[str],
     page_rows: int = PAGE_ROWS,
-    size_from: DataFrame | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """One row per key and page with one array per value, in row order.
 
-    Rows with a null key are left out; nulls among the values stay.  The sizes
-    of the groups are checked first (on ``size_from`` if that holds the same
-    rows or more): when all fit a page, a plain grouped list is enough.
+    Rows with a null key are left out; nulls among the values stay.  The size
+    of the largest group is found first, unless an upper bound of it is given
+    as ``largest``: when all groups fit a page, a plain grouped list is enough.
     """
     present = F.lit(True)
     for k in keys:
@@ -82,7 +82,9 @@ def ordered_lists(
         *[col(c).alias(o) for c, o in zip(order_by, order)],
         *[v.alias(f"v{i}") for i, v in enumerate(values.values())],
     )
-    if largest_group((df if size_from is None else size_from).filter(present), keys) <= page_rows:
+    if largest is None:
+        largest = largest_group(rows, keys)
+    if largest <= page_rows:
         paged = rows.withColumn("page", F.lit(0))
     else:
         paged = with_pages(rows, keys, order, page_rows)

@@ -19,7 +19,6 @@ from fitweave.operators.dedupe import (
     keep_first,
     keep_none,
     sort_rows,
-    values_in_first_seen_order,
 )
 from fitweave.operators.lists import PAGE_ROWS, ordered_lists, repeated_members
 from fitweave.operators.pivot import pivot_text
@@ -88,19 +87,36 @@ def vehicle_articles(distinct: DataFrame) -> DataFrame:
     )
 
 
+def category_sizes(distinct: DataFrame) -> tuple[list[str], int]:
+    """Categories in first-seen order, and the most rows of one vehicle and category.
+
+    One pass; a row per category, that is per column to be made, is fetched.
+    """
+    cells = distinct.groupBy(*cols([*VEHICLE, CATEGORY])).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(ROW).alias("first")
+    )
+    found = cells.groupBy(CATEGORY).agg(F.max("rows").alias("rows"), F.min("first").alias("first"))
+    sizes = found.orderBy("first").collect()
+    return [r[CATEGORY] for r in sizes], max([0, *[r["rows"] for r in sizes]])
+
+
 def article_pivot(
-    distinct: DataFrame, categories: Sequence[str], page_rows: int = PAGE_ROWS
-) -> DataFrame:
-    return pivot_text(
+    distinct: DataFrame, categories: Sequence[str] | None = None, page_rows: int = PAGE_ROWS
+) -> tuple[DataFrame, list[str]]:
+    """The pivot of vehicle articles and its category columns."""
+    seen, largest = category_sizes(distinct)
+    wanted = seen if categories is None else list(categories)
+    pivot = pivot_text(
         vehicle_articles(distinct),
         VEHICLE,
         CATEGORY,
         ARTICLE,
-        categories,
+        wanted,
         [ROW],
         page_rows=page_rows,
-        size_from=distinct,
+        largest=largest,
     )
+    return pivot, wanted
 
 
 def category_pivot(
@@ -116,9 +132,7 @@ def category_pivot(
     first-seen order.
     """
     distinct = distinct_fitments(fit, order_by)
-    if categories is None:
-        categories = values_in_first_seen_order(distinct, CATEGORY, [ROW])
-    pivot = article_pivot(distinct, categories, page_rows)
+    pivot, categories = article_pivot(distinct, categories, page_rows)
     columns = [*VEHICLE, TYPE, POWER, PERIOD, "page", ROW, *categories]
     return vehicle_names(distinct).join(pivot, VEHICLE).select(*cols(columns))
 
@@ -147,11 +161,9 @@ def vehicle_report(
     columns are followed by ``level``, ``page`` and ``row_no``, the position.
     """
     distinct = distinct_fitments(fit, order_by)
-    if categories is None:
-        categories = values_in_first_seen_order(distinct, CATEGORY, [ROW])
+    pivot, categories = article_pivot(distinct, categories, page_rows)
     names = number_rows(vehicle_names(distinct), [BRAND, MODEL, ROW], "position")
     rows = vehicle_rows(names, ["position"], page_rows, models_once)
-    pivot = article_pivot(distinct, categories, page_rows)
     report = with_category_cells(rows, pivot, categories).select(
         col("label").alias(LABEL_COLUMN),
         col("engine_codes").alias(ENGINE_COLUMN),
