@@ -50,4 +50,116 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
 from docs left join hit_words using (doc_id) left join hit_items using (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op3_decontamination": OP3}
+OP2 = f"""
+with recursive docs as (
+  select doc_id, {spaced_words("coalesce(text, '')")} as w from documents
+), sets as (
+  select distinct doc_id, array_to_string(w[i : i + 3], ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as i from docs where len(w) > 0)
+), sizes as (
+  select doc_id, count(*) as n from sets group by doc_id
+), pairs as (
+  select a.doc_id as a, b.doc_id as b, count(*) as shared
+  from sets a join sets b on a.s = b.s and a.doc_id < b.doc_id group by all
+), links as (
+  select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * shared >= 80 * (x.n + y.n - shared)
+), both_ways as (
+  select a, b from links union all select b, a from links
+), reached(doc_id, other) as (
+  select doc_id, doc_id from docs
+  union
+  select reached.doc_id, b from reached join both_ways on other = a
+)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+from (select doc_id, min(other) as component_id from reached group by doc_id) left join sizes using (doc_id)
+"""
+
+OP6 = f"""
+with docs as (
+  select doc_id, source, cast(len({spaced_words("coalesce(text, '')")}) as bigint) as size,
+    md5('mix|' || coalesce(cast(doc_id as varchar), '')) as place
+  from documents
+), sources as (
+  select source, cast(sum(size) as bigint) as source_size,
+    ((row_number() over (order by source collate "binary" nulls last)) - 1) % 3 + 1 as weight
+  from docs group by source
+), filled as (
+  -- A source is capped when the share it would get, once all sources of a
+  -- lower size to weight are capped, is above its cap.
+  select *, 3 * source_size as cap, sum(source_size) over () as total,
+    coalesce(sum(3 * source_size) over lower, 0) as capped_before,
+    sum(weight) over () - coalesce(sum(weight) over lower, 0) as weight_left
+  from sources
+  window lower as (order by source_size / weight, source nulls last rows between unbounded preceding and 1 preceding)
+), decided as (
+  select *, cap <= (total - capped_before) * weight / weight_left as capped from filled
+), sums as (
+  select max(total) as total, sum(case when capped then cap else 0 end) as cap_sum,
+    sum(case when capped then 0 else weight end) as weight_sum
+  from decided
+), targets as (
+  select source, source_size,
+    case when capped then cast(cap as double)
+      else cast(sums.total - cap_sum as double) * weight / cast(weight_sum as double) end as target
+  from decided, sums
+), placed as (
+  select doc_id, size, source_size, target, cast(floor(target) as bigint) as budget,
+    cast(sum(size) over (partition by docs.source order by place, size rows unbounded preceding) as bigint) - size as start
+  from docs join targets on docs.source is not distinct from targets.source
+)
+select doc_id, size, source_size, target,
+  cast(greatest(0, least(size, budget - start)) + greatest(0, least(size, budget - start - source_size))
+    + greatest(0, least(size, budget - start - 2 * source_size)) as bigint) as taken
+from placed
+"""
+
+
+def _draw(node: str) -> str:
+    """The draw of a node, as a score that is the least for the winner among equal weights."""
+    digest = f"md5(coalesce(cast(doc_id as varchar), '') || '|' || {node})"
+    return f"-ln((cast('0x' || substr({digest}, 1, 13) as bigint) + 0.5) / 4503599627370496.0)"
+
+
+# Slots follow the order in which documents are stored, which is that of their ids.
+OP10 = f"""
+with leaves as (
+  select i as shard, 'region' || (i // 4) as region, 'region' || (i // 4) || '/rack' || (i // 2) as rack,
+    'region' || (i // 4) || '/rack' || (i // 2) || '/' || i as leaf
+  from range(8) t(i)
+), crc_table as (
+  select list(list_reduce(list_concat([i], range(8)), lambda c, k:
+    case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as entry
+  from range(256) t(i)
+), docs as (
+  select doc_id, cast(octet_length(encode(coalesce(text, ''))) + 1 as bigint) as size,
+    xor(list_reduce(
+      list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+        lambda h: cast('0x' || h as bigint))),
+      lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255) + 1])), 4294967295) as text_crc32
+  from documents, crc_table
+), regions as (
+  select doc_id, arg_min(region, {_draw("region")} / 4.0) as region
+  from documents, (select distinct region from leaves) group by doc_id
+), racks as (
+  select doc_id, arg_min(rack, {_draw("rack")} / 2.0) as rack
+  from regions join (select distinct region, rack from leaves) using (region) group by doc_id
+), shards as (
+  select doc_id, arg_min(shard, {_draw("leaf")}) as shard from racks join leaves using (rack) group by doc_id
+), moves as (
+  select doc_id, {_draw("'added8'")} < min({_draw("region")} / 4.0) as moved
+  from documents, (select distinct region from leaves) group by doc_id
+)
+select doc_id, size, text_crc32, 'key' as law, cast(shard as int) as shard,
+  row_number() over (partition by shard order by doc_id) - 1 as slot,
+  cast(case when moved then 8 else shard end as int) as grown_shard,
+  'region' || (shard // 4) as region, 'rack' || (shard // 2) as rack
+from docs join shards using (doc_id) join moves using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_minhash_dedup": OP2,
+    "op3_decontamination": OP3,
+    "op6_source_mixing": OP6,
+    "op10_hash_tree_sharding": OP10,
+}

@@ -5,20 +5,41 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fitweave.llm import decontaminate
+from fitweave.llm import decontaminate, mixing, near_dedup, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.schedule(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    found = sharding.sharded(docs, sharding.even_tree(8))
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "region", "rack"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in [op3_decontamination]
+    f.__name__: f for f in [op2_minhash_dedup, op3_decontamination, op6_source_mixing, op10_hash_tree_sharding]
 }
