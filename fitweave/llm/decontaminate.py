@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fitweave.columns import cols
 from fitweave.llm.words import PLAIN, Words, sliced_words, windows
 
 WINDOW = 10
@@ -193,7 +194,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "documen
     """
     if remove == "documents":
         found = benchmark_hits(docs, benchmark, size)
-        return found.filter(F.size("hits") == 0).select(*docs.columns)
+        return found.filter(F.size("hits") == 0).select(*cols(docs.columns))
     if remove != "spans":
         raise ValueError("remove is documents or spans")
     found = benchmark_hits(docs, benchmark, size)
@@ -210,7 +211,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "documen
             arrays[text_at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(arrays, batch.schema.names)
 
-    return found.mapInArrow(cut, found.schema).select(*docs.columns)
+    return found.mapInArrow(cut, found.schema).select(*cols(docs.columns))
 
 
 def _without(words: Words, row: int, hits: list[dict], text: bytes) -> str:

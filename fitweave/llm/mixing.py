@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fitweave.columns import cols
 from fitweave.llm.positions import with_position, written
 
 WEIGHTS = (1, 2, 3)
@@ -87,7 +88,7 @@ def schedule(
     by size.  Columns of these names in the input are replaced.
     """
     own = ["size", "source_size", "target", "budget", "taken", "copies"]
-    given = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    given = cols(c for c in docs.columns if c not in own)
     sized = docs.select(*given, word_count(F.col("text")).alias("size")) if "text" in docs.columns else docs
     kept = [c for c in sized.columns if c not in own]
     targets = source_targets(sized.select("source", "size"), weights, most)
@@ -123,7 +124,7 @@ def schedule(
     found = found.withColumn("copies", F.filter(F.array(*copies), lambda c: c["words"] >= 0))
     taken = F.aggregate("copies", F.lit(0).cast("long"), lambda total, c: total + c["words"])
     return found.select(
-        *[F.col(f"`{c}`") for c in kept], "size", "source_size", "target", taken.alias("taken"), "copies", "_order"
+        *cols(kept), "size", "source_size", "target", taken.alias("taken"), "copies", "_order"
     )
 
 
@@ -134,4 +135,4 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, k
     """
     copies = schedule(docs, weights, most, key, whole=True).withColumn("_copy", F.explode("copies"))
     ordered = copies.orderBy("_copy.finish", "_order", "_copy.epoch")
-    return ordered.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return ordered.select(*cols(docs.columns))

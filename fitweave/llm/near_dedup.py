@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fitweave.columns import cols
 from fitweave.llm.components import components
 from fitweave.llm.words import SPACED, distinct, mixed, shingles, sliced_words
 from fitweave.shared import pinned
@@ -176,57 +177,155 @@ def tested(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
 #: Bins of 128 that must agree before a pair of different components is tested.
 #: At similarity 0.8 about 102 agree, with a deviation under 5.
 SKETCH_BINS = 72
-BLOCK = 256
+BLOCK = 512
 
 
-def _rest(members: DataFrame, sets: DataFrame, parts: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Untested pairs that share a bucket, lie in different components and look similar.
+def _close(ids: np.ndarray, part: np.ndarray, n: np.ndarray, sketch: np.ndarray, mine: np.ndarray | None,
+           centre: int, band: int, percent: int) -> np.ndarray:
+    """Which members have an untested partner of another component that looks similar.
 
-    Buckets are compared in blocks of about ``BLOCK`` by ``BLOCK`` members, so no
-    task holds a whole bucket, and only pairs whose sketches agree leave a block.
+    Pairs with the centre are tested already; pairs that share an earlier band
+    are left to that band's bucket.  ``mine`` are chunks if only pairs across
+    chunks count.
     """
+    bands = sketch.view(np.uint32)[:, :band]
+    found = np.zeros(len(ids), bool)
+    rest = np.flatnonzero(ids != centre)
+    for k, i in enumerate(rest):
+        at = rest[k + 1 :]
+        ok = part[at] != part[i]
+        ok &= 100 * np.minimum(n[i], n[at]) >= percent * np.maximum(n[i], n[at])
+        if mine is not None:
+            ok &= mine[at] != mine[i]
+        at = at[ok]
+        at = at[(sketch[at] == sketch[i]).sum(1) >= SKETCH_BINS]
+        if band and len(at):
+            at = at[~(bands[at] == bands[i]).any(1)]
+        if len(at):
+            found[i] = True
+            found[at] = True
+    return found
+
+
+def _blocks(rows: DataFrame, members: str) -> DataFrame:
+    """Buckets in blocks of about ``BLOCK`` by ``BLOCK`` members: key, low, high and their rows.
+
+    ``rows`` has key, doc_id and chunks.  A block is named by its lower and
+    higher chunk; a member meets each chunk of its bucket once.
+    """
+    mine = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
+    block = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    block = block.withColumns({"low": F.least("mine", "other"), "high": F.greatest("mine", "other")})
+    by = ["key", "low", "high"]
+    # Blocks of one bucket are dealt out on their own, not with the bucket.
+    return block.repartition(*by).groupBy(*by).agg(F.collect_list(members).alias("rows"))
+
+
+def _needed(members: DataFrame, sets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """``key``, ``low``, ``high`` and ``doc_id``: members of blocks that have a pair to test."""
     placed = members.join(parts, members["doc_id"] == parts["id"], "left").select(
-        "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
+        "key", "band", "centre", "doc_id", F.coalesce("component", "doc_id").alias("component")
     )
+    # In a bucket of two the only pair is tested.
     mixed_keys = (
         placed.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
-        .filter("low < high")
+        .agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("n"))
+        .filter("least < most and n > 2")
         .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"))
     )
     one = sets.groupBy("doc_id").agg(F.min(F.struct("n_shingles", "sketch")).alias("set"))
     rows = placed.join(mixed_keys, "key").join(one, "doc_id")
-    mine = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
-    block = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    # A block is named by its lower and higher chunk; a member meets each other chunk once.
-    grouped = block.groupBy("key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")).agg(
-        F.collect_list(F.struct("doc_id", "component", "set.n_shingles", "set.sketch", "mine")).alias("rows")
-    )
+    rows = rows.withColumn("member", F.struct("doc_id", "component", "set.n_shingles", "set.sketch", "centre", "band",
+                                              F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int").alias("mine")))
+    grouped = _blocks(rows.select("key", "chunks", "doc_id", "member"), "member")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for key, low, high, found in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                ids, part, n, mine = (np.array([x[c] for x in found]) for c in ("doc_id", "component", "n_shingles", "mine"))
+                sketch = np.frombuffer(b"".join(x["sketch"] for x in found), np.uint8).reshape(-1, BINS)
+                first = found[0]
+                near = _close(ids, part, n, sketch, mine if low != high else None, first["centre"], first["band"], percent)
+                out += [(key, low, high, x) for x in ids[near].tolist()]
+            columns = list(zip(*out)) if out else [[]] * 4
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "low", "high", "doc_id"])
+
+    return grouped.mapInArrow(scan, "key long, low int, high int, doc_id long")
+
+
+def _whole_sets(texts: DataFrame, size: int) -> DataFrame:
+    """``doc_id`` and its sorted distinct shingle hashes as bytes."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, words in sliced_words(batch.column(1), SPACED):
+                row, _, value = shingles(words, size)
+                row, value = distinct(row, value)
+                edge = np.searchsorted(row, np.arange(j - i + 1))
+                found = [value[edge[r] : edge[r + 1]].tobytes() for r in range(j - i)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(found, pa.binary())], ["doc_id", "hashes"])
+
+    return texts.select("doc_id", "text").mapInArrow(scan, "doc_id long, hashes binary")
+
+
+def block_links(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets that are similar enough, by exact sizes of all intersections.
+
+    Shingles of one set only cannot be shared; the others make a table of sets
+    by shingles, whose product with itself holds the sizes.
+    """
+    n = len(sets)
+    size = np.array([len(x) for x in sets])
+    row, value = np.repeat(np.arange(n), size), np.concatenate(sets)
+    kinds, at, count = np.unique(value, return_inverse=True, return_counts=True)
+    column = np.full(len(kinds), -1)
+    column[count > 1] = np.arange((count > 1).sum())
+    column = column[at]
+    shared = np.zeros((n, n), np.float64)
+    for begin in range(0, int(column.max(initial=-1)) + 1, 4096):
+        own = (column >= begin) & (column < begin + 4096)
+        table = np.zeros((n, 4096), np.float32)
+        table[row[own], column[own] - begin] = 1
+        shared += table @ table.T
+    union = size[:, None] + size[None, :] - shared
+    return np.nonzero(np.triu((100 * shared >= percent * union) & (shared > 0), 1))
+
+
+def _rest(members: DataFrame, sets: DataFrame, parts: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between components that the stars did not test, as stars of each block.
+
+    Members of a bucket that lie in different components and whose sketches
+    look similar are compared on full sets, block by block; no task holds a whole
+    bucket, and what leaves a block is one link per member at most.
+    """
+    needed = pinned(_needed(members, sets, parts, percent), "needed")
+    whole = pinned(_whole_sets(texts_of(docs, needed), size), "whole-sets")
+    by = ["key", "low", "high"]
+    dealt = needed.join(whole, "doc_id").select(*by, F.struct("doc_id", "hashes").alias("member")).repartition(*by)
+    grouped = dealt.groupBy(*by).agg(F.collect_list("member").alias("rows"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            for low, high, found in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for r in range(len(batch)):
+                found = batch.column(0)[r].as_py()
                 ids = np.array([x["doc_id"] for x in found], np.int64)
-                part = np.array([x["component"] for x in found], np.int64)
-                n = np.array([x["n_shingles"] for x in found], np.int64)
-                sketch = np.frombuffer(b"".join(x["sketch"] for x in found), np.uint8).reshape(-1, BINS)
-                mine = np.array([x["mine"] for x in found])
-                order = np.argsort(ids, kind="stable")
-                ids, part, n, sketch, mine = ids[order], part[order], n[order], sketch[order], mine[order]
-                for i in range(len(ids)):
-                    ok = part[i + 1 :] != part[i]
-                    ok &= 100 * np.minimum(n[i], n[i + 1 :]) >= percent * np.maximum(n[i], n[i + 1 :])
-                    if low != high:
-                        ok &= mine[i + 1 :] != mine[i]
-                    at = i + 1 + np.flatnonzero(ok)
-                    at = at[(sketch[at] == sketch[i]).sum(1) >= SKETCH_BINS]
-                    a += [int(ids[i])] * len(at)
-                    b += ids[at].tolist()
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    pairs = grouped.select("low", "high", "rows").mapInArrow(scan, "a long, b long").distinct()
-    return pairs.join(done, ["a", "b"], "left_anti")
+                i, j = block_links([np.frombuffer(x["hashes"], np.uint64) for x in found], percent)
+                low = ids.copy()
+                while len(i):
+                    least, before = np.minimum(low[i], low[j]), low.copy()
+                    np.minimum.at(low, i, least)
+                    np.minimum.at(low, j, least)
+                    if (before == low).all():
+                        break
+                moved = np.flatnonzero(low != ids)
+                a += ids[moved].tolist()
+                b += low[moved].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return grouped.select("rows").mapInArrow(scan, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -248,18 +347,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     copies = filled.join(nodes.filter("copies > 1").select(*equal, F.col("least.doc_id").alias("b")), equal).select(
         F.col("doc_id").alias("a"), "b"
     )
-    keys = nodes.select(F.col("least.doc_id").alias("doc_id"), F.explode("least.bands").alias("key"))
+    keys = nodes.select(F.col("least.doc_id").alias("doc_id"), F.posexplode("least.bands").alias("band", "key"))
     shared = keys.groupBy("key").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last"))
     shared = shared.filter("centre < last").select("key", "centre")
     members = pinned(keys.join(shared, "key"), "members")
     pairs = pinned(members.filter("doc_id > centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     links = tested(pairs, docs, size, percent).unionByName(copies.select("a", "b"))
     parts = components(links)
-    more = pinned(_rest(members.select("key", "doc_id"), sets, parts, pairs, percent), "rest")
-    parts = components(links.unionByName(tested(more, docs, size, percent)))
+    more = _rest(members, sets, pinned(parts, "parts"), docs, size, percent)
+    parts = components(links.unionByName(more))
     found = sets.select("doc_id", "n_shingles").join(parts, sets["doc_id"] == parts["id"], "left")
     component = F.coalesce("component", "doc_id")
     return found.select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id, with the input's columns.
+
+    Of rows that share a doc_id one stays.  Rows without a doc_id stay.
+    """
+    named = docs.filter("doc_id is not null")
+    found = near_duplicates(named, size, percent)
+    kept = found.filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = named.join(kept, named["doc_id"] == kept["_kept"], "left_semi")
+    # The join has dealt the rows by doc_id, so this takes no further shuffle.
+    one = rows.dropDuplicates(["doc_id"])
+    return one.select(*cols(docs.columns)).unionByName(docs.filter("doc_id is null"))

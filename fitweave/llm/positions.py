@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fitweave.columns import cols
 from fitweave.shared import new_path
 
 
@@ -36,4 +37,4 @@ def with_position(scan: DataFrame, name: str, by: Sequence[str] = ()) -> DataFra
     sizes = placed.groupBy(*by, "_file").agg(F.count(F.lit(1)).alias("_rows"))
     starts = sizes.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     joined = placed.join(starts, "_file")
-    return joined.select(*scan.columns, (F.col("_start") + F.col("_row")).alias(name))
+    return joined.select(*cols(scan.columns), (F.col("_start") + F.col("_row")).alias(name))

@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fitweave.columns import cols
 from fitweave.llm.positions import with_position, written
 
 #: (region, rack, shard number, weight)
@@ -97,7 +98,7 @@ def sharded(docs: DataFrame, tree: Sequence[Leaf], key: str = "doc_id") -> DataF
     drawn = tree_path(docs.drop(*own), F.col(key), tree, "_path")
     drawn = tree_path(drawn, F.col(key), grown(tree), "_grown")
     placed = drawn.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in own],
+        *cols(c for c in docs.columns if c not in own),
         F.split("_path", "/")[0].alias("region"),
         F.split("_path", "/")[1].alias("rack"),
         F.split("_grown", "/")[2].cast("int").alias("grown_shard"),
