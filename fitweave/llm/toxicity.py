@@ -32,7 +32,7 @@ from fitweave.shared import pinned
 
 SAMPLE_ROWS = 3000
 MIN_DOCS = 3
-SURE = 4.0
+SURE = 3.5
 THRESHOLD = 0.7
 
 _PAIR = np.uint64(0xA24BAED4963EE407)
