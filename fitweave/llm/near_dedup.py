@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fitweave.columns import cols
+from fitweave.llm.apart import set_apart
 from fitweave.llm.components import components
 from fitweave.llm.words import SPACED, distinct, mixed, shingles, sliced_words
 from fitweave.shared import pinned
@@ -111,14 +111,13 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(scan, SETS)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union.
 
-    ``pairs`` are distinct; ``docs`` has one text per doc_id.  The side that can
+    ``pairs`` are distinct; ``texts`` has one text per doc_id.  The side that can
     repeat often (a, the centres) is joined last, as a plain join that adaptive
     execution can split.
     """
-    texts = docs.select("doc_id", "text")
     joined = (
         pairs.join(texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
         .join(texts.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a")
@@ -163,17 +162,11 @@ def _linked(a: pa.Array, b: pa.Array, size: int, percent: int) -> np.ndarray:
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """One text per doc_id that is in ``ids``: the least, where rows share a doc_id."""
+    """One text per doc_id that is in ``ids``, written: the least, where rows share a doc_id."""
     wanted = docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
     return pinned(wanted.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
 
 
-def tested(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Confirmed links among distinct candidate pairs (a, b), written."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id")))
-    return pinned(confirmed(pairs, texts_of(docs, ids), size, percent), "confirmed")
-
-
 #: Bins of 128 that must agree before a pair of different components is tested.
 #: At similarity 0.8 about 102 agree, with a deviation under 5.
 SKETCH_BINS = 72
@@ -293,7 +286,7 @@ def block_links(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nd
     return np.nonzero(np.triu((100 * shared >= percent * union) & (shared > 0), 1))
 
 
-def _rest(members: DataFrame, sets: DataFrame, parts: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _rest(members: DataFrame, sets: DataFrame, parts: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links between components that the stars did not test, as stars of each block.
 
     Members of a bucket that lie in different components and whose sketches
@@ -301,7 +294,8 @@ def _rest(members: DataFrame, sets: DataFrame, parts: DataFrame, docs: DataFrame
     bucket, and what leaves a block is one link per member at most.
     """
     needed = pinned(_needed(members, sets, parts, percent), "needed")
-    whole = pinned(_whole_sets(texts_of(docs, needed), size), "whole-sets")
+    wanted = texts.join(needed.select("doc_id").distinct(), "doc_id", "left_semi")
+    whole = pinned(_whole_sets(wanted, size), "whole-sets")
     by = ["key", "low", "high"]
     dealt = needed.join(whole, "doc_id").select(*by, F.struct("doc_id", "hashes").alias("member")).repartition(*by)
     grouped = dealt.groupBy(*by).agg(F.collect_list("member").alias("rows"))
@@ -352,9 +346,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     shared = shared.filter("centre < last").select("key", "centre")
     members = pinned(keys.join(shared, "key"), "members")
     pairs = pinned(members.filter("doc_id > centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
-    links = tested(pairs, docs, size, percent).unionByName(copies.select("a", "b"))
-    parts = components(links)
-    more = _rest(members, sets, pinned(parts, "parts"), docs, size, percent)
+    # Every member of a shared bucket is in a pair: its text is read once for both rounds.
+    texts = texts_of(docs, members)
+    confirmed_pairs = pinned(confirmed(pairs, texts, size, percent), "confirmed")
+    links = confirmed_pairs.unionByName(copies.select("a", "b"))
+    more = _rest(members, sets, pinned(components(links), "parts"), texts, size, percent)
     parts = components(links.unionByName(more))
     found = sets.select("doc_id", "n_shingles").join(parts, sets["doc_id"] == parts["id"], "left")
     component = F.coalesce("component", "doc_id")
@@ -369,10 +365,10 @@ def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
 
     Of rows that share a doc_id one stays.  Rows without a doc_id stay.
     """
-    named = docs.filter("doc_id is not null")
+    plain, back = set_apart(docs, "doc_id", "text")
+    named = plain.filter("doc_id is not null")
     found = near_duplicates(named, size, percent)
-    kept = found.filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = named.join(kept, named["doc_id"] == kept["_kept"], "left_semi")
-    # The join has dealt the rows by doc_id, so this takes no further shuffle.
-    one = rows.dropDuplicates(["doc_id"])
-    return one.select(*cols(docs.columns)).unionByName(docs.filter("doc_id is null"))
+    kept = found.filter("kept").select("doc_id").distinct()
+    # The join deals the rows by doc_id, so keeping one of each takes no further shuffle.
+    one = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return back(one.unionByName(plain.filter("doc_id is null")))
