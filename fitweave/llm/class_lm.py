@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fitweave.llm.words import LOWER, SPACED, Words, mixed, sliced_words
+from fitweave.llm.words import LOWER, SPACED, Words, fetched, mixed, sliced_words
 from fitweave.shared import pinned
 
 UNITS = 1000
@@ -102,11 +102,11 @@ def head_of(words: DataFrame, head: int, units: int) -> tuple[Head, np.ndarray]:
         none = np.zeros(0, np.int64)
         return Head(none.view(np.uint64), none, none), none
     # At most ``head`` rows.
-    table = words.filter(grade >= least).select("hash", "n", "ending").toPandas()
-    value, count = table["hash"].to_numpy(np.int64).view(np.uint64), table["n"].to_numpy(np.int64)
+    table = fetched(words.filter(grade >= least).select("hash", "n", "ending"))
+    value, count = table["hash"].view(np.uint64), table["n"]
     order = np.argsort(value)
     value, count = value[order], count[order]
-    ending = table["ending"].to_numpy(np.int64)[order]
+    ending = table["ending"][order]
     unit = np.full(len(value), -1)
     first = np.lexsort((value, -count))[:units]
     unit[first] = np.arange(len(first))
@@ -158,9 +158,9 @@ def unit_pairs(learned: DataFrame, head: Head) -> np.ndarray:
 
     counts = learned.select("text").mapInArrow(scan, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     # At most ALL_UNITS squared rows.
-    table = counts.toPandas()
+    table = fetched(counts)
     found = np.zeros(ALL_UNITS * ALL_UNITS)
-    found[table["pair"].to_numpy(np.int64)] = table["n"].to_numpy(float)
+    found[table["pair"]] = table["n"]
     return found.reshape(ALL_UNITS, ALL_UNITS)
 
 
@@ -236,17 +236,17 @@ def trained(docs: DataFrame, head: int = HEAD) -> tuple[Model, DataFrame]:
     learned = docs.filter(~held_out(F.col("doc_id"))).select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     texts = learned.count()
     words = pinned(word_counts(learned), "words")
-    per_ending = words.groupBy("ending").agg(
+    per_ending = fetched(words.groupBy("ending").agg(
         F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n"),
         F.count(F.when(F.col("n") == 1, 1)).alias("once"), F.count(F.when(F.col("n") == 2, 1)).alias("twice"),
-    ).toPandas()
+    ))
     once, twice = int(per_ending["once"].sum()), int(per_ending["twice"].sum())
     discount = min(max(once / (once + 2 * twice) if once else 0.5, 0.1), 0.9)
     frequent, own_endings = head_of(words, head, UNITS)
     pairs = unit_pairs(learned, frequent)
     own = exchanged(pairs)
     kinds = np.zeros(ALL_UNITS)
-    kinds[UNITS + per_ending["ending"].to_numpy(np.int64)] = per_ending["kinds"].to_numpy(float)
+    kinds[UNITS + per_ending["ending"]] = per_ending["kinds"]
     # Words that are units of their own do not count for their endings.
     np.subtract.at(kinds, UNITS + own_endings, 1)
     kinds[: len(own_endings)] = 1
@@ -286,12 +286,18 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
                 after, before = with_edges(words, units_of(words, m.head, at))
                 kind, kind_before = m.own[after], m.own[before]
                 token_row = np.repeat(np.arange(n), words.count() + 1)
-                # The class of every token, and its share of the class; the words' counts come below.
-                score = np.bincount(token_row, weights=m.move[kind_before, kind] - m.room[kind], minlength=n)
-                score += np.log10(m.texts - m.discount) if m.texts else m.unknown[m.own[EDGE]]
-                word_kind = np.delete(kind, words.first[1:] + np.arange(n))
+                # Class, share of the class, and count of every token but the words outside the head.
+                end_at = words.first[1:] + np.arange(n)
+                is_word = np.ones(len(after), bool)
+                is_word[end_at] = False
                 count = m.head.count[at[seen]].astype(float)
-                score += np.bincount(words.row[seen], weights=np.log10(count - m.discount), minlength=n)
+                own = np.zeros(len(words.hash))
+                own[seen] = np.log10(count - m.discount)
+                value = m.move[kind_before, kind] - m.room[kind]
+                value[is_word] += own
+                value[end_at] += np.log10(m.texts - m.discount) if m.texts else m.unknown[m.own[EDGE]]
+                score = np.bincount(token_row, weights=value, minlength=n)
+                word_kind = kind[is_word]
                 base = np.bincount(words.row[seen], weights=np.log10(count + 1), minlength=n) + end_base
                 known = np.bincount(words.row[seen], minlength=n) + (1 if m.texts else 0)
                 rest = np.flatnonzero(~seen)

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fitweave.columns import cols
-from fitweave.llm.words import PLAIN, Words, sliced_words, windows
+from fitweave.llm.apart import set_apart
+from fitweave.llm.words import PLAIN, Words, fetched, sliced_words, windows
 
 WINDOW = 10
 BLOCK_WINDOWS = 1 << 19
@@ -66,12 +66,14 @@ def _blocks(grams: DataFrame, block_windows: int) -> Iterator[dict]:
     for part in range(parts):
         # A block holds about block_windows rows: a hash deals them out evenly.
         own = grams if parts == 1 else grams.filter(F.pmod(F.xxhash64("hash", "gram"), F.lit(parts)) == part)
-        table = own.toPandas().sort_values(["words", "hash"], kind="stable", ignore_index=True)
+        table = fetched(own)
+        value = table["hash"].view(np.uint64)
+        order = np.lexsort((value, table["words"]))
         yield {
-            "hash": table["hash"].to_numpy(np.int64).view(np.uint64),
-            "words": table["words"].to_numpy(np.int64),
-            "gram": table["gram"].tolist(),
-            "item": table["item"].tolist(),
+            "hash": value[order],
+            "words": table["words"][order].astype(np.int64),
+            "gram": table["gram"][order].tolist(),
+            "item": table["item"][order].tolist(),
         }
 
 
@@ -192,12 +194,12 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "documen
     all documents and cuts the hit words out of their texts, from the first
     byte of a run of hit words to its last.
     """
-    if remove == "documents":
-        found = benchmark_hits(docs, benchmark, size)
-        return found.filter(F.size("hits") == 0).select(*cols(docs.columns))
-    if remove != "spans":
+    if remove not in ("documents", "spans"):
         raise ValueError("remove is documents or spans")
-    found = benchmark_hits(docs, benchmark, size)
+    plain, back = set_apart(docs, "text")
+    found = benchmark_hits(plain, benchmark, size)
+    if remove == "documents":
+        return back(found.filter(F.size("hits") == 0))
     at, text_at = found.columns.index("hits"), found.columns.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +213,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "documen
             arrays[text_at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(arrays, batch.schema.names)
 
-    return found.mapInArrow(cut, found.schema).select(*cols(docs.columns))
+    return back(found.mapInArrow(cut, found.schema))
 
 
 def _without(words: Words, row: int, hits: list[dict], text: bytes) -> str:

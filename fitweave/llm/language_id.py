@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fitweave.llm.words import buffers, slices
+from fitweave.llm.words import buffers, fetched, slices
 from fitweave.shared import pinned
 
 ORDER = 4
@@ -162,8 +162,8 @@ def _scan_grams(sample: DataFrame, letters: np.ndarray) -> tuple[np.ndarray, np.
                     )
 
     counts = sample.filter("not aside").select("lang", "text").mapInArrow(scan, "lang int, gram long, n long")
-    table = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    return table["lang"].to_numpy(np.int64), table["gram"].to_numpy(np.int64), table["n"].to_numpy(np.int64)
+    table = fetched(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    return table["lang"].astype(np.int64), table["gram"], table["n"]
 
 
 def _level(lang: np.ndarray, gram: np.ndarray, count: np.ndarray, langs: int, base: int) -> Level:
@@ -271,12 +271,12 @@ def trained(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
             yield pa.RecordBatch.from_arrays([batch.column(0), e], ["lang", "e"])
 
     # About a fifth of the sample: bounded by sample_rows and the number of languages.
-    aside = sample.filter("aside").select("lang", "text").mapInArrow(scan, "lang int, e array<double>").toPandas()
-    if len(aside):
-        e, own = np.stack(aside["e"].to_numpy()), aside["lang"].to_numpy(np.int64)
-        ok = ~np.isnan(e).any(1)
-        e, own = e[ok], own[ok]
-    if not len(aside) or not len(own):
+    aside = fetched(sample.filter("aside").select("lang", "text").mapInArrow(scan, "lang int, e array<double>"))
+    own = aside["lang"].astype(np.int64)
+    e = np.stack(aside["e"]) if len(own) else np.zeros((0, len(langs)))
+    ok = ~np.isnan(e).any(1)
+    e, own = e[ok], own[ok]
+    if not len(own):
         return model
     bound = model.bound.copy()
     for k in range(len(langs)):

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fitweave.llm.words import PLAIN, mixed, shingles, sliced_words
+from fitweave.llm.words import PLAIN, fetched, mixed, shingles, sliced_words
 from fitweave.shared import pinned
 
 SAMPLE_ROWS = 3000
@@ -51,13 +51,15 @@ class Model(NamedTuple):
 
 
 class Curve(NamedTuple):
-    """low + (1 - low) / (1 + exp(-slope * (x - middle)))"""
+    """low + (1 - low) / (1 + exp(-slope * (x - middle))); low alone without a slope"""
 
     low: float
     slope: float
     middle: float
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
+        if not self.slope:
+            return np.full(np.shape(x), self.low)
         z = np.clip(self.slope * (x - self.middle), -40, 40)
         return self.low + (1 - self.low) / (1 + np.exp(-z))
 
@@ -183,6 +185,13 @@ class Counts(NamedTuple):
     discounts: tuple[float, float]
 
 
+def _sorted(table: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The columns in the order of their unsigned hash ``gram``."""
+    table["gram"] = table["gram"].view(np.uint64)
+    order = np.argsort(table["gram"])
+    return {c: v[order] for c, v in table.items()}
+
+
 def gram_counts(sample: DataFrame, min_docs: int = MIN_DOCS) -> Counts:
     grams = pinned(_grams(sample), "toxicity-grams")
     total = sum((F.col(c) for c in _CELLS), F.lit(0))
@@ -198,27 +207,23 @@ def gram_counts(sample: DataFrame, min_docs: int = MIN_DOCS) -> Counts:
     # Kept rows are bounded by the sample: each needs min_docs of its documents.
     kept = grams.filter(sum((F.col(c) for c in _DOCS), F.lit(0)) >= min_docs)
     heads = grams.filter("not single").groupBy("word").agg(F.count(F.lit(1)).alias("continuations"))
-    words = kept.filter("single").join(heads, "word", "left").select("gram", *_CELLS, *_DOCS, F.coalesce("continuations", F.lit(0)))
-    words = words.toPandas().sort_values("gram", key=lambda x: x.to_numpy().view(np.uint64))
-    pairs = kept.filter("not single").select("gram", "previous", "word", *_CELLS, *_DOCS).toPandas()
-    pairs = pairs.sort_values("gram", key=lambda x: x.to_numpy().view(np.uint64))
+    words = kept.filter("single").join(heads, "word", "left").select("gram", *_CELLS, *_DOCS, F.coalesce("continuations", F.lit(0)).alias("continuations"))
+    words = _sorted(fetched(words))
+    pairs = _sorted(fetched(kept.filter("not single").select("gram", "previous", "word", *_CELLS, *_DOCS)))
     texts = np.zeros((2, 2))
     for r in sample.groupBy("toxic", "half").count().collect():
         texts[r["toxic"], r["half"]] = r["count"]
 
-    def unsigned(x) -> np.ndarray:
-        return x.to_numpy(np.int64).view(np.uint64)
-
-    def cells(table, names: tuple[str, ...]) -> np.ndarray:
-        return table[list(names)].to_numpy(float).reshape(-1, 2, 2)
+    def cells(table: dict[str, np.ndarray], names: tuple[str, ...]) -> np.ndarray:
+        return np.stack([table[c] for c in names], 1).astype(float).reshape(-1, 2, 2)
 
     def discount(single: bool) -> float:
         r = sums.get(single)
         return r["once"] / (r["once"] + 2 * r["twice"]) if r and r["once"] else 0.5
 
     return Counts(
-        unsigned(words["gram"]), cells(words, _CELLS), cells(words, _DOCS), words.iloc[:, -1].to_numpy(float),
-        unsigned(pairs["gram"]), unsigned(pairs["previous"]), unsigned(pairs["word"]),
+        words["gram"], cells(words, _CELLS), cells(words, _DOCS), words["continuations"].astype(float),
+        pairs["gram"], pairs["previous"].view(np.uint64), pairs["word"].view(np.uint64),
         cells(pairs, _CELLS), cells(pairs, _DOCS),
         np.array([float(sums[True][c] or 0) for c in _CELLS]).reshape(2, 2) if True in sums else np.zeros((2, 2)),
         texts, float(sums[False]["kinds"]) if False in sums else 0.0, (discount(True), discount(False)),
@@ -290,10 +295,10 @@ def curve(x: np.ndarray, toxic: np.ndarray, share: float) -> Curve:
     ok = ~np.isnan(x)
     x, toxic = x[ok], toxic[ok] == 1
     if not toxic.any() or toxic.all():
-        return Curve(share, 1.0, 1e9)
+        return Curve(share, 0.0, 0.0)
     weight = np.where(toxic, share / toxic.mean(), (1 - share) / (1 - toxic.mean()))
     spread = max(float(np.subtract(*np.quantile(x, [0.9, 0.1]))), 1e-6)
-    best, found = -np.inf, Curve(share, 1.0, 1e9)
+    best, found = -np.inf, Curve(share, 0.0, 0.0)
     for middle in np.unique(np.quantile(x, np.linspace(0.02, 0.98, 49))):
         for slope in np.geomspace(1, 300, 24) / spread:
             rise = 1 / (1 + np.exp(-np.clip(slope * (x - middle), -40, 40)))
@@ -319,8 +324,8 @@ def trained(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
             yield pa.RecordBatch.from_arrays([pa.array(x), batch.column(0)], ["x", "toxic"])
 
     # One pair of numbers for each of at most 2 * sample_rows documents.
-    outside = sample.mapInArrow(scan, "x double, toxic int").toPandas()
-    found = curve(outside["x"].to_numpy(float), outside["toxic"].to_numpy(int), share)
+    outside = fetched(sample.select("toxic", "half", "text").mapInArrow(scan, "x double, toxic int"))
+    found = curve(outside["x"].astype(float), outside["toxic"], share)
     return fitted(counts, (0, 1)), found, share
 
 

@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 1 << 19
 
@@ -172,3 +173,9 @@ def distinct(row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray
         new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
         row, value = row[new], value[new]
     return row, value
+
+
+def fetched(df: DataFrame) -> dict[str, np.ndarray]:
+    """Columns of a result of bounded size, fetched as Arrow data and not as rows."""
+    table = df.toArrow()
+    return {name: table.column(name).to_numpy() for name in table.column_names}
