@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,34 +124,29 @@ def text_windows(docs: DataFrame, least: int) -> DataFrame:
     )
 
 
-def common_regions(windows: list[tuple[int, int, int, int]], least: int, enough: int) -> list[tuple[int, int]]:
-    """Regions that hold a passage common to windows of ``enough`` functions.
+def common_regions(
+    pair: np.ndarray, first: np.ndarray, place: np.ndarray, last: np.ndarray, least: int, enough: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Regions whose passages of the least length share windows of ``enough`` functions.
 
-    Windows are (first, place, last, function).  A passage lies in a window if
-    it begins from first to place and ends from place to last; so windows have
-    one in common when the greatest first is not after the least place, nor the
-    greatest place after the least last.
+    Windows are given by their pair's number.  A passage of the least length
+    that begins at i lies in a window if i is in [first, place] and its end in
+    [place, last], which is one interval of i.  Windows of one function share no
+    passage, so a place where ``enough`` intervals overlap has as many functions.
+    Returns pair, first and last position of each region.
     """
-    windows = sorted(windows)
-    found = []
-    for k, (first, place, _, _) in enumerate(windows):
-        # Passages that begin at this window's first position.
-        by_function: dict[int, int] = {}
-        for f0, p0, l0, fn in windows:
-            if f0 > first:
-                break
-            if p0 >= first and l0 - first + 1 >= least:
-                by_function[fn] = max(by_function.get(fn, 0), l0)
-        if len(by_function) >= enough:
-            end = sorted(by_function.values(), reverse=True)[enough - 1]
-            found.append((first, end))
-    merged: list[tuple[int, int]] = []
-    for first, last in found:
-        if merged and first <= merged[-1][1] + 1:
-            merged[-1] = (merged[-1][0], max(merged[-1][1], last))
-        else:
-            merged.append((first, last))
-    return merged
+    begin, end = np.maximum(first, place - least + 1), np.minimum(place, last - least + 1)
+    ok = begin <= end
+    at = np.concatenate([begin[ok], end[ok] + 1])
+    own = np.concatenate([pair[ok], pair[ok]])
+    step = np.concatenate([np.ones(ok.sum(), np.int64), -np.ones(ok.sum(), np.int64)])
+    # Ends come before begins at one place, so that regions that only touch stay apart.
+    order = np.lexsort((step, at, own))
+    depth = np.cumsum(step[order])
+    before = np.concatenate([[0], depth[:-1]])
+    up = order[(depth >= enough) & (before < enough)]
+    down = order[(depth < enough) & (before >= enough)]
+    return own[up], at[up], at[down] - 1 + least - 1
 
 
 def _runs(places: np.ndarray) -> list[tuple[int, int]]:
@@ -158,40 +154,65 @@ def _runs(places: np.ndarray) -> list[tuple[int, int]]:
     return [(int(x[0]), int(x[-1])) for x in np.split(places, cut)] if len(places) else []
 
 
+def _aligned(
+    a: np.ndarray, b: np.ndarray, first: int, last: int, least: int, percent: int
+) -> tuple[int, int, int, int, float] | None:
+    """The longest similar part of a's shingles first to last and of one run of b."""
+    own = a[first : last + 1]
+    best: tuple[int, int, int, int, float] | None = None
+    for begin, end in sorted(_runs(np.flatnonzero(np.isin(b, own))), key=lambda r: r[0] - r[1]):
+        if end - begin + 1 < least:
+            break
+        other = b[begin : end + 1]
+        here = np.flatnonzero(np.isin(own, other))
+        s, e = first + int(here[0]), first + int(here[-1])
+        if e - s + 1 < least or (best is not None and e - s <= best[1] - best[0]):
+            continue
+        x, y = np.unique(a[s : e + 1]), np.unique(other)
+        shared = np.isin(x, y, assume_unique=True).sum()
+        union = len(x) + len(y) - shared
+        if 100 * shared >= percent * union:
+            best = (s, e, begin, end, float(shared / union))
+    return best
+
+
 def verified(
     a: np.ndarray, b: np.ndarray, regions: list[tuple[int, int]], least: int, percent: int
 ) -> list[tuple[int, int, int, int, float]]:
-    """Passages of a and b that are similar: first and last shingle in each, and the similarity."""
+    """Passages of a and b that are similar: first and last shingle in each, and the similarity.
+
+    A run of matches that is not similar enough as a whole is cut at its widest
+    gap; what a passage leaves of a run on either side is looked at again.
+    """
     found = []
-    matched = np.isin(a, b)
     inside = np.zeros(len(a), bool)
     for first, last in regions:
         inside[first : last + 1] = True
-    for first, last in _runs(np.flatnonzero(matched & inside)):
+    places = np.flatnonzero(np.isin(a, b) & inside)
+    todo = _runs(places)
+    while todo:
+        first, last = todo.pop()
         if last - first + 1 < least:
             continue
-        own = a[first : last + 1]
-        runs = _runs(np.flatnonzero(np.isin(b, own)))
-        best: tuple[int, int, int, int, float] | None = None
-        for begin, end in sorted(runs, key=lambda r: r[0] - r[1])[:4]:
-            other = b[begin : end + 1]
-            here = np.flatnonzero(np.isin(own, other))
-            s, e = first + int(here[0]), first + int(here[-1])
-            if e - s + 1 < least or end - begin + 1 < least:
-                continue
-            x, y = np.unique(a[s : e + 1]), np.unique(other)
-            shared = np.isin(x, y, assume_unique=True).sum()
-            union = len(x) + len(y) - shared
-            if 100 * shared >= percent * union and (best is None or e - s > best[1] - best[0]):
-                best = (s, e, begin, end, float(shared / union))
+        best = _aligned(a, b, first, last, least, percent)
+        lo, hi = np.searchsorted(places, [first, last + 1])
+        own = places[lo:hi]
         if best:
             found.append(best)
-    return found
+            left, right = own[own < best[0]], own[own > best[1]]
+            todo += [(int(x[0]), int(x[-1])) for x in (left, right) if len(x)]
+            continue
+        gaps = np.diff(own)
+        if len(gaps) and gaps.max() > 1:
+            cut = int(gaps.argmax()) + 1
+            todo += [(int(own[0]), int(own[cut - 1])), (int(own[cut]), int(own[-1]))]
+    return sorted(found)
 
 
 def _pairs(docs: DataFrame, least: int, enough: int) -> DataFrame:
     """``a``, ``b`` and candidate ``regions`` of a, for texts that share enough windows."""
-    windows = pinned(text_windows(docs, least), "windows")
+    # Cut out once for the keys and once for the look-up: that costs less than keeping all windows.
+    windows = text_windows(docs, least)
     shared = windows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     met = windows.join(shared, "key").select(
         F.col("node").alias("a"),
@@ -200,17 +221,18 @@ def _pairs(docs: DataFrame, least: int, enough: int) -> DataFrame:
     )
     # Equal texts bring equal windows; a set holds each once.
     both = met.groupBy("a", "b").agg(F.collect_set("w").alias("windows"))
-    both = both.filter(F.size(F.array_distinct(F.transform("windows", lambda w: w["function"]))) >= enough)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+        kind = pa.struct([("first", pa.int32()), ("last", pa.int32())])
         for batch in batches:
-            regions = []
-            for own in batch.column(2).to_pylist():
-                found = common_regions([(w["first"], w["place"], w["last"], w["function"]) for w in own], least, enough)
-                regions.append([{"first": x, "last": y} for x, y in found])
+            column = batch.column(2)
+            pair = np.repeat(np.arange(len(batch)), pa.compute.list_value_length(column).to_numpy())
+            fields = [x.to_numpy().astype(np.int64) for x in column.flatten().flatten()]
+            own, first, last = common_regions(pair, *fields[:3], least, enough)
+            offsets = np.searchsorted(own, np.arange(len(batch) + 1)).astype(np.int32)
+            regions = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (first, last)], fields=list(kind))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(regions, kind)], ["a", "b", "regions"]
+                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(offsets), regions)], ["a", "b", "regions"]
             )
 
     schema = "a long, b long, regions array<struct<first:int,last:int>>"
