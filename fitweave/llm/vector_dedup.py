@@ -8,8 +8,8 @@ on all of them share a cell.  Inside a cell, collisions are counted on
 reaches ``least_count`` are verified by cosine in double precision.
 
 At the threshold a pair shares a step with probability about 0.8, so it misses
-all cells with probability (1 - 0.8**3)**16, about 10**-5, and the count is set
-to lose one pair in 10**6.  Closer pairs fare better.
+all cells with probability (1 - 0.8**3)**24, about 3 * 10**-8, and the count is
+set to lose one pair in 10**8.  Closer pairs fare better.
 
 Equal vectors are one node with a number of copies.  Cells are compared in
 blocks of bounded size; a block sends out, per vector, its number of links and
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ from fitweave.llm.components import components
 from fitweave.llm.words import mixed
 from fitweave.shared import pinned
 
-TABLES = 16
+TABLES = 24
 DIMS = 3
 STEP = 4.0
 DIRECTIONS = 48
@@ -38,7 +39,7 @@ WINDOW = 1.0
 BLOCK = 256
 
 
-def least_count(lost: float = 1e-6) -> int:
+def least_count(lost: float = 1e-8) -> int:
     """The largest count that a pair at the threshold misses with probability ``lost`` at most."""
     p = math.erf(WINDOW / math.sqrt(2))
     below, count = 0.0, 0
@@ -92,13 +93,8 @@ def _usable(embedding: Column) -> Column:
     return F.coalesce(embedding.isNotNull() & finite & F.exists(embedding, lambda x: x != 0), F.lit(False))
 
 
-def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.diff(column.offsets.to_numpy())
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64), lengths
-
-
 def _placed(classes: DataFrame, cosine: float) -> DataFrame:
-    """A row per class and table: table, cell (with label and dimension), rep, copies, vector."""
+    """A row per class and table: table, cell (of label and dimension), label, rep, class."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -108,23 +104,24 @@ def _placed(classes: DataFrame, cosine: float) -> DataFrame:
                 for dim in np.unique(lengths).tolist():
                     rows = np.flatnonzero(lengths == dim)
                     own = batch.take(pa.array(rows))
-                    flat, _ = _lists(own.column(3))
+                    flat = own.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
                     key = cells(projections(_units(flat.reshape(-1, dim)), cosine))
                     label = own.column(0).to_numpy().astype(np.int64).view(np.uint64)
                     key = mixed(key ^ mixed(label * np.uint64(2) + np.uint64(dim << 33))[:, None])
                     for t in range(TABLES):
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(rows), t, np.int32)), pa.array(key[:, t].view(np.int64)), *own.columns],
-                            ["table", "cell", *own.schema.names],
+                            [pa.array(np.full(len(rows), t, np.int32)), pa.array(key[:, t].view(np.int64)), *own.columns[:3]],
+                            ["table", "cell", *own.schema.names[:3]],
                         )
 
-    return classes.mapInArrow(scan, "table int, cell long, label long, rep long, copies long, vector array<double>")
+    rows = classes.select("label", "rep", "class", "vector")
+    return rows.mapInArrow(scan, "table int, cell long, label long, rep long, class long")
 
 
 def _block(found: dict, table: int, across: bool, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids with links, their numbers of links, and the smallest id each reaches in this block."""
     ids, copies, chunk, label = found["rep"], found["copies"], found["chunk"], found["label"]
-    vectors = found["vector"]
+    vectors = found["vector"].astype(np.float64)
     unit = _units(vectors)
     p = projections(unit, cosine)
     count = np.zeros((len(ids), len(ids)), np.int16)
@@ -162,8 +159,12 @@ def _block(found: dict, table: int, across: bool, cosine: float) -> tuple[np.nda
     return ids[at], links[at], root[at]
 
 
-def _links(placed: DataFrame, cosine: float) -> DataFrame:
-    """id, links, root: partial link counts and stars, one row per vector and block."""
+def _links(classes: DataFrame, cosine: float) -> DataFrame:
+    """id, links, root: partial link counts and stars, one row per vector and block.
+
+    Cells are cut into blocks by name; vectors join the members of blocks last.
+    """
+    placed = _placed(classes, cosine)
     sizes = placed.groupBy("table", "cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     sizes = sizes.select("table", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"))
     rows = placed.join(sizes, ["table", "cell"])
@@ -171,8 +172,9 @@ def _links(placed: DataFrame, cosine: float) -> DataFrame:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
     by = ["table", "cell", "low", "high"]
+    whole = rows.join(classes, ["label", "rep", "class"])
     # Blocks of one cell are dealt out on their own, not with the cell.
-    dealt = rows.select(*by, "label", "rep", "copies", "chunk", "vector").repartition(*by)
+    dealt = whole.select(*by, "label", "rep", "copies", "chunk", "vector").repartition(*by)
     blocks = dealt.groupBy(*by).agg(F.collect_list(F.struct("label", "rep", "copies", "chunk", "vector")).alias("rows"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,18 +209,21 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     does a row without a vec_id, whose component_id is null and which is kept.
     Equal rows link with each other.
     """
+    kind = vectors.schema["embedding"].dataType
+    # Single precision stays as it is on its way; arithmetic is in double precision.
+    kept = kind if kind.simpleString() == "array<float>" else "array<double>"
     table = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
-        F.col("embedding").cast("array<double>").alias("vector"),
+        F.col("embedding").cast(kept).alias("vector"),
     )
     usable = table.filter(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & _usable(F.col("vector")))
     classes = pinned(
         usable.groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-        .select("label", "rep", "copies", "vector"),
+        .select("label", "rep", F.xxhash64("vector").alias("class"), "copies", "vector"),
         "vector-classes",
     )
     # Without several labels on one vec_id, rep names a class; the label keeps others apart.
-    found = pinned(_links(_placed(classes, cosine), cosine), "vector-links")
+    found = pinned(_links(classes, cosine), "vector-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     repeated = classes.filter("copies > 1").select("label", "vector", "rep", "copies")
     members = usable.join(repeated, ["label", "vector"]).select("vec_id", "rep", "copies")
