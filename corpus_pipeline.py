@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitweave.columns import cols
 from fitweave.llm import decontaminate, mixing, near_dedup, sharding, toxicity
+from fitweave.llm.apart import set_apart
 from fitweave.shared import pinned
 
 SHARDS = 8
@@ -20,8 +20,9 @@ SHARDS = 8
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity models do not reject."""
-    found = toxicity.scored(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return found.filter("predicted = 0").select(*cols(docs.columns))
+    plain, back = set_apart(docs, "doc_id", "text")
+    found = toxicity.scored(plain, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return back(found.filter("predicted = 0"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fitweave.columns import cols
+from fitweave.llm.apart import set_apart
 from fitweave.llm.positions import with_position, written
 
 WEIGHTS = (1, 2, 3)
@@ -133,6 +134,6 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, k
 
     A document stands once for every copy taken, always whole.
     """
-    copies = schedule(docs, weights, most, key, whole=True).withColumn("_copy", F.explode("copies"))
-    ordered = copies.orderBy("_copy.finish", "_order", "_copy.epoch")
-    return ordered.select(*cols(docs.columns))
+    plain, back = set_apart(docs, key, "source", "text")
+    copies = schedule(plain, weights, most, key, whole=True).withColumn("_copy", F.explode("copies"))
+    return back(copies.orderBy("_copy.finish", "_order", "_copy.epoch"))
