@@ -1,0 +1,97 @@
+import hashlib
+import random
+import re
+from collections import defaultdict
+from fractions import Fraction
+
+import pytest
+
+from fitweave.llm import mixing
+
+
+def by_force(rows, weights=(1, 2, 3), most=3):
+    """(doc, size, source size, target, taken), row by row."""
+    sized = [(d, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for d, s, t in rows]
+    size = defaultdict(int)
+    for _, s, n in sized:
+        size[s] += n
+    order = sorted((s for s in size if s is not None), key=lambda s: s.encode()) + [None] * (None in size)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, capped, target = sum(size.values()), set(), {}
+    while True:
+        free = total - sum(most * size[s] for s in capped)
+        left = sum(weight[s] for s in order if s not in capped)
+        target = {s: Fraction(most * size[s]) if s in capped else Fraction(free * weight[s], left) for s in order}
+        over = {s for s in order if s not in capped and target[s] >= most * size[s]}
+        if not over:
+            break
+        capped |= over
+        if len(capped) == len(order):
+            target = {s: Fraction(most * size[s]) for s in order}
+            break
+    found, before = [], defaultdict(int)
+    place = lambda d: hashlib.md5(f"mix|{'' if d is None else d}".encode()).hexdigest()
+    for d, s, n in sorted(sized, key=lambda r: (place(r[0]), r[2])):
+        start, budget = before[s], int(target[s])
+        before[s] += n
+        taken = sum(max(0, min(n, budget - start - e * size[s])) for e in range(most))
+        found.append((d, n, size[s], float(target[s]), taken))
+    return found
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    sources = ["a", "B", "é", "z" * 3, None, "\U0001f600", "￿", ""]
+    rows = []
+    for i in range(300):
+        # One source holds a third of the rows.
+        s = "a" if i % 3 == 0 else rng.choice(sources)
+        rows.append((i, s, " ".join("w" * rng.choice([0, 1, 2, 9, 50]))))
+    return rows + [(None, "a", "x y"), (5, "a", None), (5, "a", ""), (5, "B", "x y"), (5, "B", "x y")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_equals_a_plain_loop(make, seed):
+    rows = corpus(seed)
+    found = mixing.schedule(make(rows, "doc_id long, source string, text string")).collect()
+    got = [(r["doc_id"], r["size"], r["source_size"], r["target"], r["taken"]) for r in found]
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1:])
+    want = by_force(rows)
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+        assert a[:3] == b[:3] and a[4] == b[4] and a[3] == pytest.approx(b[3], rel=1e-12)
+
+
+def test_sources_come_near_their_targets_and_copies_stop_at_three(make):
+    rows = corpus(9)
+    docs = make(rows, "doc_id long, source string, text string")
+    for whole in (False, True):
+        found = mixing.schedule(docs, whole=whole).collect()
+        assert all(r["taken"] <= 3 * r["size"] and len(r["copies"]) <= 3 for r in found)
+        by = defaultdict(list)
+        for r in found:
+            by[r["source"]].append(r)
+        for own in by.values():
+            near = max(r["size"] for r in own) / 2 if whole else 1
+            assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= near
+
+
+def test_mix_repeats_whole_documents_in_order_of_finish(make):
+    rows = [(i, "many" if i % 10 else "few", f"word{i} " * 5) for i in range(200)]
+    docs = make([(*r, 1.5) for r in rows], "doc_id long, source string, text string, size double")
+    mix = mixing.mixed(docs)
+    assert mix.columns == docs.columns
+    got = mix.collect()
+    few = sum(r["source"] == "few" for r in got)
+    assert few == 60 and len(got) == 200
+    # Both sources run side by side from the first row to the last.
+    half = [r["source"] for r in got[: len(got) // 2]]
+    assert 25 <= half.count("few") <= 35
+    assert [tuple(r) for r in mixing.mixed(docs).collect()] == [tuple(r) for r in got]
+
+
+def test_no_rows_and_no_words(make):
+    schema = "doc_id long, source string, text string"
+    assert mixing.schedule(make([], schema)).collect() == []
+    assert mixing.mixed(make([], schema)).collect() == []
+    found = mixing.schedule(make([(1, "a", None), (2, None, "")], schema)).collect()
+    assert [(r["size"], r["taken"], r["target"]) for r in found] == [(0, 0, 0.0)] * 2

@@ -1,0 +1,147 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from fitweave.llm import near_dedup
+from fitweave.llm.components import components
+
+
+def shingle_set(text, size):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return set()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+
+
+def by_force(rows, size):
+    """component by doc_id over all pairs of rows."""
+    sets = [(i, shingle_set(t, size)) for i, t in rows]
+    root = {i: i for i, _ in rows}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, (a, x) in enumerate(sets):
+        for b, y in sets[:k]:
+            if x and y and 100 * len(x & y) >= 80 * len(x | y):
+                low, high = sorted((top(a), top(b)))
+                root[high] = low
+    return {i: top(i) for i, _ in rows}
+
+
+def corpus(seed, groups=12):
+    """Bases with copies changed more and more, so that many pairs lie near the threshold."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6)))
+    rows = []
+    for _ in range(groups):
+        base = [word() for _ in range(rng.choice([3, 8, 30, 120]))]
+        for _ in range(rng.randint(1, 14)):
+            copy = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 25))):
+                copy[rng.randrange(len(copy))] = word()
+            rows.append(" ".join(copy))
+    ids = rng.sample(range(10_000), len(rows))
+    return list(zip(ids, rows))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_equals_all_pairs(make, seed):
+    rows = corpus(seed)
+    found = near_dedup.near_duplicates(make(rows, "doc_id long, text string"), size=4).collect()
+    want = by_force(rows, 4)
+    assert {r["doc_id"]: r["component_id"] for r in found} == want
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
+    assert {r["doc_id"]: r["n_shingles"] for r in found} == {i: len(shingle_set(t, 4)) for i, t in rows}
+
+
+def test_one_hot_base_with_many_unlinked_copies(make):
+    """Copies that mostly miss each other and the centre, in one bucket larger than a block."""
+    rng = random.Random(1)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(5000, " ".join(base))]
+    for i in range(700):
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            copy[rng.randrange(60)] = f"x{i}{rng.random()}"
+        rows.append((i, " ".join(copy)))
+    found = near_dedup.near_duplicates(make(rows, "doc_id long, text string"), size=4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == by_force(rows, 4)
+
+
+def test_nulls_ties_repeats_and_extra_columns(make):
+    text = "a b c d e f g h"
+    rows = [(3, text, 1, "k"), (3, text, 2, "k"), (1, text.upper(), 3, None), (7, None, 4, "x"), (8, "", 5, "x"),
+            (9, " \t ", 6, "x"), (None, text, 7, "y"), (4, "b c", 8, "y"), (5, "B  c", 9, "y"), (6, "c b", 0, "y")]
+    docs = make(rows, "doc_id long, text string, component_id long, key string")
+    found = near_dedup.near_duplicates(docs, size=4).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0, r["n_shingles"], r["kept"]) for r in found) == [
+        (0, 0, 5, True), (1, 1, 5, True), (3, 1, 5, False), (3, 1, 5, False), (4, 4, 1, True), (5, 4, 1, False),
+        (6, 6, 1, True), (7, 7, 0, True), (8, 8, 0, True), (9, 9, 0, True),
+    ]
+    kept = near_dedup.deduplicated(docs, size=4)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["key"]) for r in kept.collect()) == [
+        (0, "y"), (1, None), (4, "y"), (6, "y"), (7, "x"), (8, "x"), (9, "x"),
+    ]
+
+
+def test_no_rows(make):
+    docs = make([], "doc_id long, text string")
+    assert near_dedup.near_duplicates(docs).collect() == []
+    assert near_dedup.deduplicated(docs).collect() == []
+
+
+def test_a_very_long_text(make):
+    text = " ".join(f"t{i}" for i in range(120_000))
+    found = near_dedup.near_duplicates(make([(1, text), (2, text + " more"), (3, "t0 t1 t2 t3 t4")], "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["component_id"]) for r in found.collect()) == [(1, 1), (2, 1), (3, 3)]
+
+
+def test_signatures_agree_about_as_often_as_sets_do():
+    rng = np.random.default_rng(3)
+    for n in (5, 40, 900):
+        shared = rng.integers(0, 1 << 63, 4 * n, dtype=np.uint64) * np.uint64(2)
+        own = [rng.integers(0, 1 << 63, n // 2, dtype=np.uint64) * np.uint64(2) for _ in range(2)]
+        rates = []
+        for k in range(200):
+            salt = np.uint64(rng.integers(0, 1 << 63))
+            rows, values = [], []
+            for r in range(2):
+                value = np.unique(near_dedup.mixed(np.concatenate([shared, own[r]]) ^ salt))
+                rows.append(np.full(len(value), r))
+                values.append(value)
+            found = near_dedup.signatures(np.concatenate(rows), np.concatenate(values), 2)
+            rates.append((found[0] == found[1]).mean())
+        want = len(shared) / (len(shared) + len(own[0]) + len(own[1]))
+        assert abs(np.mean(rates) - want) < 0.03
+
+
+def test_empty_sets_have_no_keys():
+    assert (near_dedup.signatures(np.zeros(0, int), np.zeros(0, np.uint64), 2) == near_dedup._EMPTY).all()
+
+
+def test_block_links_equal_plain_sets():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 30, rng.integers(1, 40)).astype(np.uint64)) for _ in range(60)]
+    i, j = near_dedup.block_links(sets, 50)
+    want = set()
+    for a in range(60):
+        for b in range(a + 1, 60):
+            x, y = set(sets[a].tolist()), set(sets[b].tolist())
+            if 100 * len(x & y) >= 50 * len(x | y) and x & y:
+                want.add((a, b))
+    assert set(zip(i.tolist(), j.tolist())) == want
+
+
+def test_components_of_paths_stars_and_loops(make):
+    links = [(i, i + 1) for i in range(100, 160)] + [(1, x) for x in range(2, 30)] + [(50, 50), (70, 71), (71, 72), (72, 70)]
+    links += [(None, 3), (200, 30), (30, 29)]
+    found = {r["id"]: r["component"] for r in components(make(links, "a long, b long")).collect()}
+    want = {i: 100 for i in range(100, 161)} | {i: 1 for i in [*range(1, 31), 200]} | {70: 70, 71: 70, 72: 70}
+    assert found == want
+    assert components(make([], "a long, b long")).collect() == []

@@ -1,0 +1,83 @@
+import numpy as np
+import pytest
+
+from fitweave.llm import vector_dedup
+
+
+def by_force(rows, cosine=0.98):
+    """n_links and component of each row, over all pairs."""
+    ok = [v is not None and l is not None and i is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v)
+          and any(x != 0 for x in v) for i, v, l in rows]
+    links, root = [0] * len(rows), list(range(len(rows)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if not (ok[a] and ok[b]) or rows[a][2] != rows[b][2] or len(rows[a][1]) != len(rows[b][1]):
+                continue
+            x, y = np.array(rows[a][1], float), np.array(rows[b][1], float)
+            if x @ y / np.sqrt((x @ x) * (y @ y)) >= cosine:
+                links[a] += 1
+                links[b] += 1
+                root[top(a)] = top(b)
+    low = {}
+    for k, (i, _, _) in enumerate(rows):
+        if i is not None:
+            low[top(k)] = min(low.get(top(k), i), i)
+    return sorted((-1 if i is None else i, links[k], -1 if i is None else low[top(k)]) for k, (i, _, _) in enumerate(rows))
+
+
+def answer(df):
+    return sorted(
+        (-1 if r["vec_id"] is None else r["vec_id"], r["n_links"], -1 if r["component_id"] is None else r["component_id"])
+        for r in df.collect()
+    )
+
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+@pytest.mark.parametrize("dim,spread", [(64, 0.012), (64, 0.018), (8, 0.05), (2, 0.02), (1, 0.0)])
+def test_equals_all_pairs(make, dim, spread):
+    rng = np.random.default_rng(dim + int(spread * 1000))
+    rows = []
+    for label in (0, 1, None):
+        for _ in range(8):
+            centre = rng.standard_normal(dim)
+            for _ in range(rng.integers(1, 14)):
+                v = centre / np.linalg.norm(centre) + spread * rng.standard_normal(dim)
+                rows.append((len(rows), [float(np.float32(x)) for x in v * rng.choice([0.1, 1, 30])], label))
+    rng.shuffle(rows := [(int(i), v, l) for i, v, l in rows])
+    assert answer(vector_dedup.near_vectors(make(rows, SCHEMA))) == by_force(rows)
+
+
+def test_unusable_vectors_copies_and_lengths(make):
+    v, w = [1.0, 2.0, 3.0], [1.0, 2.0, 3.0, 0.0]
+    bad = [None, [], [0.0, 0.0, 0.0], [1.0, None, 3.0], [float("nan"), 1.0, 1.0], [float("inf"), 1.0, 1.0]]
+    rows = [(k, x, 0) for k, x in enumerate(bad)] + [(20, v, 0), (11, v, 0), (12, v, 0), (13, w, 0), (14, v, None), (15, v, 1)]
+    rows += [(30, [2.0, 4.0, 6.0], 0), (31, [-1.0, -2.0, -3.0], 0), (32, [1e-20, 2e-20, 3e-20], 0), (None, v, 0)]
+    found = vector_dedup.near_vectors(make(rows, SCHEMA))
+    assert answer(found) == by_force(rows)
+    assert {r["vec_id"]: r["kept"] for r in found.collect()}[20] is False
+
+
+def test_a_cell_larger_than_a_block(make):
+    rng = np.random.default_rng(9)
+    centre = rng.standard_normal(64)
+    rows = []
+    for i in range(700):
+        v = centre / np.linalg.norm(centre) + 0.017 * rng.standard_normal(64)
+        rows.append((i, [float(np.float32(x)) for x in v], 3))
+    assert answer(vector_dedup.near_vectors(make(rows, SCHEMA))) == by_force(rows)
+
+
+def test_no_rows(make):
+    assert vector_dedup.near_vectors(make([], SCHEMA)).collect() == []
+
+
+def test_count_is_calibrated():
+    assert 0 < vector_dedup.LEAST_COUNT < vector_dedup.DIRECTIONS * 0.68
