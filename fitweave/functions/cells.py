@@ -25,10 +25,6 @@ def empty_as_null(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
 
 
-def list_members(value: Column, separator: str = ",") -> Column:
-    return F.split(value, separator)
-
-
 def members_with_prefix(
     value: Column, prefix: str, but_not: tuple[str, ...] = (), joiner: str = ", "
 ) -> Column:
@@ -47,14 +43,6 @@ def members_with_prefix(
     return F.array_join(F.filter(members, wanted), joiner)
 
 
-def prefix_bucket(member: Column, prefixes: tuple[str, ...]) -> Column:
-    """The longest of ``prefixes`` that one member starts with, or null."""
-    bucket = F.lit(None).cast("string")
-    for prefix in sorted(prefixes, key=len):
-        bucket = F.when(stripped(member).startswith(prefix), prefix).otherwise(bucket)
-    return bucket
-
-
 def without_marks(value: Column) -> Column:
     """Drop empty-place marks and the commas next to them from a joined cell."""
     mark = EMPTY_MARK

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fitweave.columns import ascending, col, cols, earliest, entry, others, same_keys
@@ -43,7 +43,8 @@ def mark_repeats(
     """Add a boolean column: the key occurred on an earlier row.
 
     First rows come from a pre-aggregated group-by and are joined back on the
-    row's own order key, so no task ever holds a whole group.
+    row's own order key, so no task ever holds a whole group.  Rows that share
+    an order key stop the job.
     """
     firsts = (
         df.groupBy(*cols(keys))
@@ -52,25 +53,18 @@ def mark_repeats(
         .withColumn("_is_first", F.lit(True))
     )
     joined = df.join(firsts, same_keys(df, firsts, order_by), "left")
-    return joined.select(
-        *[df["`" + c.replace("`", "``") + "`"] for c in df.columns],
-        F.col("_is_first").isNull().alias(name),
+    given = ["`" + c.replace("`", "``") + "`" for c in df.columns]
+    same_place = F.count(F.lit(1)).over(Window.partitionBy(*[df["`" + c.replace("`", "``") + "`"] for c in order_by]))
+    found = F.when(same_place == 1, F.col("_is_first").isNull()).otherwise(
+        F.raise_error(F.lit("the order columns do not identify a row"))
     )
+    return joined.select(*[df[c] for c in given], found.cast("boolean").alias(name))
 
 
 def distinct_values(df: DataFrame, name: str) -> DataFrame:
     return df.select(col(name)).distinct()
 
 
-def values_in_first_seen_order(df: DataFrame, name: str, order_by: Sequence[str]) -> list:
-    """Distinct values as a list, for the headers of a pivot.
-
-    Its length is the number of columns to be made, which bounds it.
-    """
-    seen = df.groupBy(col(name)).agg(earliest(order_by).alias("_first"))
-    return [r[0] for r in seen.orderBy("_first").select(col(name)).collect()]
-
-
 def sort_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """Ascending sort, nulls last; ``order_by`` settles ties by earlier row order."""
     return df.orderBy(*ascending([*keys, *[c for c in order_by if c not in keys]]))

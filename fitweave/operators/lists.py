@@ -1,7 +1,8 @@
 """Ordered lists per group, cut into pages of bounded length.
 
-A list normally fills page 0 only.  A group with more members than a page goes
-on in pages 1, 2, ...; its pages read in order are the whole list.
+Members are paged by their position in the group, always by the same plan:
+``page`` is part of the result's key, and a group's pages 0, 1, ... read in
+order are the whole list.
 """
 
 from __future__ import annotations
@@ -17,11 +18,6 @@ from fitweave.operators.rows import number_rows
 PAGE_ROWS = 100_000
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    sizes = df.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("_rows"))
-    return sizes.agg(F.max("_rows")).first()[0] or 0
-
-
 def with_pages(
     rows: DataFrame, keys: Sequence[str], order_by: Sequence[str], page_rows: int
 ) -> DataFrame:
@@ -65,13 +61,11 @@ def ordered_lists(
     values: Mapping[str, Column],
     order_by: Sequence[str],
     page_rows: int = PAGE_ROWS,
-    largest: int | None = None,
 ) -> DataFrame:
     """One row per key and page with one array per value, in row order.
 
-    Rows with a null key are left out; nulls among the values stay.  The size
-    of the largest group is found first, unless an upper bound of it is given
-    as ``largest``: when all groups fit a page, a plain grouped list is enough.
+    Rows with a null key are left out; nulls among the values stay.  A page
+    holds ``page_rows`` members.
     """
     present = F.lit(True)
     for k in keys:
@@ -82,12 +76,7 @@ def ordered_lists(
         *[col(c).alias(o) for c, o in zip(order_by, order)],
         *[v.alias(f"v{i}") for i, v in enumerate(values.values())],
     )
-    if largest is None:
-        largest = largest_group(rows, keys)
-    if largest <= page_rows:
-        paged = rows.withColumn("page", F.lit(0))
-    else:
-        paged = with_pages(rows, keys, order, page_rows)
+    paged = with_pages(rows, keys, order, page_rows)
     members = [*order, *[f"v{i}" for i, _ in enumerate(values)]]
     grouped = paged.groupBy(*cols(keys), "page").agg(
         F.sort_array(F.collect_list(entry(members))).alias("_members")

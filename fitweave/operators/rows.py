@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fitweave.columns import ascending, col, cols, same_keys
 from fitweave.shared import pinned
@@ -21,12 +22,14 @@ BLOCK_ROWS = 1_000_000
 
 def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_no") -> DataFrame:
     """Add the 0-based position of every row in the order of ``order_by``."""
+    return number_as_is(df.orderBy(*ascending(order_by)), name)
+
+
+def number_as_is(df: DataFrame, name: str = "row_no") -> DataFrame:
+    """Add the 0-based position of every row in the order that ``df`` has, as a sort gives it."""
     # monotonically_increasing_id: upper bits name the sorted part, lower 33 bits
     # count its rows.
-    ordered = pinned(
-        df.orderBy(*ascending(order_by)).withColumn("_at", F.monotonically_increasing_id()),
-        "ordered",
-    )
+    ordered = pinned(df.withColumn("_at", F.monotonically_increasing_id()), "ordered")
     part = F.shiftright("_at", 33)
     sizes = ordered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     # One row per sorted part: bounded by the number of shuffle partitions.
@@ -101,12 +104,15 @@ def last_rows(df: DataFrame, order_by: Sequence[str], count: int) -> DataFrame:
 def drop_tail(df: DataFrame, order_by: Sequence[str], count: int = 2) -> DataFrame:
     """All rows but the last ``count``; ``order_by`` must identify a row."""
     tail = last_rows(df.select(*cols(order_by)), order_by, count)
-    # The broadcast side has exactly ``count`` rows.
-    return df.join(F.broadcast(tail), same_keys(df, tail, order_by), "left_anti")
+    return df.join(tail, same_keys(df, tail, order_by), "left_anti")
 
 
-def is_blank(value: Column) -> Column:
-    return value.isNull() | (value == "")
+def is_blank(df: DataFrame, name: str) -> Column:
+    """Null, empty text, zero or false."""
+    value = col(name)
+    kind = df.schema[name].dataType
+    empty = F.lit(0) if isinstance(kind, T.NumericType) else F.lit(False) if isinstance(kind, T.BooleanType) else F.lit("")
+    return value.isNull() | (value == empty)
 
 
 def row_levels(
@@ -119,10 +125,10 @@ def row_levels(
     order = [*within, *[c for c in order_by if c not in within]]
     numbered = number_rows(df, order, "_row_no")
     near = neighbours(
-        numbered, {"_next_blank": (is_blank(col(engine)), 1)}, within=within, row_no="_row_no"
+        numbered, {"_next_blank": (is_blank(df, engine), 1)}, within=within, row_no="_row_no"
     )
     level = (
-        F.when(~is_blank(col(engine)), "detail")
+        F.when(~is_blank(df, engine), "detail")
         .when(F.col("_next_blank"), "brand")
         .otherwise("model")
     )

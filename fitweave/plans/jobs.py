@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fitweave.columns import col, cols, others, required
+from fitweave.columns import col, cols, entry, others, required
 from fitweave.functions.cells import (
     empty_as_null,
     id_text,
@@ -22,7 +22,7 @@ from fitweave.operators.dedupe import (
 )
 from fitweave.operators.lists import PAGE_ROWS, ordered_lists, repeated_members
 from fitweave.operators.pivot import pivot_text
-from fitweave.operators.report import vehicle_rows, with_category_cells
+from fitweave.operators.report import vehicle_rows
 from fitweave.operators.rows import number_rows
 from fitweave.operators.spread import attach_notes, spread_lists
 from fitweave.shared import pinned
@@ -52,23 +52,27 @@ from fitweave.vocabulary import (
 VEHICLE = [BRAND, MODEL, ENGINES]
 ROW = "row_no"
 SOURCE_ROW = "source_row"
+# Order key of a source row: its order columns as one struct.
+PLACE = "place"
+# Distinct categories, hence columns of the pivot, that a job makes at most.
+MOST_CATEGORIES = 2_000
 
 
 def distinct_fitments(fit: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """First row per vehicle type and article, numbered in row order.
+    """First row per vehicle type and article, with its order key as ``place``.
 
-    Written once; the steps after it order by the one number ``row_no``.
+    Written once, as several steps read it.
     """
     columns = [*VEHICLE, TYPE, POWER, PERIOD, CATEGORY, ARTICLE]
     keys = [BRAND, MODEL, ARTICLE, ENGINES, TYPE]
-    first = keep_first(fit.select(*cols([*columns, *order_by])), keys, order_by)
-    return number_rows(first, order_by).select(*cols(columns), ROW)
+    placed = fit.select(*cols(columns), entry(order_by).alias(PLACE))
+    return pinned(keep_first(placed, keys, [PLACE]).select(*cols(columns), PLACE), "distinct")
 
 
 def vehicle_names(distinct: DataFrame) -> DataFrame:
     """First row per vehicle type, with horse power and period."""
-    names = distinct.select(*cols([*VEHICLE, TYPE, POWER, PERIOD]), ROW)
-    return keep_first(names, [*VEHICLE, TYPE], [ROW]).dropna(subset=VEHICLE)
+    names = distinct.select(*cols([*VEHICLE, TYPE, POWER, PERIOD]), PLACE)
+    return keep_first(names, [*VEHICLE, TYPE], [PLACE]).dropna(subset=VEHICLE)
 
 
 def vehicle_articles(distinct: DataFrame) -> DataFrame:
@@ -78,7 +82,7 @@ def vehicle_articles(distinct: DataFrame) -> DataFrame:
     its first category.
     """
     keys = [*VEHICLE, PERIOD, POWER, ARTICLE]
-    rows = keep_first(distinct.select(*cols([*keys, CATEGORY]), ROW), keys, [ROW])
+    rows = keep_first(distinct.select(*cols([*keys, CATEGORY]), PLACE), keys, [PLACE])
     return rows.withColumns(
         {
             ARTICLE: required(col(ARTICLE), "an article number is missing"),
@@ -87,34 +91,23 @@ def vehicle_articles(distinct: DataFrame) -> DataFrame:
     )
 
 
-def category_sizes(distinct: DataFrame) -> tuple[list[str], int]:
-    """Categories in first-seen order, and the most rows of one vehicle and category.
-
-    One pass; a row per category, that is per column to be made, is fetched.
-    """
-    cells = distinct.groupBy(*cols([*VEHICLE, CATEGORY])).agg(
-        F.count(F.lit(1)).alias("rows"), F.min(ROW).alias("first")
-    )
-    found = cells.groupBy(CATEGORY).agg(F.max("rows").alias("rows"), F.min("first").alias("first"))
-    sizes = found.orderBy("first").collect()
-    return [r[CATEGORY] for r in sizes], max([0, *[r["rows"] for r in sizes]])
+def seen_categories(distinct: DataFrame) -> list[str]:
+    """Categories in first-seen order; a row per column to be made is fetched."""
+    category = required(col(CATEGORY), "a category is missing").alias(CATEGORY)
+    found = distinct.select(category, PLACE).groupBy(CATEGORY).agg(F.min(PLACE).alias("first"))
+    rows = found.orderBy("first").limit(MOST_CATEGORIES + 1).collect()
+    if len(rows) > MOST_CATEGORIES:
+        raise ValueError(f"more than {MOST_CATEGORIES} categories: name the wanted ones")
+    return [r[CATEGORY] for r in rows]
 
 
 def article_pivot(
     distinct: DataFrame, categories: Sequence[str] | None = None, page_rows: int = PAGE_ROWS
 ) -> tuple[DataFrame, list[str]]:
     """The pivot of vehicle articles and its category columns."""
-    seen, largest = category_sizes(distinct)
-    wanted = seen if categories is None else list(categories)
+    wanted = seen_categories(distinct) if categories is None else list(categories)
     pivot = pivot_text(
-        vehicle_articles(distinct),
-        VEHICLE,
-        CATEGORY,
-        ARTICLE,
-        wanted,
-        [ROW],
-        page_rows=page_rows,
-        largest=largest,
+        vehicle_articles(distinct), VEHICLE, CATEGORY, ARTICLE, wanted, [PLACE], page_rows=page_rows
     )
     return pivot, wanted
 
@@ -125,15 +118,15 @@ def category_pivot(
     categories: Sequence[str] | None = None,
     page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
-    """One row per vehicle type with a text column of articles per category.
+    """One row per vehicle type and page with a text column of articles per category.
 
     Columns: brand, model, engines, type, horse power, period, ``page``,
-    ``row_no`` (orders the vehicle types as first seen), then the categories in
-    first-seen order.
+    ``place`` (orders the vehicle types as first seen), then the categories in
+    first-seen order.  A page holds ``page_rows`` articles of a cell at most.
     """
     distinct = distinct_fitments(fit, order_by)
     pivot, categories = article_pivot(distinct, categories, page_rows)
-    columns = [*VEHICLE, TYPE, POWER, PERIOD, "page", ROW, *categories]
+    columns = [*VEHICLE, TYPE, POWER, PERIOD, "page", PLACE, *categories]
     return vehicle_names(distinct).join(pivot, VEHICLE).select(*cols(columns))
 
 
@@ -145,7 +138,7 @@ def repeated_articles(fit: DataFrame, order_by: Sequence[str]) -> DataFrame:
 
 def sorted_pivot(pivot: DataFrame) -> DataFrame:
     """The pivot by brand and model, ties in row order."""
-    return sort_rows(pivot, [BRAND, MODEL], [ROW, "page"])
+    return sort_rows(pivot, [BRAND, MODEL], [PLACE, "page"])
 
 
 def vehicle_report(
@@ -158,13 +151,14 @@ def vehicle_report(
     """Brand, model and type rows with the category cells of each type.
 
     Brands and models come in sorted order, types in first-seen order.  Report
-    columns are followed by ``level``, ``page`` and ``row_no``, the position.
+    columns are followed by ``level``, ``page`` and ``row_no``, the position;
+    label, level and ``page`` of one place tell its rows apart.
     """
     distinct = distinct_fitments(fit, order_by)
     pivot, categories = article_pivot(distinct, categories, page_rows)
-    names = number_rows(vehicle_names(distinct), [BRAND, MODEL, ROW], "position")
-    rows = vehicle_rows(names, ["position"], page_rows, models_once)
-    report = with_category_cells(rows, pivot, categories).select(
+    order = [BRAND, MODEL, PLACE]
+    rows = vehicle_rows(vehicle_names(distinct), order, page_rows, models_once, pivot, categories)
+    report = rows.select(
         col("label").alias(LABEL_COLUMN),
         col("engine_codes").alias(ENGINE_COLUMN),
         col("horse_powers").alias(POWER_COLUMN),

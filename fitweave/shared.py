@@ -2,17 +2,24 @@
 
 They go to the folder that the cluster names in ``spark.checkpoint.dir``, so
 that a lost executor costs a re-read and never a different answer.  Only a
-local session without that setting gets a temporary folder.
+session inside one JVM that has no such setting gets a temporary folder.
+``finished`` deletes the tables that this process wrote, once their results are
+no longer needed.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_WRITTEN: dict[str, list[str]] = {}
+_PLANS: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -20,7 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="fitweave-")
@@ -28,11 +35,44 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/fitweave/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/fitweave/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+@contextmanager
+def recorded_plans() -> Iterator[list[str]]:
+    """Collects the physical plan of every table written meanwhile."""
+    found: list[str] = []
+    _PLANS.append(found)
+    try:
+        yield found
+    finally:
+        _PLANS.remove(found)
+
+
+def noted(df: DataFrame) -> DataFrame:
+    """``df``, its plan recorded where plans are collected: to be called on what is written."""
+    for found in _PLANS:
+        found.append(df._jdf.queryExecution().executedPlan().toString())
+    return df
 
 
 def pinned(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` once and return a scan of the written table."""
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    noted(df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def finished(spark: SparkSession) -> int:
+    """Delete the tables that this process wrote for the session; their number.
+
+    Results that still read them must have been written or fetched before.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(paths)

@@ -16,12 +16,6 @@ def _schema(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields.items()])
 
 
-FITMENT_EXPORT = T.StructType(
-    [
-        T.StructField(n, T.StringType())
-        for n in [BRAND, MODEL, TYPE, ENGINES, POWER, PERIOD, CATEGORY, ARTICLE]
-    ]
-)
 CRITERIA_EXPORT = T.StructType(
     [T.StructField(n, T.StringType()) for n in [ARTICLE, TYPE, CRITERIA]]
 )
@@ -31,9 +25,6 @@ ARTICLE_VEHICLE_LINKS = _schema(
 VEHICLES = _schema(
     VEH_BRAND=T.StringType(), VEH_TYPE_NO=T.LongType(), VEH_MODEL_NO=T.DoubleType()
 )
-BARCODES = T.StructType(
-    [T.StructField("Артикул", T.StringType()), T.StructField("Штрихкод", T.LongType())]
-)
 ARTICLE_FILES = _schema(
     ART_ID=T.LongType(), FILE_NAME=T.StringType(), FILE_ORDER=T.IntegerType()
 )
@@ -55,40 +46,30 @@ def read_delimited(
     schema: T.StructType,
     separator: str = ";",
     null_texts: list[str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Header-row delimited text with a declared schema; quotes are doubled inside.
 
     ``null_texts`` (default ``NULL_TEXTS``) become null in any column; other
-    text that does not fit its column's type is an error.
+    text that does not fit its column's type is an error.  ``multi_line`` reads
+    line ends inside quotes; each file is then one task's work, as it cannot be
+    split.
     """
     missing = NULL_TEXTS if null_texts is None else null_texts
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     scan = (
         spark.read.schema(as_text)
-        .options(sep=separator, header=True, escape='"', nullValue="", mode="FAILFAST")
+        .options(sep=separator, header=True, escape='"', nullValue="", mode="FAILFAST",
+                 multiLine=multi_line)
         .csv(path)
     )
     present = {f.name: F.when(~col(f.name).isin(missing), col(f.name)) for f in schema}
     return scan.withColumns({f.name: present[f.name].cast(f.dataType) for f in schema})
 
 
-def read_table(
-    spark: SparkSession,
-    path: str | list[str],
-    schema: T.StructType | None = None,
-    spread_by: str | None = None,
-) -> DataFrame:
-    """Parquet scan.
-
-    With ``spread_by``, a table that comes in fewer parts than there are cores
-    is dealt out by that column first; a larger one is scanned as it is.
-    """
+def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
-    scan = reader.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and scan.rdd.getNumPartitions() < cores:
-        return scan.repartition(cores, spread_by)
-    return scan
+    return reader.parquet(path)
 
 
 def with_file_order(scan: DataFrame) -> DataFrame:

@@ -30,24 +30,30 @@ with fit as (
   join nation on c_nationkey = n_nationkey)
 """
 
-K = FIT + """
+K_STEPS = """
 , k as (select * from fit qualify row_number() over (
     partition by Name, VM, ArticleNumber, Engines, TypeName order by seq) = 1)
 , names as (select * from k qualify row_number() over (
     partition by Name, VM, Engines, TypeName order by seq) = 1)
 """
+K = FIT + K_STEPS
 
-PIVOT = K + f"""
+
+def _pivot(fit: str, kinds: list[str]) -> str:
+    return fit + K_STEPS + f"""
 , k2 as (select * from k qualify row_number() over (
     partition by Name, VM, Engines, Year, HorsePowers, ArticleNumber order by seq) = 1)
 , k3 as (select *, cast((row_number() over (
     partition by Name, VM, Engines, GenericArticle order by seq) - 1) // 100000 as int) as page from k2)
 , pv as (select Name, VM, Engines, page, {", ".join(
     f"coalesce(string_agg(ArticleNumber, ',' order by seq) filter (where GenericArticle = '{c}'), '') as {c}"
-    for c in KINDS)}
+    for c in kinds)}
   from k3 group by Name, VM, Engines, page)
 """
 
+
+PIVOT = _pivot(FIT, KINDS)
+
 ENVELOPE = """
   select Name, VM,
     min(case when rn = 1 then case when s <> '' then s else Year end when s <> '' then s end) as start_date,
@@ -59,7 +65,9 @@ ENVELOPE = """
   group by Name, VM
 """
 
-REPORT = PIVOT + f"""
+
+def _report(fit: str, kinds: list[str]) -> str:
+    return _pivot(fit, kinds) + f"""
 , v as (select *, row_number() over (order by Name, VM, seq) as ord_ from names)
 , env as ({ENVELOPE.format(source="v")})
 , models as (select Name, VM, min(ord_) as m_at from v group by Name, VM)
@@ -83,12 +91,15 @@ REPORT = PIVOT + f"""
   from types join models using (Name, VM) join brands using (Name))
 , rep as (select row_number() over (order by b_at, m_at, t_at, coalesce(pv.page, 0)) - 1 as row_no,
     label as "МОДЕЛЬ", codes as "КОД ДВИГАТЕЛЯ", hps as "Мощность Л.С",
-    {", ".join(f"pv.{c}" for c in KINDS)}, cast(level as int) as level,
+    {", ".join(f"pv.{c}" for c in kinds)}, cast(level as int) as level,
     coalesce(pv.page, 0) as page
   from rows_ left join pv on n = Name and m = VM and e = Engines)
 """
 
 
+REPORT = _report(FIT, KINDS)
+
+
 def _picked(cell: str, condition: str) -> str:
     """Members of a text list that meet a condition on ``x``, trimmed, re-joined."""
     return (
@@ -145,6 +156,7 @@ SPREAD_LISTS = ["LARGE", "MEDIUM", "PROMO", "CAC", "CAB", "CA"]
 SPREAD_CELLS = ["ECONOMY", "SMALL", *SPREAD_LISTS]
 _ORDER6 = "row_no, " + ", ".join(f"i{n}" for n in range(6))
 _COLUMNS = ", ".join([*REPORT_KEYS, *SPREAD_CELLS])
+_LIST_COLUMNS = ", ".join([*REPORT_KEYS, *SPREAD_LISTS])
 
 SPREAD = SPLIT + f"""
 , hop as (select row_no, {", ".join(f"nullif({c}, '') as {c}" for c in [*REPORT_KEYS, *SPREAD_CELLS])}
@@ -187,20 +199,48 @@ def _attached(source: str, order: str, keys: list[str], cells: list[str]) -> str
     return text + f"\nselect distinct {', '.join([*keys, *cells])} from once"
 
 
-_TAIL_STAGES = ""
-_last, _pos = "src", ["rid"]
-for _n, _c in enumerate(["A", "N", "R"]):
-    _others = [x for x in ["o_custkey", "o_orderpriority", "o_orderstatus", "month", "A", "N", "R"] if x != _c]
-    _TAIL_STAGES += f"""
-, s{_n} as (select {", ".join(_pos)}, {", ".join(_others)}, {_c} from (
-      select *, row_number() over (order by {", ".join(f"{p} desc" for p in _pos)}) as back from {_last})
+def _tail_stages(source: str, row: str, lists: list[str], columns: list[str]) -> str:
+    """CTEs ``t0`` ... ``tn``: before each unnest the table moves down by two rows."""
+    text, last, pos = "", source, [row]
+    for n, c in enumerate(lists):
+        rest = [x for x in columns if x != c]
+        text += f"""
+, s{n} as (select {", ".join(pos)}, {", ".join(rest)}, {c} from (
+      select *, row_number() over (order by {", ".join(f"{p} desc" for p in pos)}) as back from {last})
     where back > 2
-  union all select {", ".join("-1" for _ in _pos)}, {", ".join("null" for _ in [*_others, _c])} from range(2))
-, t{_n} as (select {", ".join(_pos)}, {", ".join(_others)}, unnest(l) as {_c},
-      unnest(range(1, len(l) + 1)) as i{_n}
-    from (select *, coalesce(string_split({_c}, ','), [null]) as l from s{_n}))"""
-    _last = f"t{_n}"
-    _pos = [*_pos, f"i{_n}"]
+  union all select {", ".join("-1" for _ in pos)}, {", ".join("null" for _ in [*rest, c])} from range(2))
+, t{n} as (select {", ".join(pos)}, {", ".join(rest)}, unnest(l) as {c},
+      unnest(range(1, len(l) + 1)) as i{n}
+    from (select *, coalesce(string_split({c}, ','), [null]) as l from s{n}))"""
+        last = f"t{n}"
+        pos = [*pos, f"i{n}"]
+    return text
+
+
+_TAIL_STAGES = _tail_stages(
+    "src", "rid", ["A", "N", "R"], ["o_custkey", "o_orderpriority", "o_orderstatus", "month", "A", "N", "R"]
+)
+
+_HOP = f"""
+, hop as (select row_no, {", ".join(f"nullif({c}, '') as {c}" for c in [*REPORT_KEYS, *SPREAD_CELLS])}
+    from split)
+"""
+
+# Fifteen categories, eight of which are spread.
+WIDE_KINDS = [f"K{i}" for i in range(15)]
+WIDE_LISTS = WIDE_KINDS[:8]
+_ORDER8 = "row_no, " + ", ".join(f"i{n}" for n in range(8))
+_WIDE_COLUMNS = ", ".join([*REPORT_KEYS, *WIDE_KINDS])
+WIDE = (
+    _report(FIT.replace('p_type as "GenericArticle"', """'K' || (p_partkey % 15) as "GenericArticle\""""), WIDE_KINDS)
+    + f"""
+, hop as (select row_no, {", ".join(f"nullif({c}, '') as {c}" for c in [*REPORT_KEYS, *WIDE_KINDS])}
+    from rep)
+"""
+    + _product("hop", "row_no", REPORT_KEYS, WIDE_LISTS, WIDE_KINDS[8:])
+    + _masked("m", "p7", _ORDER8, REPORT_KEYS, WIDE_KINDS)
+    + f"\nselect {_WIDE_COLUMNS} from m qualify count(*) over (partition by {_WIDE_COLUMNS}) = 1"
+)
 
 LISTS = f"""
 with cells as (select l_orderkey, {", ".join(
@@ -266,10 +306,34 @@ select Name, VM, TypeName, 0 as page,
   || string_agg('"' || Engines || '":"' || HorsePowers || '"', ',' order by seq) || '}}}}}}}}' as json
 from (select * from fit qualify row_number() over (
   partition by Name, VM, TypeName, Engines order by seq) = 1)
+group by Name, VM, TypeName""",
+    "document_lines": FIT + f"""
+select
+  '{{"' || Name || '":{{"' || VM || '":{{"start_date":"' || start_date || '","end_date":"' || end_date || '"}}}}}}' as json
+from ({ENVELOPE.format(source="(select *, seq as ord_ from fit)")})
+union all
+select
+  '{{"' || Name || '":{{"' || VM || '":{{"' || TypeName || '":{{'
+  || string_agg('"' || Engines || '":"' || HorsePowers || '"', ',' order by seq) || '}}}}}}}}' as json
+from (select * from fit qualify row_number() over (
+  partition by Name, VM, TypeName, Engines order by seq) = 1)
 group by Name, VM, TypeName""",
     "vehicle_report": REPORT + "select * from rep",
     "report_split": SPLIT + "select * from split",
+    "sorted_pivot": PIVOT + f"""
+select row_number() over (order by Name, VM, seq, page) - 1 as rank,
+  Name, VM, Engines, TypeName, HorsePowers, Year, page, {", ".join(KINDS)}
+from names join pv using (Name, VM, Engines)""",
     "report_spread": SPREAD + f"select {_COLUMNS} from spread",
+    # Pages change the way, not the rows.
+    "report_spread_paged": SPLIT + _HOP + _product("hop", "row_no", REPORT_KEYS, SPREAD_LISTS, [])
+    + _masked("m", "p5", _ORDER6, REPORT_KEYS, SPREAD_LISTS)
+    + f"\nselect {_LIST_COLUMNS} from m qualify count(*) over (partition by {_LIST_COLUMNS}) = 1",
+    "report_spread_tail": SPLIT + _HOP
+    + _tail_stages("hop", "row_no", SPREAD_LISTS, [*REPORT_KEYS, *SPREAD_CELLS])
+    + _masked("m", "t5", _ORDER6, REPORT_KEYS, SPREAD_CELLS)
+    + f"\nselect {_COLUMNS} from m qualify count(*) over (partition by {_COLUMNS}) = 1",
+    "report_spread_wide": WIDE,
     "report_criteria": SPREAD + _notes(CRITERIA)
     + f", again as (select {_ORDER6}, {', '.join(f'''nullif({c}, '') as {c}''' for c in [*REPORT_KEYS, *SPREAD_CELLS])} from spread)"
     + _attached("again", _ORDER6, REPORT_KEYS, SPREAD_CELLS),
@@ -346,7 +410,7 @@ from k2 group by Name, VM, Engines, GenericArticle having count(distinct Article
     "first_rows": """
 select o_totalprice, o_orderkey, o_custkey from orders order by o_totalprice, o_orderkey limit 10""",
     "barcode_lists": """
-select o_custkey, 0 as page,
+select row_number() over (order by o_custkey) - 1 as rank, o_custkey, 0 as page,
   '[' || string_agg(cast(o_orderkey as varchar), ', ' order by o_orderkey) || ']' as o_orderkey
 from orders group by o_custkey""",
     "paged_lists": f"""
@@ -356,21 +420,25 @@ from (select *, (row_number() over (partition by l_returnflag order by {LINE}) -
       from lineitem)
 group by l_returnflag, page""",
     "sort_links": """
-select l_partkey as "ART_ID", case when l_suppkey > 5 then l_suppkey end as "VEH_TYPE_NO",
-  cast(l_orderkey as varchar) as "ART_NUM" from lineitem
-order by 1 nulls last, 2 nulls last, 3 nulls last""",
+with links as (select l_partkey as "ART_ID", case when l_suppkey > 5 then l_suppkey end as "VEH_TYPE_NO",
+  cast(l_orderkey as varchar) as "ART_NUM" from lineitem)
+select row_number() over (order by "ART_ID" nulls last, "VEH_TYPE_NO" nulls last, "ART_NUM" nulls last) - 1 as rank, *
+from links""",
     "unquoted_lines": """
 select 'ART_ID;VEH_TYPE_NO;ART_NUM' as line union all
 select cast(l_partkey as varchar) || ';'
   || coalesce(cast(case when l_suppkey > 5 then l_suppkey end as varchar), '') || ';'
   || cast(l_orderkey as varchar) from lineitem""",
     "clean_vehicles": """
-select p_brand as "VEH_BRAND", p_partkey as "VEH_TYPE_NO",
+select row_number() over (order by p_brand nulls last, p_partkey nulls last) - 1 as rank, p_brand as "VEH_BRAND", p_partkey as "VEH_TYPE_NO",
   coalesce(cast(cast(trunc(nullif(p_retailprice, 900.0)) as bigint) as varchar), '') as "VEH_MODEL_NO"
 from part""",
     "distinct_values": "select distinct p_type from part",
     "csv_round_trip": """
 select c_custkey, c_name || ' ";" ' as c_name, c_nationkey, c_acctbal, c_mktsegment from customer""",
     "parquet_round_trip": "select * from supplier",
-    "file_order": "select o_orderkey, row_number() over () - 1 as row_no from orders",
+    # The file stands in the order of its key.
+    "file_order": "select o_orderkey, row_number() over (order by o_orderkey) - 1 as row_no from orders",
+    "article_files": "select o_orderkey as \"ART_ID\", o_orderpriority || '.jpg' as \"FILE_NAME\","
+    " cast(o_custkey % 7 as int) as \"FILE_ORDER\" from orders",
 }

@@ -68,7 +68,12 @@ def show_once(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def category_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.category_pivot(fit(spark, sf), LINE_ORDER).drop("row_no")
+    return jobs.category_pivot(fit(spark, sf), LINE_ORDER).drop("place")
+
+
+def sorted_pivot(spark: SparkSession, sf: str) -> DataFrame:
+    found = jobs.sorted_pivot(jobs.category_pivot(fit(spark, sf), LINE_ORDER))
+    return rows.number_as_is(found, "rank").drop("place")
 
 
 def period_envelope(spark: SparkSession, sf: str) -> DataFrame:
@@ -133,6 +138,32 @@ def report_spread(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def report_spread_paged(spark: SparkSession, sf: str) -> DataFrame:
+    """Small pages; an engine list of three still fills one."""
+    found = jobs.vehicle_report(fit(spark, sf), LINE_ORDER, page_rows=3)
+    split = jobs.prefix_split(found, "STANDARD", CABIN_PARTS)
+    # Every cell is a list here: a plain cell of several pages is several cells.
+    return jobs.spread_report(split, lists=SPREAD_LISTS, cells=SPREAD_LISTS, padded=list(CABIN_PARTS))
+
+
+def report_spread_tail(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.spread_report(
+        split_report(spark, sf), lists=SPREAD_LISTS, cells=SPREAD_CELLS, padded=list(CABIN_PARTS), drop_tail=2
+    )
+
+
+WIDE_CELLS = [f"K{i}" for i in range(15)]
+
+
+def report_spread_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Fifteen category columns, eight of them lists."""
+    number = F.regexp_extract("ArticleNumber", r"(\d+)$", 1).cast("int") % 15
+    kind = F.concat(F.lit("K"), number.cast("string"))
+    wide = fit(spark, sf).withColumn("GenericArticle", kind)
+    found = jobs.vehicle_report(wide, LINE_ORDER, WIDE_CELLS)
+    return jobs.spread_report(found, lists=WIDE_CELLS[:8], cells=WIDE_CELLS, padded=[])
+
+
 def report_criteria(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.finished_catalogue(
         split_report(spark, sf),
@@ -294,7 +325,7 @@ def first_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def barcode_lists(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey")
-    return jobs.barcode_lists(orders, "o_custkey", "o_orderkey", ["o_orderkey"])
+    return rows.number_as_is(jobs.barcode_lists(orders, "o_custkey", "o_orderkey", ["o_orderkey"]), "rank")
 
 
 def paged_lists(spark: SparkSession, sf: str) -> DataFrame:
@@ -305,18 +336,21 @@ def paged_lists(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("l_returnflag", "page", list_text(F.col("parts")).alias("parts"))
 
 
-def sort_links(spark: SparkSession, sf: str) -> DataFrame:
-    links = table(spark, sf, "lineitem").select(
+def article_links(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select(
         F.col("l_partkey").alias("ART_ID"),
         F.when(F.col("l_suppkey") > 5, F.col("l_suppkey")).alias("VEH_TYPE_NO"),
         F.col("l_orderkey").cast("string").alias("ART_NUM"),
     )
-    return jobs.sort_links(links)
+
+
+def sort_links(spark: SparkSession, sf: str) -> DataFrame:
+    return rows.number_as_is(jobs.sort_links(article_links(spark, sf)), "rank")
 
 
 def unquoted_lines(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "links")
-    writers.write_unquoted(sort_links(spark, sf), path)
+    writers.write_unquoted(jobs.sort_links(article_links(spark, sf)), path)
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
@@ -326,7 +360,7 @@ def clean_vehicles(spark: SparkSession, sf: str) -> DataFrame:
         F.col("p_partkey").alias("VEH_TYPE_NO"),
         F.nullif(F.col("p_retailprice"), F.lit(900.0)).alias("VEH_MODEL_NO"),
     )
-    return jobs.clean_vehicles(vehicles)
+    return rows.number_as_is(jobs.clean_vehicles(vehicles), "rank")
 
 
 def distinct_values(spark: SparkSession, sf: str) -> DataFrame:
@@ -342,6 +376,23 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_delimited(spark, path, pages.schema)
 
 
+def article_files(spark: SparkSession, sf: str) -> DataFrame:
+    given = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("ART_ID"),
+        F.concat("o_orderpriority", F.lit(".jpg")).alias("FILE_NAME"),
+        (F.col("o_custkey") % 7).cast("int").alias("FILE_ORDER"),
+    )
+    path = new_path(spark, "article-files")
+    writers.write_delimited(given, path)
+    return readers.read_delimited(spark, path, readers.ARTICLE_FILES)
+
+
+def document_lines(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "document")
+    writers.write_json_lines(report.document_fragments(fit(spark, sf), LINE_ORDER), path)
+    return spark.read.text(path).select(F.col("value").alias("json"))
+
+
 def file_order(spark: SparkSession, sf: str) -> DataFrame:
     scan = readers.with_file_order(readers.read_table(spark, f"{sf}/orders.parquet"))
     numbered = rows.number_rows(scan.select("o_orderkey", *readers.FILE_ORDER), readers.FILE_ORDER)
@@ -360,12 +411,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in [
         keep_first, keep_none, keep_none_rows, mark_repeats, show_once, category_pivot,
         period_envelope, period_text, report_levels, engine_lists, nested_document,
-        vehicle_report, report_split, report_spread, report_criteria, criteria_notes,
+        document_lines, sorted_pivot, vehicle_report, report_split, report_spread,
+        report_spread_paged, report_spread_tail, report_spread_wide, report_criteria, criteria_notes,
         header_on_change, row_level, row_level_within, row_numbers, shift_rows, drop_tail,
         spread_lists, spread_lists_tail, attach_criteria, prefix_split, text_members,
         strip_text, literal_replace, criteria_text, repeated_members, repeated_articles,
         first_rows, barcode_lists,
         paged_lists, sort_links, unquoted_lines, clean_vehicles, distinct_values,
-        csv_round_trip, parquet_round_trip, file_order,
+        csv_round_trip, parquet_round_trip, file_order, article_files,
     ]
 }

@@ -15,19 +15,8 @@ LINE_ORDER = [
 ]
 
 
-# The tables that carry rows for whole jobs, with the key that deals them out
-# when a small copy comes as one file.
-SPREAD_BY = {
-    "lineitem": "l_orderkey",
-    "orders": "o_orderkey",
-    "events": "event_id",
-    "documents": "doc_id",
-    "conversations": "conv_id",
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet", spread_by=SPREAD_BY.get(name))
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def article_number() -> Column:

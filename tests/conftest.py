@@ -6,9 +6,11 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from fitweave.shared import finished  # noqa: E402
+
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
@@ -16,6 +18,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -23,6 +26,13 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_tables_left(spark):
+    """Each module's own tables between steps go with it."""
+    yield
+    finished(spark)
+
+
 @pytest.fixture
 def rows_of():
     """Rows as a sorted list of tuples, nulls first."""

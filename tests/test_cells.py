@@ -24,11 +24,6 @@ def test_prefix_split(spark, rows_of):
     assert rows_of(prefix_split(df)) == [("", "", ""), ("CAC1", "CAB3", "CA2")]
 
 
-def test_prefix_bucket(spark):
-    got = values(spark, [" CAC1", "CAB", "CA7", "X"], lambda c: cells.prefix_bucket(c, ("CA", "CAB", "CAC")))
-    assert got == ["CAC", "CAB", "CA", None]
-
-
 def test_marks_are_dropped_with_their_commas(spark):
     data = ["*,A,*,B,*", "*", "AB*,CD", "*,*", ""]
     want = [d.replace("*,", "").replace(",*", "").replace("*", "") for d in data]

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from fitweave.operators import dedupe
@@ -53,12 +54,6 @@ def test_sort_puts_nulls_last_and_capitals_first(spark):
     assert [r.k for r in dedupe.sort_rows(df, ["k"]).collect()] == ["B", "a", "b", None]
 
 
-def test_values_in_first_seen_order(spark):
-    df = spark.createDataFrame([(1, "Oil"), (2, "Air"), (3, "Oil")], "at int, c string")
-    assert dedupe.values_in_first_seen_order(df.repartition(3), "c", ["at"]) == ["Oil", "Air"]
-    assert dedupe.distinct_values(df, "c").count() == 2
-
-
 def test_repeated_members(spark, rows_of):
     df = spark.createDataFrame([("g", "a"), ("g", "a"), ("h", "a"), ("h", "b")], "k string, v string")
     assert rows_of(repeated_members(df, ["k"], "v")) == [("g", 1, 2)]
@@ -70,3 +65,9 @@ def test_names_with_dots_and_commas(spark, rows_of):
     kept = dedupe.keep_first(df, ["Мощность Л.С"], ["at"])
     assert rows_of(kept) == [("a", 2, 1)]
     assert dedupe.mark_repeats(df, ["Мощность Л.С"], ["at"]).filter(F.col("repeated")).count() == 1
+
+
+def test_rows_that_share_an_order_key_stop_the_marks(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "at int, k string")
+    with pytest.raises(Exception, match="do not identify a row"):
+        dedupe.mark_repeats(df, ["k"], ["at"]).collect()

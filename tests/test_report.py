@@ -1,6 +1,8 @@
 import json
 import random
 
+import pytest
+
 from fitweave.operators import report
 from fitweave.plans import jobs
 from fitweave.vocabulary import CATEGORY_COLUMNS, ENGINE_COLUMN, LABEL_COLUMN, POWER_COLUMN
@@ -227,3 +229,9 @@ def test_whole_chain_with_the_real_columns(spark):
     # Every article cell of the report reaches the catalogue.
     cells = {m.strip() for r in split.collect() for c in CATEGORY_COLUMNS if r[c] for m in r[c].split(",")}
     assert {m.strip() for t in texts for m in t.split(" H: ")[0].split(",")} == cells
+
+
+def test_a_missing_category_stops_with_a_message(spark):
+    data = [(0, "A", "m", "t", "e", "1", "200301", None, "N1")]
+    with pytest.raises(Exception, match="a category is missing"):
+        jobs.category_pivot(spark.createDataFrame(data, SCHEMA), ["at"]).collect()

@@ -61,6 +61,18 @@ def test_row_levels(spark):
     ]
 
 
+def test_row_levels_of_numbers_take_zero_as_blank(spark):
+    df = spark.createDataFrame([(0, None), (1, 0), (2, 7), (3, 0), (4, 5)], "at int, engine int")
+    levels = rows.row_levels(df, "engine", ["at"]).orderBy("at")
+    assert [r.row_level for r in levels.collect()] == ["brand", "model", "detail", "model", "detail"]
+
+
+def test_numbers_follow_the_present_order(spark):
+    df = spark.createDataFrame([(i * 7 % 50, i) for i in range(50)], "k int, at int").repartition(5)
+    found = rows.number_as_is(df.orderBy(F.col("k").desc()), "rank").collect()
+    assert [r.k for r in sorted(found, key=lambda r: r.rank)] == sorted((r.k for r in found), reverse=True)
+
+
 def test_header_on_change(spark):
     data = [(0, None), (1, None), (2, "a"), (3, "a"), (4, "b")]
     df = spark.createDataFrame(data, "at int, h string")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fitweave.operators.rows import number_rows
 from fitweave.plans.jobs import sort_links
-from fitweave.shared import pinned, shared_folder
+from fitweave.shared import finished, pinned, shared_folder
 from fitweave.sources import readers, writers
 
 
@@ -89,14 +89,6 @@ def test_json_lines_and_tables(spark, tmp_path, rows_of):
     assert rows_of(readers.read_table(spark, table)) == [(1, "a"), (2, "b")]
 
 
-def test_small_tables_are_dealt_out(spark, tmp_path):
-    path = str(tmp_path / "one")
-    spark.range(100).coalesce(1).write.parquet(path)
-    spread = readers.read_table(spark, path, spread_by="id")
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread.count() == 100
-
-
 def test_shared_folder_follows_the_session(spark, tmp_path):
     before = spark.conf.get("spark.checkpoint.dir", None)
     if before is None:
@@ -106,3 +98,32 @@ def test_shared_folder_follows_the_session(spark, tmp_path):
     df = pinned(spark.range(3).withColumn("Мощность Л.С", F.lit("x")))
     assert df.count() == 3
     assert df.columns == ["id", "Мощность Л.С"]
+
+
+def test_line_ends_inside_quotes_read_back(spark, tmp_path, rows_of):
+    path = str(tmp_path / "lines")
+    df = spark.createDataFrame([(1, "a\nb"), (2, 'c";"\r\nd'), (3, None)], "k int, v string")
+    writers.write_delimited(df, path)
+    assert rows_of(readers.read_delimited(spark, path, df.schema, multi_line=True)) == rows_of(df)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+    class Context:
+        master, applicationId = "local-cluster[2,1,1024]", "none"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, other: other)
+
+    with pytest.raises(ValueError):
+        shared_folder(Session())
+
+
+def test_finished_deletes_the_tables_of_this_process(spark):
+    path = pinned(spark.range(3)).inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    assert finished(spark) >= 1
+    assert not os.path.exists(path)
