@@ -214,6 +214,8 @@ def _pairs(docs: DataFrame, least: int, enough: int) -> DataFrame:
     # Cut out once for the keys and once for the look-up: that costs less than keeping all windows.
     windows = text_windows(docs, least)
     shared = windows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    # A written table on this side lets adaptive execution split the windows of a hot key.
+    shared = pinned(shared, "shared-windows")
     met = windows.join(shared, "key").select(
         F.col("node").alias("a"),
         F.when(F.col("node") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"),
