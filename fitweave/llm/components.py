@@ -22,6 +22,9 @@ def _star(neighbours: DataFrame, larger: bool) -> DataFrame:
     small star u itself and the neighbours below it.
     """
     smallest = neighbours.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    if larger:
+        # A hub's links may be many: beside a written table adaptive execution can split them.
+        smallest = pinned(smallest, "smallest")
     moved = neighbours.join(smallest, "u")
     if larger:
         return moved.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))

@@ -335,15 +335,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     sets = pinned(shingle_sets(docs, size), "sets")
     filled = sets.filter("n_shingles > 0 and doc_id is not null")
     equal = ["n_shingles", "set_a", "set_b"]
-    nodes = filled.groupBy(*equal).agg(
-        F.min(F.struct("doc_id", "bands")).alias("least"), F.count(F.lit(1)).alias("copies")
+    nodes = pinned(
+        filled.groupBy(*equal).agg(
+            F.min(F.struct("doc_id", "bands")).alias("least"), F.count(F.lit(1)).alias("copies")
+        ),
+        "nodes",
     )
     copies = filled.join(nodes.filter("copies > 1").select(*equal, F.col("least.doc_id").alias("b")), equal).select(
         F.col("doc_id").alias("a"), "b"
     )
     keys = nodes.select(F.col("least.doc_id").alias("doc_id"), F.posexplode("least.bands").alias("band", "key"))
     shared = keys.groupBy("key").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last"))
-    shared = shared.filter("centre < last").select("key", "centre")
+    # Written tables on one side of a join let adaptive execution split hot keys on the other.
+    shared = pinned(shared.filter("centre < last").select("key", "centre"), "shared-bands")
     members = pinned(keys.join(shared, "key"), "members")
     pairs = pinned(members.filter("doc_id > centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     # Every member of a shared bucket is in a pair: its text is read once for both rounds.
