@@ -166,7 +166,8 @@ def _links(classes: DataFrame, cosine: float) -> DataFrame:
     """
     placed = _placed(classes, cosine)
     sizes = placed.groupBy("table", "cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    sizes = sizes.select("table", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"))
+    # A written table on this side lets adaptive execution split the vectors of a hot cell.
+    sizes = pinned(sizes.select("table", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")), "cells")
     rows = placed.join(sizes, ["table", "cell"])
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
