@@ -7,8 +7,8 @@ has the same min-hash, so one compact window stands for all of them.  Windows
 shorter than the least passage are left out, about 2 n / t remain of n shingles.
 
 Windows of ``FUNCTIONS`` hash functions with equal keys meet in one group-by.  In
-each group a star is tested: every text against the group's smallest, the
-smallest against the largest.  A pair of texts whose windows of at least
+each group a star is tested: every text against that of the group's smallest
+document, this one against that of the largest.  A pair of texts whose windows of at least
 ``ENOUGH`` functions have a passage in common, found by intersecting intervals,
 is verified on the shingles of both texts.
 
@@ -83,17 +83,22 @@ def node_of(text: Column) -> Column:
     return F.xxhash64(F.lit("text"), text)
 
 
+def twin_of(text: Column) -> Column:
+    """A second hash: texts count as equal when both agree."""
+    return F.xxhash64(F.lit("twin"), text)
+
+
 def text_windows(docs: DataFrame, least: int) -> DataFrame:
-    """``key``, ``node``, ``function``, ``first``, ``place``, ``last`` of all compact windows.
+    """``key``, ``node``, ``doc_id``, ``function``, ``first``, ``place``, ``last`` of all compact windows.
 
-    ``docs`` has node and text; ``least`` is in shingles.
+    ``docs`` has node, doc_id and text; ``least`` is in shingles.
     """
-    names = ["key", "node", "function", "first", "place", "last"]
+    names = ["key", "node", "doc_id", "function", "first", "place", "last"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node = batch.column(0).to_numpy()
-            for i, j, words in sliced_words(batch.column(1), SPACED):
+            node, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for i, j, words in sliced_words(batch.column(2), SPACED):
                 row, at, value = shingles(words, SHINGLE)
                 long = np.bincount(row, minlength=j - i) >= least
                 keep = long[row]
@@ -114,13 +119,13 @@ def text_windows(docs: DataFrame, least: int) -> DataFrame:
                     shift = at[own] - least_at
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(mixed(hashed[own] + np.uint64(f)).view(np.int64)), pa.array(node[i + row[own]]),
-                         pa.array(np.full(len(own), f, np.int32)), pa.array((first + shift).astype(np.int32)),
+                         pa.array(doc[i + row[own]]), pa.array(np.full(len(own), f, np.int32)), pa.array((first + shift).astype(np.int32)),
                          pa.array(at[own].astype(np.int32)), pa.array((last + shift).astype(np.int32))],
                         names,
                     )
 
-    return docs.select("node", "text").mapInArrow(
-        scan, "key long, node long, function int, first int, place int, last int"
+    return docs.select("node", "doc_id", "text").mapInArrow(
+        scan, "key long, node long, doc_id long, function int, first int, place int, last int"
     )
 
 
@@ -213,12 +218,17 @@ def _pairs(docs: DataFrame, least: int, enough: int) -> DataFrame:
     """``a``, ``b`` and candidate ``regions`` of a, for texts that share enough windows."""
     # Cut out once for the keys and once for the look-up: that costs less than keeping all windows.
     windows = text_windows(docs, least)
-    shared = windows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    shared = (
+        windows.groupBy("key")
+        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), (F.min("node") < F.max("node")).alias("several"))
+        .filter("several")
+        .select("key", "low", "high")
+    )
     # A written table on this side lets adaptive execution split the windows of a hot key.
     shared = pinned(shared, "shared-windows")
     met = windows.join(shared, "key").select(
         F.col("node").alias("a"),
-        F.when(F.col("node") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"),
+        F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"),
         F.struct("first", "place", "last", "function").alias("w"),
     )
     # Equal texts bring equal windows; a set holds each once.
@@ -238,7 +248,12 @@ def _pairs(docs: DataFrame, least: int, enough: int) -> DataFrame:
             )
 
     schema = "a long, b long, regions array<struct<first:int,last:int>>"
-    return both.mapInArrow(scan, schema).filter(F.size("regions") > 0)
+    found = pinned(both.mapInArrow(scan, schema).filter(F.size("regions") > 0), "regions")
+    # The centre is known by its document; its text names the node.
+    named = docs.select(F.col("doc_id").alias("b"), F.col("node").alias("centre")).distinct()
+    pairs = found.join(named, "b").filter("a <> centre").select("a", F.col("centre").alias("b"), "regions")
+    # Centres with equal texts are one.
+    return pairs.groupBy("a", "b").agg(F.flatten(F.collect_list("regions")).alias("regions"))
 
 
 def _spans(pairs: DataFrame, texts: DataFrame, least: int, percent: int) -> DataFrame:
@@ -290,26 +305,30 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, enough: i
     given = docs.filter("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    noded = given.withColumn("node", node_of(F.col("text")))
-    nodes = noded.groupBy("node").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    noded = given.withColumns({"node": node_of(F.col("text")), "twin": twin_of(F.col("text"))})
+    nodes = noded.groupBy("node", "twin").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     nodes = pinned(nodes, "nodes")
     pairs = pinned(_pairs(noded, least, enough), "passage-pairs")
     ids = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    wanted = noded.join(ids.distinct(), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
-    spans = pinned(_spans(pairs, pinned(wanted, "passage-texts"), least, percent), "spans")
+    # One document stands for each text: copies do not meet in one task.
+    lows = nodes.groupBy("node").agg(F.min("low").alias("doc_id")).join(ids.distinct(), "node", "left_semi")
+    wanted = noded.join(lows, ["node", "doc_id"], "left_semi").groupBy("node", "doc_id").agg(F.min("text").alias("text"))
+    texts = pinned(wanted.select("node", "text"), "passage-texts")
+    spans = pinned(_spans(pairs, texts, least, percent), "spans")
     found = spans.groupBy("node", "first", "last").agg(
         F.max("similarity").alias("similarity"), F.min("other").alias("other"), F.count(F.lit(1)).alias("n_others")
     )
-    lows = nodes.select(F.col("node").alias("other"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
+    others = nodes.select(F.col("node").alias("other"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
     members = noded.select("doc_id", "node").distinct()
     other = F.when(F.col("other_low") == F.col("doc_id"), F.col("other_high")).otherwise(F.col("other_low"))
-    near = found.join(lows, "other").join(members, "node").select(
+    near = found.join(others, "other").join(members, "node").select(
         "doc_id", F.col("first").cast("long").alias("first_word"), (F.col("last") + SHINGLE).cast("long").alias("end_word"),
         "similarity", other.alias("other_id"), "n_others",
     ).filter("other_id <> doc_id")
+    # Counted before the join, so that no text is shuffled for it.
     words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    whole = noded.join(nodes.filter("low < high"), "node").select("doc_id", words.alias("end_word"), "low", "high")
-    whole = whole.filter(F.col("end_word") >= least_words).distinct().select(
+    counted = noded.select("doc_id", "node", "twin", words.alias("end_word")).filter(F.col("end_word") >= least_words)
+    whole = counted.join(nodes.filter("low < high"), ["node", "twin"]).distinct().select(
         "doc_id", F.lit(0).cast("long").alias("first_word"), "end_word", F.lit(1.0).alias("similarity"),
         F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("other_id"),
         F.lit(1).cast("long").alias("n_others"),
