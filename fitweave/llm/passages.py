@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fitweave.llm.words import SPACED, mixed, shingles, sliced_words
@@ -290,14 +290,36 @@ def _spans(pairs: DataFrame, texts: DataFrame, least: int, percent: int) -> Data
     return joined.mapInArrow(scan, "node long, other long, first int, last int, similarity double")
 
 
+def merged(spans: DataFrame) -> DataFrame:
+    """Overlapping spans of a node as one: ``node``, ``first``, ``last`` and what was found there.
+
+    A text that many others are tested against has many spans.  Of those with
+    one beginning the longest is kept, by a pre-aggregated group-by, so what
+    meets in a window is bounded by the length of a text.
+    """
+    longest = spans.groupBy("node", "first").agg(
+        F.max("last").alias("last"), F.max("similarity").alias("similarity"), F.min("other").alias("other"),
+        F.count(F.lit(1)).alias("n_found"),
+    )
+    before = Window.partitionBy("node").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy("node").orderBy("first").rowsBetween(Window.unboundedPreceding, 0)
+    apart = F.coalesce(F.col("first") > F.max("last").over(before), F.lit(True)).cast("int")
+    grouped = longest.withColumn("apart", apart).withColumn("part", F.sum("apart").over(so_far))
+    return grouped.groupBy("node", "part").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.max("similarity").alias("similarity"),
+        F.min("other").alias("other"), F.sum("n_found").alias("n_found"),
+    )
+
+
 def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, enough: int = ENOUGH, percent: int = PERCENT) -> DataFrame:
     """Passages of at least ``least_words`` words that another document holds too.
 
     Returns ``doc_id``, ``first_word``, ``end_word`` (words first_word to
     end_word - 1 of the text, counted from 0), ``similarity`` (share of common
     distinct shingles in both passages' union, the best found), ``other_id``
-    (the smallest document found with the passage) and ``n_others`` (texts it
-    was verified against).  Equal texts hold each other's whole text.  Null
+    (a document found with such a passage) and ``n_found`` (passages found
+    there).  Passages that overlap are one.  Equal texts hold each other's whole
+    text.  Null
     and short texts and rows without a doc_id have no passages; rows that share
     a doc_id do not repeat each other.
     """
@@ -315,15 +337,13 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, enough: i
     wanted = noded.join(lows, ["node", "doc_id"], "left_semi").groupBy("node", "doc_id").agg(F.min("text").alias("text"))
     texts = pinned(wanted.select("node", "text"), "passage-texts")
     spans = pinned(_spans(pairs, texts, least, percent), "spans")
-    found = spans.groupBy("node", "first", "last").agg(
-        F.max("similarity").alias("similarity"), F.min("other").alias("other"), F.count(F.lit(1)).alias("n_others")
-    )
+    found = merged(spans)
     others = nodes.select(F.col("node").alias("other"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
     members = noded.select("doc_id", "node").distinct()
     other = F.when(F.col("other_low") == F.col("doc_id"), F.col("other_high")).otherwise(F.col("other_low"))
     near = found.join(others, "other").join(members, "node").select(
         "doc_id", F.col("first").cast("long").alias("first_word"), (F.col("last") + SHINGLE).cast("long").alias("end_word"),
-        "similarity", other.alias("other_id"), "n_others",
+        "similarity", other.alias("other_id"), "n_found",
     ).filter("other_id <> doc_id")
     # Counted before the join, so that no text is shuffled for it.
     words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
@@ -331,8 +351,8 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, enough: i
     whole = counted.join(nodes.filter("low < high"), ["node", "twin"]).distinct().select(
         "doc_id", F.lit(0).cast("long").alias("first_word"), "end_word", F.lit(1.0).alias("similarity"),
         F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("other_id"),
-        F.lit(1).cast("long").alias("n_others"),
+        F.lit(1).cast("long").alias("n_found"),
     )
     return near.union(whole).groupBy("doc_id", "first_word", "end_word").agg(
-        F.max("similarity").alias("similarity"), F.min("other_id").alias("other_id"), F.sum("n_others").alias("n_others")
+        F.max("similarity").alias("similarity"), F.min("other_id").alias("other_id"), F.sum("n_found").alias("n_found")
     )

@@ -104,6 +104,13 @@ def test_shared_passages_are_found_and_others_left_alone(make, seed):
         assert any(a <= first and end <= b and b - a <= end - first + 2 for a, b in by[doc])
 
 
+def test_overlapping_spans_become_one(make):
+    rows = [(1, 9, 0, 10, 0.8), (1, 8, 0, 12, 0.9), (1, 7, 5, 30, 1.0), (1, 9, 30, 31, 0.8), (1, 9, 33, 40, 0.8), (2, 1, 3, 4, 0.8)]
+    spans = make(rows, "node long, other long, first int, last int, similarity double")
+    found = sorted((r["node"], r["first"], r["last"], r["similarity"], r["other"], r["n_found"]) for r in passages.merged(spans).collect())
+    assert found == [(1, 0, 31, 1.0, 7, 4), (1, 33, 40, 0.8, 9, 1), (2, 3, 4, 0.8, 1, 1)]
+
+
 def test_changed_passages(make):
     rng = random.Random(11)
     passage = prose(rng, 120)
