@@ -10,7 +10,8 @@ Windows of ``FUNCTIONS`` hash functions with equal keys meet in one group-by.  I
 each group a star is tested: every text against that of the group's smallest
 document, this one against that of the largest.  A pair of texts whose windows of at least
 ``ENOUGH`` functions have a passage in common, found by intersecting intervals,
-is verified on the shingles of both texts.
+is verified on the shingles of both texts.  A window whose least shingle then lies
+in no passage is compared with all others of its group, see ``_rest``.
 
 Equal texts are one node from the start, named by a hash of the text.
 """
@@ -25,6 +26,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fitweave.llm.near_dedup import BLOCK, _blocks
 from fitweave.llm.words import SPACED, mixed, shingles, sliced_words
 from fitweave.shared import pinned
 
@@ -214,8 +216,8 @@ def verified(
     return sorted(found)
 
 
-def _pairs(docs: DataFrame, least: int, enough: int) -> DataFrame:
-    """``a``, ``b`` and candidate ``regions`` of a, for texts that share enough windows."""
+def _met(docs: DataFrame, least: int) -> DataFrame:
+    """``key``, ``a`` (node), ``b`` (the document it is tested against) and ``w`` of windows whose key several texts have."""
     # Cut out once for the keys and once for the look-up: that costs less than keeping all windows.
     windows = text_windows(docs, least)
     shared = (
@@ -227,10 +229,15 @@ def _pairs(docs: DataFrame, least: int, enough: int) -> DataFrame:
     # A written table on this side lets adaptive execution split the windows of a hot key.
     shared = pinned(shared, "shared-windows")
     met = windows.join(shared, "key").select(
-        F.col("node").alias("a"),
+        "key", F.col("node").alias("a"),
         F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"),
         F.struct("first", "place", "last", "function").alias("w"),
     )
+    return pinned(met, "met-windows")
+
+
+def _pairs(met: DataFrame, docs: DataFrame, least: int, enough: int) -> DataFrame:
+    """``a``, ``b`` and candidate ``regions`` of a, for texts that share enough windows."""
     # Equal texts bring equal windows; a set holds each once.
     both = met.groupBy("a", "b").agg(F.collect_set("w").alias("windows"))
 
@@ -256,6 +263,14 @@ def _pairs(docs: DataFrame, least: int, enough: int) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.flatten(F.collect_list("regions")).alias("regions"))
 
 
+def _texts(noded: DataFrame, nodes: DataFrame, ids: DataFrame) -> DataFrame:
+    """``node`` and ``text`` of the nodes in ``ids``."""
+    # One document stands for each text: copies do not meet in one task.
+    lows = nodes.groupBy("node").agg(F.min("low").alias("doc_id")).join(ids.distinct(), "node", "left_semi")
+    wanted = noded.join(lows, ["node", "doc_id"], "left_semi").groupBy("node", "doc_id").agg(F.min("text").alias("text"))
+    return wanted.select("node", "text")
+
+
 def _spans(pairs: DataFrame, texts: DataFrame, least: int, percent: int) -> DataFrame:
     """``node``, ``other``, ``first``, ``last`` (shingles) and ``similarity``, for both texts of a pair."""
     joined = (
@@ -290,6 +305,153 @@ def _spans(pairs: DataFrame, texts: DataFrame, least: int, percent: int) -> Data
     return joined.mapInArrow(scan, "node long, other long, first int, last int, similarity double")
 
 
+def _open(met: DataFrame, spans: DataFrame, least: int, enough: int) -> DataFrame:
+    """``key``, ``doc_id`` (node), ``place`` and ``open`` of the windows of each text.
+
+    A window is open if its least shingle lies in no passage found and one of its
+    starts, outside those passages, is in windows of ``enough`` functions.
+    """
+    windows = met.groupBy("a").agg(F.collect_set(F.struct("key", "w.first", "w.place", "w.last")).alias("windows"))
+    own = merged(spans).groupBy("node").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    both = windows.join(own, windows["a"] == own["node"], "left").select("a", "windows", "spans")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, column, found in zip(*(batch.column(k) for k in range(3))):
+                key, first, place, last = (x.to_numpy() for x in column.values.flatten())
+                begin, end = np.maximum(first, place - least + 1), np.minimum(place, last - least + 1)
+                ok = begin <= end
+                key, place, begin, end = key[ok], place[ok], begin[ok], end[ok]
+                if not len(key):
+                    continue
+                step = np.zeros(int(last.max()) + 2, np.int64)
+                np.add.at(step, begin, 1)
+                np.add.at(step, end + 1, -1)
+                deep = np.cumsum(step) >= enough
+                held = np.zeros(len(step), bool)
+                for span in found.as_py() or []:
+                    held[span["first"] : span["last"] + 1] = True
+                    deep[span["first"] : max(span["last"] - least + 2, 0)] = False
+                total = np.concatenate([[0], np.cumsum(deep)])
+                free = (total[end + 1] > total[begin]) & ~held[place]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), pa.array(np.full(len(key), node.as_py())), pa.array(place.astype(np.int32)), pa.array(free)],
+                    ["key", "doc_id", "place", "open"],
+                )
+
+    return both.mapInArrow(scan, "key long, doc_id long, place int, open boolean")
+
+
+def _around(members: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """Adds ``hashes``: the shingles less than ``least`` before and after a window's least one, 0 outside the text."""
+    windows = members.groupBy("doc_id").agg(F.collect_list(F.struct("key", "place", "open", "chunks")).alias("windows"))
+    joined = texts.join(windows, texts["node"] == windows["doc_id"]).select("text", "doc_id", "windows")
+    names = ["doc_id", "key", "place", "open", "chunks", "hashes"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, words in sliced_words(batch.column(0), SPACED):
+                row, _, value = shingles(words, SHINGLE)
+                edge = np.searchsorted(row, np.arange(j - i + 1))
+                for r in range(j - i):
+                    own = np.concatenate([np.zeros(least, np.uint64), value[edge[r] : edge[r + 1]], np.zeros(least, np.uint64)])
+                    fields = batch.column(2)[i + r].values.flatten()
+                    place = fields[1].to_numpy()
+                    for at in range(0, len(place), 4096):
+                        near = own[place[at : at + 4096, None] + np.arange(1, 2 * least)[None, :]]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(near), batch.column(1)[i + r].as_py())), *(x.slice(at, 4096) for x in fields),
+                             pa.array([x.tobytes() for x in near], pa.binary())],
+                            names,
+                        )
+
+    return joined.mapInArrow(scan, "doc_id long, key long, place int, open boolean, chunks int, hashes binary")
+
+
+def _fewest(own: np.ndarray, least: int) -> int:
+    """The least number of distinct shingles in a run of ``least``."""
+    if len(np.unique(own)) == len(own):
+        return least
+    return min(len(np.unique(own[k : k + least])) for k in range(max(1, len(own) - least + 1)))
+
+
+def block_pairs(
+    ids: np.ndarray, free: np.ndarray, mine: np.ndarray | None, hashes: np.ndarray, least: int, percent: int
+) -> list[tuple[int, int]]:
+    """Pairs of members of a block with a passage in common, until each open member has one if it has any.
+
+    ``hashes`` are the shingles around the members' common one, which is in the
+    middle.  ``mine`` are chunks if only pairs across chunks count.
+    """
+    free, found = free.copy(), []
+    middle = least - 1
+    for i in np.flatnonzero(free):
+        ok = ids != ids[i]
+        if mine is not None:
+            ok &= mine != mine[i]
+        at = np.flatnonzero(ok)
+        if not free[i] or not len(at):
+            continue
+        same = (hashes[at] == hashes[i]) & (hashes[i] > 0)
+        run = np.cumprod(same[:, middle::-1], 1).sum(1) + np.cumprod(same[:, middle + 1 :], 1).sum(1)
+        if run.max() >= least:
+            # Equal runs need no other test: all that are open are done, one with the longest run is taken.
+            equal = at[(run >= least) & free[at]]
+            found += [(i, j) for j in {int(at[run.argmax()]), *equal.tolist()}]
+            free[equal] = free[i] = False
+            continue
+        own = hashes[i][hashes[i] > 0]
+        shared = np.isin(hashes[at], own).sum(1)
+        for k in np.argsort(-shared, kind="stable"):
+            if 100 * shared[k] < percent * _fewest(own, least):
+                break
+            other = hashes[at[k]][hashes[at[k]] > 0]
+            if verified(own, other, [(0, len(own) - 1)], least, percent):
+                found.append((i, int(at[k])))
+                free[[i, at[k]]] = False
+                break
+    return found
+
+
+def _rest(
+    met: DataFrame, spans: DataFrame, noded: DataFrame, nodes: DataFrame, least: int, enough: int, percent: int
+) -> DataFrame:
+    """Spans of passages that the stars did not test, see ``_spans``.
+
+    The open windows of a group are compared with all others of the group, block
+    by block; no task holds a whole group, and a block sends out one pair per
+    open window at most.
+    """
+    windows = pinned(_open(met, spans, least, enough), "windows-left")
+    keys = windows.groupBy("key").agg(F.max("open").alias("some"), F.count(F.lit(1)).alias("n"))
+    # In a group of two the only pair is tested.
+    keys = pinned(keys.filter("some and n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")), "open-keys")
+    members = pinned(windows.join(keys, "key"), "open-members")
+    texts = pinned(_texts(noded, nodes, members.select(F.col("doc_id").alias("node"))), "open-texts")
+    mine = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int").alias("mine")
+    rows = _around(members, texts, least).withColumn("member", F.struct("doc_id", "place", "open", mine, "hashes"))
+    grouped = _blocks(rows.select("key", "chunks", "doc_id", "member"), "member").select("low", "high", "rows")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in range(len(batch)):
+                column = batch.column(2)[r].values.flatten()
+                ids, place, free, mine = (x.to_numpy(zero_copy_only=False) for x in column[:4])
+                hashes = np.frombuffer(b"".join(column[4].to_pylist()), np.uint64).reshape(len(ids), -1)
+                across = batch.column(0)[r] != batch.column(1)[r]
+                for i, j in block_pairs(ids, free, mine if across else None, hashes, least, percent):
+                    first, last = max(0, int(place[i]) - least + 1), int(place[i]) + int((hashes[i, least - 1 :] > 0).sum()) - 1
+                    out.append((int(ids[i]), int(ids[j]), first, last))
+            columns = list(zip(*out)) if out else [[]] * 4
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["a", "b", "first", "last"])
+
+    found = grouped.mapInArrow(scan, "a long, b long, first int, last int")
+    pairs = pinned(found.groupBy("a", "b").agg(F.collect_set(F.struct("first", "last")).alias("regions")), "open-pairs")
+    return pinned(_spans(pairs, texts, least, percent), "more-spans")
+
+
 def merged(spans: DataFrame) -> DataFrame:
     """Overlapping spans of a node as one: ``node``, ``first``, ``last`` and what was found there.
 
@@ -330,14 +492,12 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, enough: i
     noded = given.withColumns({"node": node_of(F.col("text")), "twin": twin_of(F.col("text"))})
     nodes = noded.groupBy("node", "twin").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     nodes = pinned(nodes, "nodes")
-    pairs = pinned(_pairs(noded, least, enough), "passage-pairs")
+    met = _met(noded, least)
+    pairs = pinned(_pairs(met, noded, least, enough), "passage-pairs")
     ids = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    # One document stands for each text: copies do not meet in one task.
-    lows = nodes.groupBy("node").agg(F.min("low").alias("doc_id")).join(ids.distinct(), "node", "left_semi")
-    wanted = noded.join(lows, ["node", "doc_id"], "left_semi").groupBy("node", "doc_id").agg(F.min("text").alias("text"))
-    texts = pinned(wanted.select("node", "text"), "passage-texts")
+    texts = pinned(_texts(noded, nodes, ids), "passage-texts")
     spans = pinned(_spans(pairs, texts, least, percent), "spans")
-    found = merged(spans)
+    found = merged(spans.unionByName(_rest(met, spans, noded, nodes, least, enough, percent)))
     others = nodes.select(F.col("node").alias("other"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
     members = noded.select("doc_id", "node").distinct()
     other = F.when(F.col("other_low") == F.col("doc_id"), F.col("other_high")).otherwise(F.col("other_low"))

@@ -104,6 +104,43 @@ def test_shared_passages_are_found_and_others_left_alone(make, seed):
         assert any(a <= first and end <= b and b - a <= end - first + 2 for a, b in by[doc])
 
 
+@pytest.mark.parametrize("changed", [0, 2])
+def test_a_low_document_with_a_fragment_hides_no_passage(make, changed):
+    """The centre of most windows holds 40 of the 50 words, too few to be a passage."""
+    rng = random.Random(21)
+    rows, want = [], set()
+    for p in range(12):
+        passage = prose(rng, 50 if not changed else 90)
+        rows.append((p, " ".join(prose(rng, 60) + passage[5:45] + prose(rng, 60))))
+        for k in (1, 2):
+            own = list(passage)
+            for _ in range(changed * (k - 1)):
+                own[rng.randrange(46, 85)] = "changed"
+            rows.append((100 * k + p, " ".join(prose(rng, 60) + own + prose(rng, 60))))
+            want.add(100 * k + p)
+    found = passages.repeated_passages(make(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in found} == want
+    if not changed:
+        assert all(r["first_word"] <= 60 and r["end_word"] >= 110 for r in found)
+
+
+def test_blocks_find_a_partner_for_each_open_member():
+    rng = np.random.default_rng(2)
+    least = 10
+    common = rng.integers(1, 1 << 60, 2 * least - 1).astype(np.uint64)
+    rows = [common.copy() for _ in range(6)]
+    rows[0][: least - 3] = rng.integers(1, 1 << 60, least - 3)
+    rows[0][least + 2 :] = rng.integers(1, 1 << 60, least - 3)
+    rows[5][0] = 7
+    hashes, ids = np.stack(rows), np.arange(6)
+    free = np.array([True, True, False, True, False, True])
+    met = {x for pair in passages.block_pairs(ids, free, None, hashes, least, 80) for x in pair}
+    assert {1, 3, 5} <= met and 0 not in met
+    mine = np.array([0, 0, 1, 0, 1, 0])
+    pairs = passages.block_pairs(ids, free, mine, hashes, least, 80)
+    assert {1, 3, 5} <= {x for pair in pairs for x in pair} and all(mine[i] != mine[j] for i, j in pairs)
+
+
 def test_overlapping_spans_become_one(make):
     rows = [(1, 9, 0, 10, 0.8), (1, 8, 0, 12, 0.9), (1, 7, 5, 30, 1.0), (1, 9, 30, 31, 0.8), (1, 9, 33, 40, 0.8), (2, 1, 3, 4, 0.8)]
     spans = make(rows, "node long, other long, first int, last int, similarity double")
