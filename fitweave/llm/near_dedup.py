@@ -174,14 +174,13 @@ BLOCK = 512
 
 
 def _close(ids: np.ndarray, part: np.ndarray, n: np.ndarray, sketch: np.ndarray, mine: np.ndarray | None,
-           centre: int, band: int, percent: int) -> np.ndarray:
+           centre: int, percent: int) -> np.ndarray:
     """Which members have an untested partner of another component that looks similar.
 
-    Pairs with the centre are tested already; pairs that share an earlier band
-    are left to that band's bucket.  ``mine`` are chunks if only pairs across
-    chunks count.
+    Pairs with the centre are tested already.  A pair that shares several buckets
+    is tested in each: equal sketches do not tell whether an earlier band's key
+    is shared.  ``mine`` are chunks if only pairs across chunks count.
     """
-    bands = sketch.view(np.uint32)[:, :band]
     found = np.zeros(len(ids), bool)
     rest = np.flatnonzero(ids != centre)
     for k, i in enumerate(rest):
@@ -192,8 +191,6 @@ def _close(ids: np.ndarray, part: np.ndarray, n: np.ndarray, sketch: np.ndarray,
             ok &= mine[at] != mine[i]
         at = at[ok]
         at = at[(sketch[at] == sketch[i]).sum(1) >= SKETCH_BINS]
-        if band and len(at):
-            at = at[~(bands[at] == bands[i]).any(1)]
         if len(at):
             found[i] = True
             found[at] = True
@@ -217,7 +214,7 @@ def _blocks(rows: DataFrame, members: str) -> DataFrame:
 def _needed(members: DataFrame, sets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """``key``, ``low``, ``high`` and ``doc_id``: members of blocks that have a pair to test."""
     placed = members.join(parts, members["doc_id"] == parts["id"], "left").select(
-        "key", "band", "centre", "doc_id", F.coalesce("component", "doc_id").alias("component")
+        "key", "centre", "doc_id", F.coalesce("component", "doc_id").alias("component")
     )
     # In a bucket of two the only pair is tested.
     mixed_keys = (
@@ -228,7 +225,7 @@ def _needed(members: DataFrame, sets: DataFrame, parts: DataFrame, percent: int)
     )
     one = sets.groupBy("doc_id").agg(F.min(F.struct("n_shingles", "sketch")).alias("set"))
     rows = placed.join(mixed_keys, "key").join(one, "doc_id")
-    rows = rows.withColumn("member", F.struct("doc_id", "component", "set.n_shingles", "set.sketch", "centre", "band",
+    rows = rows.withColumn("member", F.struct("doc_id", "component", "set.n_shingles", "set.sketch", "centre",
                                               F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int").alias("mine")))
     grouped = _blocks(rows.select("key", "chunks", "doc_id", "member"), "member")
 
@@ -239,7 +236,7 @@ def _needed(members: DataFrame, sets: DataFrame, parts: DataFrame, percent: int)
                 ids, part, n, mine = (np.array([x[c] for x in found]) for c in ("doc_id", "component", "n_shingles", "mine"))
                 sketch = np.frombuffer(b"".join(x["sketch"] for x in found), np.uint8).reshape(-1, BINS)
                 first = found[0]
-                near = _close(ids, part, n, sketch, mine if low != high else None, first["centre"], first["band"], percent)
+                near = _close(ids, part, n, sketch, mine if low != high else None, first["centre"], percent)
                 out += [(key, low, high, x) for x in ids[near].tolist()]
             columns = list(zip(*out)) if out else [[]] * 4
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]

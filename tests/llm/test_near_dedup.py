@@ -121,6 +121,34 @@ def test_signatures_agree_about_as_often_as_sets_do():
         assert abs(np.mean(rates) - want) < 0.03
 
 
+def test_equal_sketches_of_an_earlier_band_leave_no_pair_out(make):
+    """Two texts whose sketches agree in a band, by chance, whose key they do not share."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    while len(texts) < 3000:
+        copy = list(base)
+        copy[rng.randrange(60)] = f"x{rng.random()}"
+        texts.append(" ".join(copy))
+    rows = [r for r in near_dedup.shingle_sets(make(list(enumerate(texts)), "doc_id long, text string"), 4).collect()]
+    sketch = np.stack([np.frombuffer(r["sketch"], np.uint8) for r in rows])
+    keys = np.array([r["bands"] for r in rows])
+    part, n = np.arange(len(rows)), np.array([r["n_shingles"] for r in rows])
+    whole = sketch.view(np.uint32)
+    chance = [
+        (i, j, band)
+        for i in range(200)
+        for j in range(i + 1, len(rows))
+        if (whole[i] == whole[j]).sum() > (keys[i] == keys[j]).sum()
+        for band in np.flatnonzero(keys[i] == keys[j])[:1]
+        if ((whole[i] == whole[j]) & (keys[i] != keys[j]))[:band].any()
+    ]
+    assert chance
+    for i, j, _ in chance:
+        both = np.array([i, j])
+        assert near_dedup._close(both, part[both], n[both], sketch[both], None, -1, 80).all()
+
+
 def test_empty_sets_have_no_keys():
     assert (near_dedup.signatures(np.zeros(0, int), np.zeros(0, np.uint64), 2) == near_dedup._EMPTY).all()
 
