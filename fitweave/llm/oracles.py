@@ -177,10 +177,40 @@ select conv_id, count(*) as n_turns,
 from given group by conv_id
 """
 
+UNITS = "[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+"
+
+OP13 = f"""
+with given as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '{UNITS}') as units,
+    sha256('42:' || coalesce(cast(doc_id as varchar), '')) as hex
+  from documents
+), drawn as (
+  select *, len(units) as n, cast('0x' || hex[1:8] as bigint) as h1, cast('0x' || hex[9:16] as bigint) as h2,
+    cast('0x' || hex[17:24] as bigint) as h3, cast('0x' || hex[25:32] as bigint) as h4
+  from given
+), cuts as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50 then 'plain'
+      when h4 % 100 < 80 then 'spm' else 'psm' end as form
+  from drawn
+), parts as (
+  select *, array_to_string(units[1 : a], '') as pre, array_to_string(units[a + 1 : b], '') as mid,
+    array_to_string(units[b + 1 : n], '') as suf
+  from cuts
+)
+select doc_id, n, form, case when form <> 'plain' then length(pre) end as prefix_chars,
+  case when form <> 'plain' then length(mid) end as middle_chars,
+  sha256(case form when 'plain' then text when 'spm' then '<S>' || suf || '<P>' || pre || '<M>' || mid
+    else '<P>' || pre || '<S>' || suf || '<M>' || mid end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts
+"""
+
 ORACLES: dict[str, str] = {
     "op2_minhash_dedup": OP2,
     "op3_decontamination": OP3,
     "op4_chat_format": OP4,
     "op6_source_mixing": OP6,
     "op10_hash_tree_sharding": OP10,
+    "op13_fill_in_middle": OP13,
 }

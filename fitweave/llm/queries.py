@@ -11,6 +11,7 @@ from fitweave.llm import (
     chat_format,
     class_lm,
     decontaminate,
+    fill_middle,
     language_id,
     mixing,
     near_dedup,
@@ -96,9 +97,19 @@ def op10_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.transformed(table(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in [
         op1_substring_dedup, op2_minhash_dedup, op3_decontamination, op4_chat_format, op5_class_scores,
         op6_source_mixing, op7_toxicity, op8_language_id, op9_vector_dedup, op10_hash_tree_sharding,
+        op13_fill_in_middle,
     ]
 }
