@@ -206,11 +206,106 @@ select doc_id, n, form, case when form <> 'plain' then length(pre) end as prefix
 from parts
 """
 
+def best(*ways: str) -> str:
+    """The least of (cost, audit, text) states."""
+    return f"list_min([{', '.join(ways)}])"
+
+
+def edited(state: str, cost: str, letter: str, line: str = "''") -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {line}}}"
+
+
+def inserted(state: str, role: str) -> str:
+    return edited(state, "2", "I", f"chr(10) || '{role}:'")
+
+
+def closed(frame: str) -> str:
+    """States after inserts: 0 start, 1 system, 2 user, 3 assistant."""
+    return f"""
+    select conv_id, place, b0 as s0, b1 as s1, u as s2, {best("b3", inserted("u", "assistant"))} as s3
+    from (select *, {best("b2", *[inserted(f"b{q}", "user") for q in (0, 1, 3)])} as u from ({frame}))
+    """
+
+
+FAR = "{'c': 1000000000, 'a': '', 't': ''}"
+
+
+def kept(state: str, initial: str) -> str:
+    line = "chr(10) || role || ':' || text"
+    return f"case when initial = '{initial}' and not gone then {edited(state, 'cut', 'K', line)} else {FAR} end"
+
+
+def reroled(state: str, role: str) -> str:
+    line = f"chr(10) || '{role}:' || text"
+    return f"case when not gone then {edited(state, '2 + cut', 'R', line)} else {FAR} end"
+
+
+_START = f"select conv_id, cast(0 as bigint) as place, {{'c': 0, 'a': '', 't': ''}} as b0, {FAR} as b1, {FAR} as b2, {FAR} as b3 from counts"
+_TO_USER = [f(f"s{q}", x) for q in (0, 1, 3) for f, x in ((kept, "u"), (reroled, "user"))]
+_NEXT = f"""
+    select s.conv_id, s.place + 1 as place, {edited("s0", "3", "D")} as b0, {best(edited("s1", "3", "D"), kept("s0", "s"))} as b1,
+      {best(edited("s2", "3", "D"), *_TO_USER)} as b2,
+      {best(edited("s3", "3", "D"), kept("s2", "a"), reroled("s2", "assistant"))} as b3
+    from states s
+    join (select conv_id as own, place as at, role, text, initial, blank or duplicate as gone, cast(truncated as int) as cut from marked) m
+      on m.own is not distinct from s.conv_id and m.at = s.place + 1
+"""
+
+OP11 = f"""
+with recursive crc_table as (
+  select list(list_reduce(list_concat([i], range(8)), lambda c, k:
+    case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as entry
+  from range(256) t(i)
+), keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as key
+  from conversations
+), given as (
+  select conv_id, turn, role, text, xor(list_reduce(
+      list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(key)), '..'), lambda h: cast('0x' || h as bigint))),
+      lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255) + 1])), 4294967295) % 20 as kind
+  from keyed, crc_table
+), broken as (
+  select conv_id, turn, case kind when 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from (select *, unnest(range(case kind when 3 then 2 else 1 end)) as copy from given where kind <> 0)
+), seated as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, left(text, 32), md5(text)) as place from broken
+), judged as (
+  select *, regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') as shown, left(role, 1) as initial,
+    row_number() over (partition by conv_id, role, text order by place) > 1 as seen,
+    lag(left(role, 1)) over (partition by conv_id order by place) as above
+  from seated
+), marked as (
+  select *, shown = '' as blank, shown <> '' and seen as duplicate,
+    shown <> '' and not seen and right(shown, 1) not in ('.', '!', '?') as truncated
+  from judged
+), counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (blank) as blank, count(*) filter (duplicate) as duplicate, count(*) filter (truncated) as truncated,
+    count(*) filter (above || initial not in ('su', 'ua', 'au')) as illegal, count(*) as n
+  from marked group by conv_id
+), states as (
+  {closed(_START)}
+  union all
+  {closed(_NEXT)}
+), done as (
+  select c.*, {best("s0", "s3")} as way
+  from counts c join states s on s.conv_id is not distinct from c.conv_id and s.place = c.n
+)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(coalesce(way.c, 0) as bigint) as cost,
+  coalesce(way.a, '') as audit, sha256(coalesce(substr(way.t, 2), '')) as repaired_sha256
+from (select distinct conv_id from conversations) o left join done d on d.conv_id is not distinct from o.conv_id
+"""
+
+
 ORACLES: dict[str, str] = {
     "op2_minhash_dedup": OP2,
     "op3_decontamination": OP3,
     "op4_chat_format": OP4,
     "op6_source_mixing": OP6,
     "op10_hash_tree_sharding": OP10,
+    "op11_turn_repair": OP11,
     "op13_fill_in_middle": OP13,
 }

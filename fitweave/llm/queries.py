@@ -15,11 +15,14 @@ from fitweave.llm import (
     language_id,
     mixing,
     near_dedup,
+    packed_ids,
     passages,
     sharding,
     toxicity,
+    turn_repair,
     vector_dedup,
 )
+from fitweave.shared import new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,6 +100,21 @@ def op10_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return turn_repair.report(turn_repair.damaged(turns), turns)
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = new_path(spark, "token_ids")
+    docs = table(spark, sf_dir, "documents")
+    packed_ids.encode_to_files(docs, public_tokenizers.path("byte_bpe_50k.json"), 2, path)
+    found = packed_ids.read_packed(spark, path)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fill_middle.transformed(table(spark, sf_dir, "documents"))
     back = fill_middle.restored(F.col("output"), F.col("form"))
@@ -110,6 +128,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in [
         op1_substring_dedup, op2_minhash_dedup, op3_decontamination, op4_chat_format, op5_class_scores,
         op6_source_mixing, op7_toxicity, op8_language_id, op9_vector_dedup, op10_hash_tree_sharding,
-        op13_fill_in_middle,
+        op11_turn_repair, op12_token_files, op13_fill_in_middle,
     ]
 }

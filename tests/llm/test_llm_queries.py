@@ -34,7 +34,7 @@ def documents(tables):
 
 
 def test_all_are_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     for n in names:
         assert sum(q.startswith(n) for q in entry.queries()) == 1
     assert "pipeline" in entry.queries() and set(ORACLES) <= set(QUERIES)
