@@ -90,8 +90,10 @@ def unpacked(data: bytes, bits: int, count: int) -> np.ndarray:
 # Encoding
 
 #: A space after anything but white space: no token of a byte-level tokenizer reaches across its left side.
-_CUT = re.compile("(?<![\\s᠎]) ")
-_BLANK = re.compile("[\\s᠎]")
+_CUT = re.compile("(?<![\\s\u180e]) ")
+_BLANK = re.compile("[\\s\u180e]")
+#: A space after white space, so that plain splitting at spaces will not do.
+_DOUBLE = re.compile(" (?<=[\\s\u180e] )")
 #: Parts kept with their ids by a worker, and their longest.
 KEPT_PARTS, KEPT_CHARS = 1 << 20, 48
 #: Parts that are encoded as one string, line ends between them.
@@ -102,9 +104,10 @@ class Encoder:
     """Ids of whole texts by the tokenizers library.
 
     A byte-level tokenizer that pre-splits by its usual pattern never joins a
-    space to what stands before it, unless that is white space too.  Texts are
-    cut there; each different part is encoded once and its ids are kept, up to
-    a bound.  Any other tokenizer gets whole texts.
+    space to what stands before it, unless that is white space too, and takes a
+    line end between two other signs by itself.  Texts are cut there; each
+    different part is encoded once and its ids are kept, up to a bound.  Any
+    other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -116,13 +119,20 @@ class Encoder:
         split = said.get("pre_tokenizer") or {}
         tokens = said.get("added_tokens") or []
         self.size = self.tokenizer.get_vocab_size()
+        self.line = self._whole(["\n"])[0]
         self.by_part = (
             split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
-            and not said.get("normalizer") and not said.get("truncation")
+            and not said.get("normalizer") and not said.get("truncation") and len(self.line) == 4
             and not any(_BLANK.search(x["content"]) or x["lstrip"] or x["rstrip"] or x["single_word"] for x in tokens)
         )
-        line = self._whole(["\n"])[0]
-        self.line = int(np.frombuffer(line, "<u4")[0]) if len(line) == 4 else None
+        # Tokens that begin with a space, and the line end.
+        self.spaced = np.zeros(self.size, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            if token.startswith("\u0120") and i < self.size:
+                self.spaced[i] = True
+        self.lines = np.zeros(self.size, bool)
+        self.lines[np.frombuffer(self.line, "<u4")] = True
+        # Ids of parts that follow nothing or a line end, and of parts that follow a space.
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
 
@@ -130,48 +140,86 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _run(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts without white space, each after a space, from one string."""
-        ids = np.frombuffer(self._whole(["\n " + "\n ".join(parts)])[0], "<u4")
-        at = np.flatnonzero(ids == self.line)
-        if len(at) != len(parts):
-            return self._whole([" " + x for x in parts])
-        raw = ids.tobytes()
-        ends = [*(at[1:] * 4).tolist(), len(raw)]
-        return [raw[a + 4 : b] for a, b in zip((at * 4).tolist(), ends)]
+    def _after_space(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts without white space, each after a space, many as one string.
+
+        A space stands in the first token of its part and in no other.
+        """
+        return self._runs(parts, " ", self.spaced)
+
+    def _after_line(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts without white space, each after a line end, which is no part of them."""
+        found = self._runs(parts, "\n", self.lines)
+        return {k: v[4:] for k, v in found.items()}
+
+    def _runs(self, parts: list[str], before: str, opens: np.ndarray) -> dict[str, bytes]:
+        found = {}
+        for k in range(0, len(parts), _RUN):
+            run = parts[k : k + _RUN]
+            raw = self._whole([before + before.join(run)])[0]
+            at = np.flatnonzero(opens[np.frombuffer(raw, "<u4")]) * 4
+            if len(at) == len(run):
+                ends = [*at[1:].tolist(), len(raw)]
+                found.update(zip(run, [raw[a:b] for a, b in zip(at.tolist(), ends)]))
+            else:
+                found.update(zip(run, self._whole([before + x for x in run])))
+        return found
+
+    def _keep(self, kept: dict[str, bytes], new: dict[str, bytes], most: int) -> None:
+        if len(kept) + len(new) <= most:
+            kept.update((k, v) for k, v in new.items() if len(k) <= KEPT_CHARS)
+
+    def _lines(self, part: str) -> list[str] | None:
+        """The pieces between the line ends of a part that has no other white space, none of them empty."""
+        pieces = part.split("\n")
+        return None if not all(pieces) or any(map(_BLANK.search, pieces)) else pieces
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.by_part or self.line is None:
+        if not self.by_part:
             return self._whole(texts)
-        split = [_CUT.split(x) for x in texts]
-        later = self.later
-        fresh = list({x for parts in split for x in parts[1:] if x not in later})
-        simple = [x for x in fresh if x and not _BLANK.search(x)]
-        new: dict[str, bytes] = {}
-        for k in range(0, len(simple), _RUN):
-            run = simple[k : k + _RUN]
-            new.update(zip(run, self._run(run)))
-        other = [x for x in fresh if not x or _BLANK.search(x)]
-        new.update(zip(other, self._whole([" " + x for x in other])))
-        opening = list({parts[0] for parts in split if parts[0] not in self.first})
-        heads = dict(zip(opening, self._whole(opening)))
-        if len(later) + len(new) <= KEPT_PARTS:
-            # Long parts are rare; they are found in ``new`` this once.
-            later.update((k, v) for k, v in new.items() if len(k) <= KEPT_CHARS)
-            new = {k: v for k, v in new.items() if len(k) > KEPT_CHARS}
-        if new:
-            ids_of = lambda x: later.get(x) or new[x]  # noqa: E731  no part but "" is without ids
-        else:
-            ids_of = later.__getitem__
-        out = [
-            (heads[parts[0]] if parts[0] in heads else self.first[parts[0]]) + b"".join(map(ids_of, parts[1:])) for parts in split
-        ]
-        if len(self.first) + len(heads) <= KEPT_PARTS // 8:
-            self.first.update((k, v) for k, v in heads.items() if len(k) <= KEPT_CHARS)
+        split = [_CUT.split(x) if _DOUBLE.search(x) else x.split(" ") for x in texts]
+        get = self.later.get
+        found = [[b"", *map(get, parts[1:])] for parts in split]
+        missing = [_missing(ids) for ids in found]
+        fresh = {parts[k] for parts, at in zip(split, missing) for k in at}
+        lines = {x: pieces for x in fresh if "\n" in x and (pieces := self._lines(x))}
+        simple = {x for x in fresh if x and not _BLANK.search(x)}
+        new = self._after_space(list(simple | {p[0] for p in lines.values() if p[0] not in self.later}))
+        heads = {p[0] for p in split}
+        plain = {x for p in lines.values() for x in p[1:]} | {x for x in heads if x and not _BLANK.search(x)}
+        opened = self._after_line([x for x in plain if x not in self.first])
+        opened.update((x, i) for x in plain if (i := self.first.get(x)) is not None)
+        other = [x for x in heads if x not in opened]
+        opened.update(zip(other, self._whole(other)))
+        composed = {
+            x: self.line.join([new.get(p[0]) or self.later[p[0]], *[opened[y] for y in p[1:]]]) for x, p in lines.items()
+        }
+        odd = [x for x in fresh if x not in simple and x not in lines]
+        composed.update(zip(odd, self._whole([" " + x for x in odd])))
+        out = []
+        for parts, ids, at in zip(split, found, missing):
+            ids[0] = opened[parts[0]]
+            for k in at:
+                x = parts[k]
+                ids[k] = new[x] if x in simple else composed[x]
+            out.append(b"".join(ids))
+        self._keep(self.later, new, KEPT_PARTS)
+        self._keep(self.first, opened, KEPT_PARTS // 8)
         return out
 
 
+def _missing(ids: list[bytes | None]) -> list[int]:
+    """Places of None."""
+    places, at = [], -1
+    while True:
+        try:
+            at = ids.index(None, at + 1)
+        except ValueError:
+            return places
+        places.append(at)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     import os
