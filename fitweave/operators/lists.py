@@ -1,58 +1,86 @@
 """Ordered lists per group, cut into pages of bounded length.
 
-Members are paged by their position in the group, always by the same plan:
-``page`` is part of the result's key, and a group's pages 0, 1, ... read in
-order are the whole list.
+Members are paged by their position in the group: ``page`` is part of the
+result's key, and a group's pages 0, 1, ... read in order are the whole list.
+Groups are counted first.  Only the members of groups beyond a page are
+range-sorted for their positions; all others are page 0 as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fitweave.columns import col, cols, entry, same_keys
+from fitweave.columns import ascending, col, cols, entry, same_keys
+from fitweave.operators.heavy import within
 from fitweave.operators.rows import number_rows
+from fitweave.shared import pinned
 
 PAGE_ROWS = 100_000
+# Long groups that are told apart by a broadcast at most.
+MOST_LONG = 100_000
 
 
-def with_pages(
-    rows: DataFrame, keys: Sequence[str], order_by: Sequence[str], page_rows: int
-) -> DataFrame:
-    """Add ``page``: position in the group divided by the page length.
+def split_long(rows: DataFrame, keys: Sequence[str], most: int) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` of groups of at most ``most`` rows, and those of longer ones or None.
+
+    ``rows`` is a written table: it is read to count the groups, and again.
+    """
+    counts = rows.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("_n"))
+    long = pinned(counts.filter(F.col("_n") > most).select(*cols(keys)), "long_groups")
+    if long.isEmpty():
+        return rows, None
+    found = within(long, MOST_LONG)
+    same = same_keys(rows, found, keys)
+    return rows.join(found, same, "left_anti"), rows.join(found, same, "left_semi")
 
-    Rows are numbered in (keys, order) order.  Groups longer than a page are
-    looked up by block of row numbers: a block has ``page_rows`` rows and meets
-    at most two such groups, so the join is even however large a group is.
+
+def _long_positions(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str], name: str, block_rows: int) -> DataFrame:
+    """Add the position in the group, for groups that each have more than ``block_rows`` rows.
+
+    Rows are numbered in (keys, order) order.  A group's first number is looked
+    up by block of numbers: a block has ``block_rows`` rows and meets at most two
+    groups, so the join is even however large a group is.
     """
     numbered = number_rows(rows, [*keys, *[c for c in order_by if c not in keys]], "_row_no")
-    block = F.floor(F.col("_row_no") / F.lit(page_rows)).cast("long")
-    first, last = F.min("_row_no"), F.max("_row_no")
-    long_groups = (
-        numbered.groupBy(*cols(keys))
-        .agg(first.alias("_start"), last.alias("_end"))
-        .filter(F.col("_end") - F.col("_start") >= page_rows)
-    )
-    blocks = long_groups.withColumn(
-        "_block",
-        F.explode(
-            F.sequence(
-                F.floor(F.col("_start") / page_rows).cast("long"),
-                F.floor(F.col("_end") / page_rows).cast("long"),
-            )
-        ),
-    )
-    rows = numbered.withColumn("_block", block)
-    joined = rows.join(blocks, same_keys(rows, blocks, ["_block", *keys]), "left")
-    page = F.floor((F.col("_row_no") - F.col("_start")) / F.lit(page_rows))
-    kept = [
-        rows["`" + c.replace("`", "``") + "`"]
-        for c in rows.columns
-        if c not in ("_row_no", "_block")
-    ]
-    return joined.select(*kept, F.coalesce(page, F.lit(0)).cast("int").alias("page"))
+    block = lambda at: F.floor(at / F.lit(block_rows)).cast("long")
+    groups = numbered.groupBy(*cols(keys)).agg(F.min("_row_no").alias("_start"), F.max("_row_no").alias("_end"))
+    blocks = groups.withColumn("_block", F.explode(F.sequence(block(F.col("_start")), block(F.col("_end")))))
+    placed = numbered.withColumn("_block", block(F.col("_row_no")))
+    joined = placed.join(blocks, same_keys(placed, blocks, ["_block", *keys]))
+    given = [placed["`" + c.replace("`", "``") + "`"] for c in rows.columns]
+    return joined.select(*given, (F.col("_row_no") - F.col("_start")).alias(name))
+
+
+def with_positions(
+    rows: DataFrame, keys: Sequence[str], order_by: Sequence[str], name: str, most: int = PAGE_ROWS
+) -> DataFrame:
+    """Add the position in the group, from 0; ``rows`` is a written table.
+
+    Groups of at most ``most`` rows are sorted by themselves, longer ones are
+    range-sorted.
+    """
+    short, long = split_long(rows, keys, most)
+    window = Window.partitionBy(*cols(keys)).orderBy(*ascending(order_by))
+    placed = short.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
+    if long is None:
+        return placed
+    return placed.unionByName(_long_positions(long, keys, order_by, name, most))
+
+
+def with_pages(
+    rows: DataFrame, keys: Sequence[str], order_by: Sequence[str], page_rows: int
+) -> DataFrame:
+    """Add ``page``: position in the group divided by the page length."""
+    short, long = split_long(pinned(rows, "members"), keys, page_rows)
+    first = short.withColumn("page", F.lit(0))
+    if long is None:
+        return first
+    placed = _long_positions(long, keys, order_by, "_position", page_rows)
+    page = F.floor(F.col("_position") / F.lit(page_rows)).cast("int")
+    return first.unionByName(placed.withColumn("page", page).drop("_position"))
 
 
 def ordered_lists(

@@ -46,6 +46,44 @@ def number_as_is(df: DataFrame, name: str = "row_no") -> DataFrame:
     )
 
 
+def with_order_key(
+    df: DataFrame, order_by: Sequence[str], name: str, several: bool = False
+) -> tuple[DataFrame, str]:
+    """``df`` and the name of a column of whole numbers that orders its rows as ``order_by`` does.
+
+    One column of whole numbers is taken as it is; otherwise rows are numbered
+    under ``name``.  With ``several``, rows that share ``order_by`` get one number.
+    """
+    if len(order_by) == 1 and isinstance(df.schema[order_by[0]].dataType, T.IntegralType):
+        return df, order_by[0]
+    if not several:
+        return number_rows(df, order_by, name), name
+    firsts = number_rows(df.select(*cols(order_by)).distinct(), order_by, name)
+    return df.join(firsts, list(order_by)), name
+
+
+def running_totals(numbered: DataFrame, weight: Column, name: str, row_no: str = "row_no") -> DataFrame:
+    """Add the sum of ``weight`` over all rows before, in the order of dense row numbers.
+
+    Rows are summed by blocks, at most a few for each shuffle partition; the
+    blocks' sums are added up on the driver, and each block adds up its own rows.
+    """
+    table = pinned(numbered.withColumn("_weight", weight.cast("long")), "weights")
+    parts = 4 * int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = max(1, -(-table.count() // parts))
+    block = F.floor(col(row_no) / F.lit(size)).cast("long")
+    sums = table.groupBy(block.alias("_block")).agg(F.sum("_weight").alias("_sum")).collect()
+    starts, start = [], 0
+    for found, total in sorted(tuple(r) for r in sums):
+        starts.append((found, start))
+        start += total
+    before = table.sparkSession.createDataFrame(starts, "_block long, _start long")
+    above = Window.partitionBy("_block").orderBy(col(row_no)).rowsBetween(Window.unboundedPreceding, -1)
+    own = F.coalesce(F.sum("_weight").over(above), F.lit(0))
+    placed = table.withColumn("_block", block).join(F.broadcast(before), "_block")
+    return placed.select(*cols(numbered.columns), (F.col("_start") + own).alias(name))
+
+
 def neighbours(
     numbered: DataFrame,
     wanted: Mapping[str, tuple[Column, int]],

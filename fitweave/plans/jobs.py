@@ -164,11 +164,10 @@ def vehicle_report(
         col("horse_powers").alias(POWER_COLUMN),
         *cols(categories),
         "level",
-        "place",
         "page",
+        F.col("place").alias(ROW),
     )
-    numbered = number_rows(report, ["place", "page"], ROW).drop("place")
-    return numbered.withColumnRenamed(CABIN_SOURCE, CABIN)
+    return report.withColumnRenamed(CABIN_SOURCE, CABIN)
 
 
 def prefix_split(
@@ -256,9 +255,10 @@ def finished_catalogue(
     Several branches of a step read its input, so a step's table is written
     once and scanned by the next.
     """
-    notes = pinned(criteria_notes(criteria, notes_order), "notes")
+    notes = criteria_notes(criteria, notes_order)
     spread = spread_report(report, keys, lists, cells, padded, line_order=True)
-    numbered = number_rows(spread, ["line"]).drop("line")
+    line = {f"_{c}": F.col("line").getField(c) for c in ("at", "turn", "place")}
+    numbered = number_rows(spread.withColumns(line).drop("line"), list(line)).drop(*line)
     return attach_criteria(numbered, notes, [ROW], notes_order, keys=keys, cells=cells)
 
 

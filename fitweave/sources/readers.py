@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,8 +52,8 @@ def read_delimited(
 
     ``null_texts`` (default ``NULL_TEXTS``) become null in any column; other
     text that does not fit its column's type is an error.  ``multi_line`` reads
-    line ends inside quotes; each file is then one task's work, as it cannot be
-    split.
+    line ends inside quotes; each file is then one task's work.  ``read_quoted``
+    reads such files in splits.
     """
     missing = NULL_TEXTS if null_texts is None else null_texts
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
@@ -63,10 +63,90 @@ def read_delimited(
                  multiLine=multi_line)
         .csv(path)
     )
+    return _typed(scan, schema, missing)
+
+
+def _typed(scan: DataFrame, schema: T.StructType, missing: list[str]) -> DataFrame:
     present = {f.name: F.when(~col(f.name).isin(missing), col(f.name)) for f in schema}
     return scan.withColumns({f.name: present[f.name].cast(f.dataType) for f in schema})
 
 
+def quoted_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Records of text files in which a quoted field may hold line ends: ``record`` and ``FILE_ORDER``.
+
+    A line starts a record where an even number of quotes stands before it in
+    its file.  Each split counts its quotes; sums over the splits before tell
+    whether a split starts inside quotes, and a running sum inside the split does
+    the rest.  Lines meet inside their split; only a split's first lines and its
+    last record meet those of other splits.  Blank records are left out, and so
+    is each file's first record, the header; a carriage return that ends a record
+    goes.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("part"),
+        F.monotonically_increasing_id().alias("at"),
+        "value",
+        ((F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2).alias("odd"),
+    )
+    # A row per split of each file.
+    earlier = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    quotes = lines.groupBy("file", "part").agg(F.sum("odd").alias("odd"))
+    opened = quotes.select("file", "part", F.coalesce(F.sum("odd").over(earlier), F.lit(0)).alias("open"))
+    above = Window.partitionBy("file", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    until = Window.partitionBy("file", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    inside = F.col("open") + F.coalesce(F.sum("odd").over(above), F.lit(0))
+    begun = lines.join(opened, ["file", "part"]).withColumn("begins", inside % 2 == 0)
+    started = begun.withColumn("start", F.max(F.when(F.col("begins"), F.col("at"))).over(until))
+    # Grouped where the lines of a split are: lines before its first start have a null one.
+    pieces = started.groupBy("file", "part", "start").agg(
+        F.sort_array(F.collect_list(F.struct("at", "value"))).alias("lines"), F.min("at").alias("first")
+    )
+    text = F.array_join(F.transform("lines", lambda x: x["value"]), "\n")
+    pieces = pieces.select("file", "part", "start", "first", text.alias("text"))
+    ends = pieces.groupBy("file", "part").agg(F.max("start").alias("last"), F.min("first").alias("top"))
+    # The record that a split's first lines go on: the last one that started before.
+    held = F.struct(F.col("part").alias("part"), F.col("last").alias("start"))
+    carried = F.last(F.when(F.col("last").isNotNull(), held), ignorenulls=True).over(earlier)
+    known = pieces.join(ends.withColumn("carried", carried), ["file", "part"])
+    own = F.struct(F.col("part").alias("part"), F.col("start").alias("start"))
+    known = known.select(
+        "file", "part", "text",
+        F.when(F.col("start").isNotNull(), own).otherwise(F.col("carried")).alias("of"),
+        (F.col("start").isNull() | (F.col("start") == F.col("last"))).alias("edge"),
+        ((F.col("part") == 0) & (F.col("first") == F.col("top"))).alias("header"),
+    )
+    joined = known.filter("edge").groupBy("file", "of").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "text"))), lambda x: x["text"]), "\n").alias("text"),
+        F.max("header").alias("header"),
+    )
+    whole = known.filter("not edge").select("file", "of", "text", "header").unionByName(joined)
+    record = F.regexp_replace("text", "\r$", "")
+    return whole.filter(~F.col("header") & (record != "")).select(
+        record.alias("record"), "file", F.col("of.part").alias("file_part"), F.col("of.start").alias("file_row")
+    )
+
+
+def read_quoted(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    separator: str = ";",
+    null_texts: list[str] | None = None,
+    file_order: bool = False,
+) -> DataFrame:
+    """As ``read_delimited`` with line ends inside quotes, over files that are split.
+
+    With ``file_order``, the ``FILE_ORDER`` columns are added.
+    """
+    names = ", ".join("`" + f.name.replace("`", "``") + "` string" for f in schema)
+    options = {"sep": separator, "escape": '"', "nullValue": "", "mode": "FAILFAST"}
+    records = quoted_records(spark, path).withColumn("_fields", F.from_csv("record", names, options))
+    fields = [F.col("_fields").getField(f.name).alias(f.name) for f in schema]
+    scan = records.select(*fields, *(FILE_ORDER if file_order else []))
+    return _typed(scan, schema, NULL_TEXTS if null_texts is None else null_texts)
+
+
 def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)

@@ -108,9 +108,9 @@ def _picked(cell: str, condition: str) -> str:
     )
 
 
-def _buckets(cell: str) -> str:
+def _buckets(cell: str, names: dict[str, str] | None = None) -> str:
     return ", ".join(
-        f"{_picked(cell, condition)} as {name}"
+        f"{_picked(cell, condition)} as {(names or {}).get(name, name)}"
         for name, condition in [
             ("CAC", "starts_with(x, 'CAC')"),
             ("CAB", "starts_with(x, 'CAB')"),
@@ -119,6 +119,20 @@ def _buckets(cell: str) -> str:
     )
 
 
+def _brand_documents() -> str:
+    """Types, then models, then brands as JSON text, each in first-seen order."""
+    return f"""
+, eng as (select * from fit qualify row_number() over (partition by Name, VM, TypeName, Engines order by seq) = 1)
+, typ as (select Name, VM, TypeName, min(seq) as seen,
+    '"' || TypeName || '":{{' || string_agg('"' || Engines || '":"' || HorsePowers || '"', ',' order by seq) || '}}' as txt
+  from eng group by Name, VM, TypeName)
+, mod as (select Name, VM, min(seen) as seen, '"' || VM || '":{{"start_date":"' || any_value(start_date) || '","end_date":"'
+    || any_value(end_date) || '",' || string_agg(txt, ',' order by seen) || '}}' as txt
+  from typ join ({ENVELOPE.format(source="(select *, seq as ord_ from fit)")}) env using (Name, VM) group by Name, VM)
+, whole as (select Name, '{{"' || Name || '":{{' || string_agg(txt, ',' order by seen) || '}}}}' as json from mod group by Name)
+"""
+
+
 SPLIT = REPORT + f"""
 , split as (select row_no, page, level, "МОДЕЛЬ", "КОД ДВИГАТЕЛЯ", "Мощность Л.С",
     {", ".join(KINDS[:-1])}, {_buckets("STANDARD")} from rep)
@@ -318,6 +332,12 @@ select
 from (select * from fit qualify row_number() over (
   partition by Name, VM, TypeName, Engines order by seq) = 1)
 group by Name, VM, TypeName""",
+    "brand_documents": FIT + _brand_documents() + "select Name, 0 as list_page, 0 as type_page, 0 as page, json from whole",
+    "brand_lines": FIT + _brand_documents() + "select json from whole",
+    "cabin_report": REPORT + f"""
+select row_no, page, level, "МОДЕЛЬ", "КОД ДВИГАТЕЛЯ", "Мощность Л.С", {", ".join(KINDS[:-1])},
+  {_buckets("STANDARD", {"CAC": '"Салонный фильтр CAC"', "CAB": '"Салонный фильтр CAB"', "CA": '"Салонный фильтр CA"'})}
+from rep""",
     "vehicle_report": REPORT + "select * from rep",
     "report_split": SPLIT + "select * from split",
     "sorted_pivot": PIVOT + f"""
@@ -439,6 +459,9 @@ select c_custkey, c_name || ' ";" ' as c_name, c_nationkey, c_acctbal, c_mktsegm
     "parquet_round_trip": "select * from supplier",
     # The file stands in the order of its key.
     "file_order": "select o_orderkey, row_number() over (order by o_orderkey) - 1 as row_no from orders",
+    "article_files_parts": "select o_orderkey as \"ART_ID\", o_orderpriority || '.png' as \"FILE_NAME\","
+    " cast(o_custkey % 5 as int) as \"FILE_ORDER\" from orders",
+    "quoted_records": """select doc_id, '"' || replace(text, ' ', chr(10) || '";' || chr(10)) as text, lang, source from documents""",
     "article_files": "select o_orderkey as \"ART_ID\", o_orderpriority || '.jpg' as \"FILE_NAME\","
     " cast(o_custkey % 7 as int) as \"FILE_ORDER\" from orders",
 }

@@ -23,6 +23,7 @@ from fitweave.operators import dedupe, lists, report, rows, spread
 from fitweave.plans import jobs
 from fitweave.shared import new_path, pinned
 from fitweave.sources import readers, writers
+from fitweave.vocabulary import CABIN_SOURCE
 from suite.views import LINE_ORDER, article_number, criteria, fit, quantity_lists, table
 
 FIT_COLUMNS = [
@@ -241,7 +242,7 @@ def attach_criteria(spark: SparkSession, sf: str) -> DataFrame:
             "TypeName": F.nullif("TypeName", F.lit("5-LOW")),
         }
     )
-    notes = pinned(jobs.criteria_notes(given, LINE_ORDER), "notes")
+    notes = jobs.criteria_notes(given, LINE_ORDER)
     lines = fit(spark, sf).select(
         F.nullif("TypeName", F.lit("5-LOW")).alias("label"),
         "VM",
@@ -252,7 +253,7 @@ def attach_criteria(spark: SparkSession, sf: str) -> DataFrame:
         *LINE_ORDER,
     )
     return jobs.attach_criteria(
-        pinned(lines, "lines"),
+        lines,
         notes,
         LINE_ORDER,
         LINE_ORDER,
@@ -393,6 +394,48 @@ def document_lines(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("json"))
 
 
+def article_files_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Three files of one table, one of them without a row."""
+    orders = table(spark, sf, "orders")
+    paths = []
+    for rows_of in (F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") < 0, F.col("o_orderkey") % 2 == 1):
+        given = orders.filter(rows_of).select(
+            F.col("o_orderkey").alias("ART_ID"),
+            F.concat("o_orderpriority", F.lit(".png")).alias("FILE_NAME"),
+            (F.col("o_custkey") % 5).cast("int").alias("FILE_ORDER"),
+        )
+        paths.append(new_path(spark, "article-files"))
+        writers.write_delimited(given, paths[-1])
+    return readers.read_delimited(spark, paths, readers.ARTICLE_FILES)
+
+
+def quoted_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with line ends, written with quotes and read in splits."""
+    documents = table(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit('"'), F.replace("text", F.lit(" "), F.lit('\n";\n'))).alias("text"), "lang", "source"
+    )
+    path = new_path(spark, "documents")
+    writers.write_delimited(documents, path)
+    return readers.read_quoted(spark, path, documents.schema, null_texts=[""])
+
+
+def brand_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return report.brand_documents(fit(spark, sf), LINE_ORDER)
+
+
+def brand_lines(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "brands")
+    writers.write_json_lines(report.brand_documents(fit(spark, sf), LINE_ORDER), path)
+    return spark.read.text(path).select(F.col("value").alias("json"))
+
+
+def cabin_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The report with its cabin category under the short name, then split by prefix."""
+    kind = F.when(F.col("GenericArticle") == "STANDARD", CABIN_SOURCE).otherwise(F.col("GenericArticle"))
+    found = jobs.vehicle_report(fit(spark, sf).withColumn("GenericArticle", kind), LINE_ORDER)
+    return jobs.prefix_split(found)
+
+
 def file_order(spark: SparkSession, sf: str) -> DataFrame:
     scan = readers.with_file_order(readers.read_table(spark, f"{sf}/orders.parquet"))
     numbered = rows.number_rows(scan.select("o_orderkey", *readers.FILE_ORDER), readers.FILE_ORDER)
@@ -418,6 +461,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         strip_text, literal_replace, criteria_text, repeated_members, repeated_articles,
         first_rows, barcode_lists,
         paged_lists, sort_links, unquoted_lines, clean_vehicles, distinct_values,
-        csv_round_trip, parquet_round_trip, file_order, article_files,
+        csv_round_trip, parquet_round_trip, file_order, article_files, article_files_parts,
+        quoted_records, brand_documents, brand_lines, cabin_report,
     ]
 }

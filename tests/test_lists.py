@@ -3,9 +3,10 @@ import random
 from pyspark.sql import functions as F
 
 from fitweave.functions.cells import list_text
-from fitweave.operators.lists import ordered_lists
+from fitweave.operators.lists import ordered_lists, with_positions
 from fitweave.operators.pivot import pivot_text
 from fitweave.plans.jobs import barcode_lists
+from fitweave.shared import recorded_plans
 
 
 def test_hot_group_goes_on_in_pages(spark):
@@ -59,3 +60,27 @@ def test_barcodes_of_each_article(spark):
 def test_list_text(spark):
     df = spark.range(1).select(list_text(F.array(F.lit(1), F.lit(2))).alias("t"))
     assert df.first().t == "[1, 2]"
+
+
+def test_positions_of_short_and_long_groups(spark):
+    rng = random.Random(2)
+    data = [(i, None if i % 50 == 0 else "hot" if i % 3 == 0 else f"k{rng.randrange(30)}", i % 2) for i in range(700)]
+    shuffled = list(data)
+    rng.shuffle(shuffled)
+    df = spark.createDataFrame(shuffled, "at int, k string, j int").repartition(4)
+    seen, want = {}, set()
+    for at, k, j in data:
+        want.add((at, k, j, seen.get((k, j), 0)))
+        seen[k, j] = seen.get((k, j), 0) + 1
+    for most in (1, 20, 100_000):
+        found = with_positions(df, ["k", "j"], ["at"], "position", most)
+        assert {tuple(r) for r in found.collect()} == want
+
+
+def test_only_long_groups_are_range_sorted(spark):
+    df = spark.createDataFrame([(i, i % 7, "hot" if i < 30 else f"k{i % 9}") for i in range(60)], "at int, v int, k string")
+    for page_rows, ranged in ((1000, False), (20, True)):
+        with recorded_plans() as plans:
+            found = ordered_lists(df, ["k"], {"v": F.col("v")}, ["at"], page_rows=page_rows)
+        plans = [*plans, found._jdf.queryExecution().executedPlan().toString()]
+        assert any("rangepartitioning" in p for p in plans) == ranged

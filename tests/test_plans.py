@@ -52,3 +52,28 @@ def test_cells_join_before_brand_and_model_rows(spark):
 def test_attached_notes_take_few_exchanges(spark):
     plans = plans_of(spark, "attach_criteria")
     assert sum(p.count("Exchange") for p in plans) <= 24
+
+
+def exchanges(plans, word):
+    return sum(len(re.findall(rf"Exchange {word}", p)) for p in plans)
+
+
+def test_report_takes_one_range_sort(spark):
+    assert exchanges(plans_of(spark, "vehicle_report"), "rangepartitioning") <= 1
+
+
+def test_pivot_takes_no_range_sort(spark):
+    assert exchanges(plans_of(spark, "category_pivot"), "rangepartitioning") == 0
+
+
+def test_spread_takes_three_exchanges(spark):
+    report = exchanges(plans_of(spark, "report_split"), "hashpartitioning")
+    plans = plans_of(spark, "report_spread")
+    # Members by value, leading members by row, counts by key; the table of rows of several pages.
+    result = plans[-1]
+    assert len(set(re.findall(r"Exchange hashpartitioning[^\n]*", result))) >= 3
+    assert exchanges(plans[-1:], "hashpartitioning") <= 8 and report
+
+
+def test_masks_take_no_sort_aggregate(spark):
+    assert not any("SortAggregate" in p for p in plans_of(spark, "show_once"))

@@ -235,3 +235,63 @@ def test_a_missing_category_stops_with_a_message(spark):
     data = [(0, "A", "m", "t", "e", "1", "200301", None, "N1")]
     with pytest.raises(Exception, match="a category is missing"):
         jobs.category_pivot(spark.createDataFrame(data, SCHEMA), ["at"]).collect()
+
+
+def brand_tree(data):
+    """The nested document in first-seen order, periods first."""
+    tree, years = {}, {}
+    for _, brand, model, kind, engine, power, year, *_ in data:
+        tree.setdefault(brand, {}).setdefault(model, {}).setdefault(kind, {}).setdefault(engine, power)
+        years.setdefault((brand, model), []).append(year)
+    return {
+        brand: {model: dict(zip(("start_date", "end_date"), folded(years[brand, model]))) | node for model, node in models.items()}
+        for brand, models in tree.items()
+    }
+
+
+def test_a_line_per_brand(spark):
+    rng = random.Random(18)
+    data = vehicles(rng, 120, ["m1", 'm"2"', "модель", "a\\b"])
+    lines = report.brand_documents(spark.createDataFrame(data, SCHEMA).repartition(4), ["at"]).collect()
+    want = brand_tree(data)
+    assert len(lines) == len(want) and {(r.list_page, r.type_page, r.page) for r in lines} == {(0, 0, 0)}
+    for r in lines:
+        # Equal as text: every level is in first-seen order.
+        assert r.json == json.dumps({r.Name: want[r.Name]}, ensure_ascii=False, separators=(",", ":"))
+
+
+def test_lines_of_long_brands_merge(spark):
+    rng = random.Random(19)
+    data = vehicles(rng, 300, [f"m{i}" for i in range(7)])
+    got = {}
+    df = spark.createDataFrame(data, SCHEMA)
+
+    def no_name_twice(pairs):
+        assert len({k for k, _ in pairs}) == len(pairs)
+        return dict(pairs)
+
+    lines = report.brand_documents(df, ["at"], page_rows=2, line_models=3).collect()
+    assert len(lines) > 4
+    for r in lines:
+        document = json.loads(r.json, object_pairs_hook=no_name_twice)
+        assert len(document[r.Name]) <= 3
+        for model, node in document[r.Name].items():
+            place = got.setdefault(r.Name, {}).setdefault(model, {})
+            for name, value in node.items():
+                if isinstance(value, dict):
+                    assert len(value) <= 2
+                    place.setdefault(name, {}).update(value)
+                else:
+                    place[name] = value
+    assert got == brand_tree(data)
+
+
+def test_positions_of_long_models(spark):
+    """Models of more types than a page are range-sorted; positions stay dense."""
+    data = []
+    for i in range(60):
+        data.append((i, "A", "long" if i < 40 else f"m{i % 3}", f"t{i}", "e", "1", "200301", "Oil", "N"))
+    found = report.vehicle_rows(spark.createDataFrame(data, SCHEMA).repartition(4), ["at"], page_rows=5)
+    rows = sorted(found.collect(), key=lambda r: r.place)
+    assert [r.place for r in rows] == list(range(len(rows)))
+    assert [(r.label, r.engine_codes, r.horse_powers, r.level) for r in rows] == literal_report(data, True)

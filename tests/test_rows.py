@@ -84,3 +84,22 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "at int, v string")
     assert rows.number_rows(df, ["at"]).count() == 0
     assert rows.shift_rows(df, ["v"], ["at"]).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 300])
+def test_running_totals(spark, n):
+    rng = random.Random(n)
+    weights = [rng.randrange(4) for _ in range(n)]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(weights)], "row_no long, w int").repartition(5)
+    found = rows.running_totals(df, F.col("w"), "before").collect()
+    assert sorted(map(tuple, found)) == [(i, w, sum(weights[:i])) for i, w in enumerate(weights)]
+
+
+def test_order_keys(spark):
+    df = spark.createDataFrame([(3, "b", 1), (1, "a", 2), (2, "a", 1)], "at int, s string, k int")
+    same, name = rows.with_order_key(df, ["at"], "no")
+    assert same is df and name == "at"
+    numbered, name = rows.with_order_key(df, ["s", "k"], "no")
+    assert name == "no" and sorted((r.no, r.at) for r in numbered.collect()) == [(0, 2), (1, 1), (2, 3)]
+    shared, name = rows.with_order_key(df, ["s"], "no", several=True)
+    assert sorted((r.no, r.at) for r in shared.collect()) == [(0, 1), (0, 2), (1, 3)]
