@@ -22,12 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fitweave.llm.apart import set_apart
 from fitweave.llm.components import components
 from fitweave.llm.words import SPACED, distinct, mixed, shingles, sliced_words
+from fitweave.operators.rows import number_rows
 from fitweave.shared import pinned
 
 BINS = 128
@@ -361,15 +363,45 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     )
 
 
+def _told_apart(named: DataFrame) -> DataFrame:
+    """``named`` with ``_node``: the doc_id, or an id of its own for a further text under one doc_id.
+
+    Texts are told by two 64-bit hashes.  The least pair keeps the doc_id; the
+    others get ids beyond all doc_ids, in the order of doc_id and hashes.
+    """
+    hashes = {"_a": F.xxhash64("text"), "_b": F.xxhash64(F.lit("second"), "text")}
+    narrow = named.select("doc_id", *[v.alias(k) for k, v in hashes.items()])
+    spread = [f(c).alias(f"{f.__name__}{c}") for c in hashes for f in (F.min, F.max)]
+    several = narrow.groupBy("doc_id").agg(*spread).filter("min_a < max_a or min_b < max_b").select("doc_id")
+    several = pinned(several, "ids-of-several-texts")
+    if several.isEmpty():
+        return named.withColumn("_node", F.col("doc_id"))
+    texts = narrow.join(several, "doc_id", "left_semi").distinct()
+    first = Window.partitionBy("doc_id").orderBy("_a", "_b")
+    further = texts.withColumn("_place", F.row_number().over(first)).filter("_place > 1").drop("_place")
+    further = number_rows(further, ["doc_id", "_a", "_b"], "_no")
+    low, high = named.agg(F.min("doc_id"), F.max("doc_id")).first()
+    # On whichever side there is room.
+    count = further.count()
+    own = F.lit(high + 1) + F.col("_no") if high < (1 << 63) - 1 - count else F.lit(low - count) + F.col("_no")
+    further = further.select("doc_id", "_a", "_b", own.cast("long").alias("_own"))
+    joined = named.withColumns(hashes).join(further, ["doc_id", "_a", "_b"], "left")
+    return joined.withColumn("_node", F.coalesce("_own", "doc_id")).drop("_own", "_a", "_b")
+
+
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, with the input's columns.
 
-    Of rows that share a doc_id one stays.  Rows without a doc_id stay.
+    Rows that share a doc_id and differ in text are documents of their own; all
+    but the least text by hash count as later than every other id.  Of rows that
+    share both, the first by the other columns stays.  Rows without a doc_id stay.
     """
     plain, back = set_apart(docs, "doc_id", "text")
-    named = plain.filter("doc_id is not null")
-    found = near_duplicates(named, size, percent)
-    kept = found.filter("kept").select("doc_id").distinct()
-    # The join deals the rows by doc_id, so keeping one of each takes no further shuffle.
-    one = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return back(one.unionByName(plain.filter("doc_id is null")))
+    named = _told_apart(plain.filter("doc_id is not null"))
+    found = near_duplicates(named.select(F.col("_node").alias("doc_id"), "text"), size, percent)
+    kept = found.filter("kept").select(F.col("doc_id").alias("_node")).distinct()
+    # The join deals the rows by id, so keeping one of each takes no further shuffle.
+    others = [c for c in plain.columns if c not in ("doc_id", "text") and not isinstance(plain.schema[c].dataType, (T.MapType, T.VariantType))]
+    first = Window.partitionBy("_node").orderBy("doc_id", *others)
+    one = named.join(kept, "_node", "left_semi").withColumn("_place", F.row_number().over(first)).filter("_place = 1")
+    return back(one.drop("_node", "_place").unionByName(plain.filter("doc_id is null")))

@@ -2,18 +2,21 @@
 
 One model is learned from texts labelled toxic, one from ordinary ones.  A
 bigram backs off to its class's words and these to one continuation
-distribution of both classes.  An expression whose documents do not differ from
-the classes' shares by ``SURE`` deviations has no counts of a class: both
-models give it the shared backoff, and it tells them apart by nothing.  A
+distribution of both classes.  Counts of a class are mixed with what both
+classes share, by the posterior odds that the n-gram's documents differ from the
+classes' shares: a rare expression weighs little, one that keeps to a class
+weighs more with every document, and none is cut off.  The prior odds are those
+of the best likelihood on texts of the half that was not learned from.  A
 document's evidence is the difference of the two log-likelihoods divided by its
 number of words; a curve fitted on evidence from outside each half of the
 training rows turns it into a probability.
 
 Only the classifier sees a sample: at most ``sample_rows`` labelled documents
-of each class, by a hash of their ids, of which one stands for all that share a
-least shingle hash, so that copies do not count as evidence.  N-grams found in fewer than
-``MIN_DOCS`` of them are one unknown word.  The model is therefore bounded, and
-every document is scored whole in one narrow pass.
+of each class, by a hash of their ids, of which one stands for its near copies
+of the same class, so that copies do not count as evidence.  An n-gram of one
+sampled document is as likely under both classes, so it is left to backoff.
+The model is bounded by the sample, and every document is scored whole in one
+narrow pass.
 """
 
 from __future__ import annotations
@@ -31,17 +34,20 @@ from fitweave.llm.words import PLAIN, fetched, mixed, shingles, sliced_words
 from fitweave.shared import pinned
 
 SAMPLE_ROWS = 3000
-MIN_DOCS = 3
-SURE = 3.5
+MIN_DOCS = 2
 THRESHOLD = 0.7
+#: Prior odds that an n-gram tells the classes apart, to choose from.
+ODDS = tuple(10.0**-k for k in range(1, 11))
+#: Least hashes of a text's shingles, and how many of them near copies share.
+LEAST, SHARED = 32, 8
 
 _PAIR = np.uint64(0xA24BAED4963EE407)
 
 
 class Model(NamedTuple):
-    """Log ratios toxic to ordinary of n-grams with counts of a class; hashes are sorted.
+    """Log ratios toxic to ordinary of n-grams, a column for each prior odds; hashes are sorted.
 
-    All other words and pairs have the same probability in both models.
+    All other words have the same probability in both models, other pairs that of their last word.
     """
 
     word: np.ndarray
@@ -87,39 +93,61 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> tup
     chosen = [known.filter(F.col("toxic") == c).orderBy(place, "doc_id").limit(sample_rows) for c in (0, 1)]
     ids = chosen[0].union(chosen[1]).withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int"))
     texts = docs.select("doc_id", "text").filter("text is not null")
-    sample = pinned(texts.join(F.broadcast(ids), "doc_id"), "toxicity-sample")
-    keyed = _least_hashes(sample.select("doc_id", "toxic", "half", "text"))
-    fields = ["doc_id", "toxic", "half", *_LEAST, "text"]
-    for key in _LEAST:
-        keyed = keyed.groupBy(key).agg(F.min(F.struct(*fields)).alias("row")).select("row.*")
+    # Equal rows have one key.
+    keyed = texts.join(F.broadcast(ids), "doc_id").withColumn("key", F.xxhash64("doc_id", "text"))
+    sample = pinned(keyed.dropDuplicates(["key"]), "toxicity-sample")
+    # Two numbers and the least hashes of each sampled row.
+    found = fetched(_least_hashes(sample.select("key", "toxic", "text")))
+    kept = stand_ins(found["key"], found["toxic"], np.stack(found["least"]) if len(found["key"]) else np.zeros((0, LEAST)))
+    keys = docs.sparkSession.createDataFrame([(int(k),) for k in kept], "key long")
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    return pinned(keyed.select("toxic", "half", "text"), "toxicity-texts"), share
-
-
-_LEAST = ("least_a", "least_b", "least_c")
+    return pinned(sample.join(F.broadcast(keys), "key", "left_semi").select("toxic", "half", "text"), "toxicity-texts"), share
 
 
 def _least_hashes(sample: DataFrame, size: int = 5) -> DataFrame:
-    """Adds the least of all shingles' hashes by three hash functions; of a text without words, 0."""
+    """``key``, ``toxic`` and the least of all shingles' hashes by ``LEAST`` hash functions; 0 for a text without words."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, words in sliced_words(batch.column(3), PLAIN):
+            for i, j, words in sliced_words(batch.column(2), PLAIN):
                 row, _, value = shingles(words, size)
                 order = np.argsort(row, kind="stable")
                 row, value = row[order], value[order]
                 first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else row
-                found = np.zeros((len(_LEAST), j - i), np.uint64)
-                for k in range(len(_LEAST)):
+                found = np.zeros((j - i, LEAST), np.uint64)
+                for k in range(LEAST):
                     if len(row):
-                        found[k, row[first]] = np.minimum.reduceat(mixed(value + np.uint64(k)), first)
+                        found[row[first], k] = np.minimum.reduceat(mixed(value + np.uint64(k * 7919)), first)
+                least = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * LEAST), pa.array(found.view(np.int64).ravel()))
                 part = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *[pa.array(x.view(np.int64)) for x in found]], [*part.schema.names, *_LEAST]
-                )
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), least], ["key", "toxic", "least"])
 
-    kinds = "doc_id long, toxic int, half int, text string, " + ", ".join(f"{c} long" for c in _LEAST)
-    return sample.select(F.col("doc_id").cast("long"), "toxic", "half", F.col("text").cast("string")).mapInArrow(scan, kinds)
+    given = sample.select("key", "toxic", F.col("text").cast("string").alias("text"))
+    return given.mapInArrow(scan, "key long, toxic int, least array<long>")
+
+
+def stand_ins(key: np.ndarray, toxic: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Keys of one row for each group of near copies of a class.
+
+    Rows are near copies that share ``SHARED`` least hashes with the first row
+    of those that share one, and so on.
+    """
+    order = np.argsort(key)
+    key, toxic, least = key[order], toxic[order], least[order]
+    group = np.arange(len(key))
+    for k in range(least.shape[1]):
+        place = np.lexsort((np.arange(len(key)), least[:, k], toxic))
+        new = np.ones(len(key), bool)
+        new[1:] = (least[place[1:], k] != least[place[:-1], k]) | (toxic[place[1:]] != toxic[place[:-1]])
+        head = place[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+        near = (least[head] == least[place]).sum(1) >= SHARED
+        for a, b in zip(head[near].tolist(), place[near].tolist()):
+            while group[a] != a:
+                a = group[a]
+            while group[b] != b:
+                b = group[b]
+            group[max(a, b)] = min(a, b)
+    return key[group == np.arange(len(key))]
 
 
 _CELLS = ("n00", "n01", "n10", "n11")  # class, half
@@ -230,29 +258,42 @@ def gram_counts(sample: DataFrame, min_docs: int = MIN_DOCS) -> Counts:
     )
 
 
-def _sure(docs: np.ndarray, texts: np.ndarray) -> np.ndarray:
-    """Whether the documents of an n-gram differ from the classes' shares."""
-    share = texts[1] / max(texts.sum(), 1)
-    total = docs.sum(1)
-    away = docs[:, 1] - total * share
-    return np.abs(away) >= SURE * np.sqrt(total * share * (1 - share) + 0.5)
+def _rising(start: float, count: np.ndarray) -> np.ndarray:
+    """Logarithm of start * (start + 1) * ... with ``count`` factors."""
+    most = int(count.max()) if len(count) else 0
+    return np.concatenate([[0.0], np.cumsum(np.log(start + np.arange(most)))])[count.astype(int)]
+
 
+def _differing(docs: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Log Bayes factor of each n-gram: its documents have a class share of their own, against that of all documents.
 
-def fitted(counts: Counts, halves: tuple[int, ...]) -> Model:
-    """The models of both classes from the given halves, as log ratios."""
+    The own share is beta-distributed around the common one, so an n-gram of one
+    document speaks for neither.
+    """
+    share = min(max(texts[1] / max(texts.sum(), 1), 1e-3), 1 - 1e-3)
+    toxic, other = docs[:, 1], docs[:, 0]
+    own = _rising(share, toxic) + _rising(1 - share, other) - _rising(1.0, toxic + other)
+    return own - toxic * np.log(share) - other * np.log(1 - share)
+
+
+def _posterior(factor: np.ndarray, odds: tuple[float, ...]) -> np.ndarray:
+    """Probability that an n-gram tells the classes apart, a column for each prior odds."""
+    z = factor[:, None] + np.log(np.array(odds))
+    return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+
+
+def fitted(counts: Counts, halves: tuple[int, ...], odds: tuple[float, ...]) -> Model:
+    """The models of both classes from the given halves, as log ratios for each of the prior odds."""
     own = list(halves)
     word, pair = counts.word_cells[:, :, own].sum(2), counts.pair_cells[:, :, own].sum(2)
     totals = np.maximum(counts.totals[:, own].sum(1), 1)
     texts = counts.texts[:, own].sum(1)
-    sure_word = _sure(counts.word_docs[:, :, own].sum(2), texts)
-    sure_pair = _sure(counts.pair_docs[:, :, own].sum(2), texts)
     d1, d2 = counts.discounts
     # One continuation distribution, with room for an unknown word.
     shared = (counts.continuations + 0.5) / (counts.contexts + 0.5 * (len(counts.word) + 1))
     # All words that are not kept are one word, with the discounts of the others as its backoff.
     taken = np.minimum(word, d1)
     p_word = (word - taken) / totals + taken.sum(0) / totals * shared[:, None]
-    word_ratio = np.where(sure_word, np.log(p_word[:, 1]) - np.log(p_word[:, 0]), 0.0) if len(word) else np.zeros(0)
     before, after = np.searchsorted(counts.word, counts.previous), np.searchsorted(counts.word, counts.last)
     taken = np.minimum(pair, d2)
     used = np.zeros_like(word)
@@ -260,8 +301,15 @@ def fitted(counts: Counts, halves: tuple[int, ...]) -> Model:
     # What a context leaves to backoff is shared by both classes.
     left = 1 - used.sum(1) / np.maximum(word.sum(1), 1)
     p_pair = (pair - taken) / np.maximum(word, 1)[before] + np.clip(left, 1e-6, 1)[before][:, None] * p_word[after]
-    pair_ratio = np.log(p_pair[:, 1]) - np.log(p_pair[:, 0])
-    return Model(counts.word[sure_word], word_ratio[sure_word], counts.pair[sure_pair], pair_ratio[sure_pair])
+
+    sure = _posterior(_differing(counts.word_docs[:, :, own].sum(2), texts), odds)
+    # Beside its class's counts a word has the mean of both classes.
+    common = (1 - sure) * p_word.mean(1)[:, None]
+    word_ratio = np.log(common + sure * p_word[:, 1:]) - np.log(common + sure * p_word[:, :1])
+    sure = _posterior(_differing(counts.pair_docs[:, :, own].sum(2), texts), odds)
+    # A pair has that of its last word.
+    pair_ratio = np.log((1 - sure) * np.exp(word_ratio[after]) + sure * (p_pair[:, 1:] / p_pair[:, :1]))
+    return Model(counts.word, word_ratio.astype(np.float32), counts.pair, pair_ratio.astype(np.float32))
 
 
 def _at(known: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -273,60 +321,68 @@ def _at(known: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 def evidence(column: pa.Array, model: Model) -> np.ndarray:
-    """Length-normalised log ratio of each text; not a number without words."""
+    """Length-normalised log ratio of each text for each prior odds; not a number without words."""
+    width = model.word_ratio.shape[1]
     found = []
     for _, _, words in sliced_words(column, PLAIN):
-        ratio = np.zeros(len(words.hash))
+        ratio = np.zeros((len(words.hash), width))
         at = _at(model.word, words.hash)
         ratio[at >= 0] = model.word_ratio[at[at >= 0]]
         if len(ratio) > 1 and len(model.pair):
             pair = _at(model.pair, pair_hashes(words.hash))
             seen = (pair >= 0) & (words.row[1:] == words.row[:-1])
             ratio[1:][seen] = model.pair_ratio[pair[seen]]
-        total = np.concatenate([[0.0], np.cumsum(ratio)])
-        count = words.count()
+        total = np.concatenate([np.zeros((1, width)), np.cumsum(ratio, axis=0)])
+        count = words.count()[:, None]
         sums = total[words.first[1:]] - total[words.first[:-1]]
         found.append(np.where(count > 0, sums / np.maximum(count, 1), np.nan))
-    return np.concatenate([np.zeros(0), *found])
+    return np.concatenate([np.zeros((0, width)), *found])
 
 
-def curve(x: np.ndarray, toxic: np.ndarray, share: float) -> Curve:
+def curve(x: np.ndarray, toxic: np.ndarray, share: float, fine: bool = True) -> tuple[float, Curve]:
     """The best of a grid of curves by likelihood, with classes weighted to their share."""
     ok = ~np.isnan(x)
     x, toxic = x[ok], toxic[ok] == 1
     if not toxic.any() or toxic.all():
-        return Curve(share, 0.0, 0.0)
+        return 0.0, Curve(share, 0.0, 0.0)
     weight = np.where(toxic, share / toxic.mean(), (1 - share) / (1 - toxic.mean()))
     spread = max(float(np.subtract(*np.quantile(x, [0.9, 0.1]))), 1e-6)
     best, found = -np.inf, Curve(share, 0.0, 0.0)
-    for middle in np.unique(np.quantile(x, np.linspace(0.02, 0.98, 49))):
-        for slope in np.geomspace(1, 300, 24) / spread:
+    lows = (0.0, 0.2, 0.4, 0.6, 0.8) if fine else (0.0, 0.4)
+    for middle in np.unique(np.quantile(x, np.linspace(0.02, 0.98, 49 if fine else 25))):
+        for slope in np.geomspace(1, 300, 24 if fine else 8) / spread:
             rise = 1 / (1 + np.exp(-np.clip(slope * (x - middle), -40, 40)))
-            for low in (0.0, 0.2 * share, 0.4 * share, 0.6 * share, 0.8 * share):
-                p = np.clip(low + (1 - low) * rise, 1e-6, 1 - 1e-6)
+            for low in lows:
+                p = np.clip(low * share + (1 - low * share) * rise, 1e-6, 1 - 1e-6)
                 fit = float((weight * np.log(np.where(toxic, p, 1 - p))).sum())
                 if fit > best:
-                    best, found = fit, Curve(float(low), float(slope), float(middle))
-    return found
+                    best, found = fit, Curve(float(low * share), float(slope), float(middle))
+    return best, found
 
 
 def trained(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Model, Curve, float]:
     """Model, curve and score of a text without words."""
     sample, share = training_sample(docs, labels, sample_rows)
     counts = gram_counts(sample)
-    halves = sample.sparkSession.sparkContext.broadcast((fitted(counts, (1,)), fitted(counts, (0,))))
+    halves = sample.sparkSession.sparkContext.broadcast((fitted(counts, (1,), ODDS), fitted(counts, (0,), ODDS)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            half = batch.column(1).to_numpy()
+            half = batch.column(1).to_numpy()[:, None]
             both = [evidence(batch.column(2), m) for m in halves.value]
             x = np.where(half == 0, both[0], both[1])
-            yield pa.RecordBatch.from_arrays([pa.array(x), batch.column(0)], ["x", "toxic"])
+            x = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([x, batch.column(0)], ["x", "toxic"])
 
-    # One pair of numbers for each of at most 2 * sample_rows documents.
-    outside = fetched(sample.select("toxic", "half", "text").mapInArrow(scan, "x double, toxic int"))
-    found = curve(outside["x"].astype(float), outside["toxic"], share)
-    return fitted(counts, (0, 1)), found, share
+    # A few numbers for each of at most 2 * sample_rows documents.
+    outside = fetched(sample.select("toxic", "half", "text").mapInArrow(scan, "x array<double>, toxic int"))
+    if not len(outside["toxic"]):
+        return fitted(counts, (0, 1), ODDS[:1]), Curve(share, 0.0, 0.0), share
+    x = np.stack(outside["x"]).astype(float)
+    fits = [curve(x[:, k], outside["toxic"], share, fine=False)[0] for k in range(len(ODDS))]
+    chosen = int(np.argmax(fits))
+    _, found = curve(x[:, chosen], outside["toxic"], share)
+    return fitted(counts, (0, 1), (ODDS[chosen],)), found, share
 
 
 def scored(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = THRESHOLD) -> DataFrame:
@@ -344,7 +400,7 @@ def scored(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, t
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, found, share = shared.value
         for batch in batches:
-            x = evidence(batch.column(text_at), model)
+            x = evidence(batch.column(text_at), model)[:, 0]
             p = np.where(np.isnan(x), share, found(np.nan_to_num(x)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], [*batch.schema.names, "score"])
 

@@ -71,27 +71,98 @@ def test_toxicity_edges(make):
     assert toxicity.scored(make([], DOCS), make([], LABELS)).collect() == []
 
 
-def test_ratios_equal_plain_arithmetic():
-    """Class probabilities of words, computed once more from counts."""
-    rng = np.random.default_rng(0)
-    n = 50
-    cells = rng.integers(0, 40, (n, 2, 2)).astype(float)
-    docs = np.minimum(cells, 20)
-    totals, texts = cells.sum(0) + 30, np.full((2, 2), 60.0)
-    empty = np.zeros(0, np.uint64)
-    counts = toxicity.Counts(np.arange(n, dtype=np.uint64), cells, docs, rng.integers(1, 30, n).astype(float), empty, empty,
-                             empty, np.zeros((0, 2, 2)), np.zeros((0, 2, 2)), totals, texts, 900.0, (0.7, 0.7))
-    model = toxicity.fitted(counts, (0, 1))
-    word, total = cells.sum(2), totals.sum(1)
-    at = {int(h): k for k, h in enumerate(model.word)}
-    for w in range(n):
-        d = docs[w].sum(1)
-        sure = abs(d[1] - d.sum() / 2) >= toxicity.SURE * math.sqrt(d.sum() / 4 + 0.5)
-        assert (w in at) == sure
-        if sure:
-            q = (counts.continuations[w] + 0.5) / (900 + 0.5 * (n + 1))
-            p = [(max(word[w, c] - 0.7, 0) + sum(min(x, 0.7) for x in word[:, c]) * q) / total[c] for c in (0, 1)]
-            assert model.word_ratio[at[w]] == pytest.approx(math.log(p[1] / p[0]))
+def test_rare_expressions_are_found(make):
+    """Each toxic text has four of 200 expressions, of which none is frequent."""
+    rng = random.Random(11)
+    rare = [f"slur{k}" for k in range(200)]
+    docs = []
+    for i in range(3000):
+        words = [rng.choice(FILL["x"]) + str(rng.randrange(300)) for _ in range(rng.randint(40, 120))]
+        if i % 2:
+            for x in rng.sample(rare, 4):
+                words.insert(rng.randrange(len(words)), x)
+        docs.append((i, " ".join(words)))
+    labels = [(i, 1, i % 2) for i in range(1200)]
+    found = toxicity.scored(make(docs, DOCS), make(labels, LABELS)).filter("held_out").collect()
+    bad, fine = ([r["predicted"] for r in found if r["doc_id"] % 2 == k] for k in (1, 0))
+    assert np.mean(bad) >= 0.9 and np.mean(fine) < 0.01
+
+
+def toxic_words(text):
+    return re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+
+
+def plain_models(sample, halves, odds):
+    """Log ratios of words and pairs by the arithmetic of the docstring, from texts with class and half."""
+    own = [(c, toxic_words(t)) for t, c, h in sample if h in halves]
+    every = [toxic_words(t) for t, _, _ in sample]
+    grams = lambda w, n: [tuple(w[k : k + n]) for k in range(len(w) - n + 1)]
+    docs = {n: Counter(g for w in every for g in set(grams(w, n))) for n in (1, 2)}
+    total = {n: Counter(g for w in every for g in grams(w, n)) for n in (1, 2)}
+    once = {n: (sum(v == 1 for v in c.values()), sum(v == 2 for v in c.values())) for n, c in total.items()}
+    discount = {n: a / (a + 2 * b) if a else 0.5 for n, (a, b) in once.items()}
+    kept = {n: [g for g in docs[n] if docs[n][g] >= 2] for n in (1, 2)}
+    count = {n: [Counter(g for k, w in own if k == c for g in grams(w, n)) for c in (0, 1)] for n in (1, 2)}
+    held = {n: [Counter(g for k, w in own if k == c for g in set(grams(w, n))) for c in (0, 1)] for n in (1, 2)}
+    size = [max(1, sum(count[1][c].values())) for c in (0, 1)]
+    texts = [sum(k == c for k, _ in own) for c in (0, 1)]
+    contexts, heads = len(total[2]), Counter(g[1] for g in total[2])
+    q = {g: (heads[g[0]] + 0.5) / (contexts + 0.5 * (len(kept[1]) + 1)) for g in kept[1]}
+    room = [sum(min(count[1][c][g], discount[1]) for g in kept[1]) / size[c] for c in (0, 1)]
+    word = {g: [max(count[1][c][g] - discount[1], 0) / size[c] + room[c] * q[g] for c in (0, 1)] for g in kept[1]}
+    s = min(max(texts[1] / max(sum(texts), 1), 1e-3), 1 - 1e-3)
+
+    def sure(n, g):
+        o, t = held[n][0][g], held[n][1][g]
+        beta = math.lgamma(s + t) - math.lgamma(s) + math.lgamma(1 - s + o) - math.lgamma(1 - s) - math.lgamma(1 + o + t)
+        return 1 / (1 + math.exp(-min(50, max(-50, beta - t * math.log(s) - o * math.log(1 - s) + math.log(odds)))))
+
+    ratio = {1: {}, 2: {}}
+    for g, p in word.items():
+        y = sure(1, g)
+        mean = (1 - y) * sum(p) / 2
+        ratio[1][g] = math.log(mean + y * p[1]) - math.log(mean + y * p[0])
+    for g in kept[2]:
+        before, after = g[:1], g[1:]
+        seen = sum(count[1][c][before] for c in (0, 1))
+        used = sum(max(count[2][c][x] - discount[2], 0) for c in (0, 1) for x in kept[2] if x[:1] == before)
+        left = min(1, max(1e-6, 1 - used / max(seen, 1)))
+        p = [max(count[2][c][g] - discount[2], 0) / max(count[1][c][before], 1) + left * word[after][c] for c in (0, 1)]
+        y = sure(2, g)
+        ratio[2][g] = math.log((1 - y) * math.exp(ratio[1][after]) + y * p[1] / p[0])
+    return ratio
+
+
+@pytest.mark.parametrize("halves", [(0,), (0, 1)])
+def test_evidence_equals_plain_arithmetic(make, halves):
+    """From texts to evidence, pairs included, at several prior odds."""
+    rng = random.Random(3)
+    sample = []
+    for i in range(60):
+        w = rng.choices("a b c dd Ee ff, gg hh. ii é".split() + (["bad", "bad stuff"] if i % 3 == 0 else ["fine"]), k=rng.randint(0, 14))
+        sample.append((" ".join(w), int(i % 3 == 0), i % 2))
+    odds = (0.5, 1e-2, 1e-6)
+    counts = toxicity.gram_counts(make([(c, h, t) for t, c, h in sample], "toxic int, half int, text string"))
+    model = toxicity.fitted(counts, halves, odds)
+    texts = [t for t, _, _ in sample] + ["", "unseen words bad stuff", "bad bad fine"]
+    found = toxicity.evidence(pa.array(texts), model)
+    for k, o in enumerate(odds):
+        ratio = plain_models(sample, halves, o)
+        for t, x in zip(texts, found[:, k]):
+            w = toxic_words(t)
+            own = [ratio[2].get((a, b), ratio[1].get((b,), 0.0)) if a else ratio[1].get((b,), 0.0) for a, b in zip([None, *w], w)]
+            assert np.isnan(x) if not w else x == pytest.approx(sum(own) / len(own), rel=1e-4, abs=1e-6)
+
+
+def test_near_copies_of_a_class_have_one_stand_in():
+    rng = np.random.default_rng(2)
+    least = rng.integers(0, 1 << 60, (8, toxicity.LEAST))
+    least[1, : toxicity.SHARED] = least[0, : toxicity.SHARED]  # near
+    least[2, : toxicity.SHARED - 1] = least[0, : toxicity.SHARED - 1]  # not near enough
+    least[3] = least[0]  # of the other class
+    least[5] = least[4]
+    toxic = np.array([0, 0, 0, 1, 1, 1, 0, 1])
+    assert toxicity.stand_ins(np.arange(8), toxic, least).tolist() == [0, 2, 3, 4, 6, 7]
 
 
 def language_corpus(n=300):

@@ -173,3 +173,15 @@ def test_components_of_paths_stars_and_loops(make):
     want = {i: 100 for i in range(100, 161)} | {i: 1 for i in [*range(1, 31), 200]} | {70: 70, 71: 70, 72: 70}
     assert found == want
     assert components(make([], "a long, b long")).collect() == []
+
+
+def test_texts_that_share_an_id_stay_apart(make):
+    """Two texts of one id are two documents; equal rows are one."""
+    alpha, one = "alpha beta gamma delta epsilon zeta", "one two three four five six"
+    rows = [(1, alpha, "b"), (1, one, "c"), (1, one, "c"), (1, one, "a"), (5, one, "d"), (7, alpha, "e"), (9, "", "f"), (9, None, "g")]
+    for top in (None, (2**63 - 1, "quite another text of six words", "h")):
+        docs = make(rows + ([top] if top else []), "doc_id long, text string, key string")
+        kept = [tuple(r) for r in near_dedup.deduplicated(docs, size=4).collect()]
+        assert ((1, alpha, "b") in kept) and sum(r[1] == one for r in kept) == 1 and sum(r[1] == alpha for r in kept) == 1
+        assert {r[0] for r in kept} >= {1, 9} and sum(not r[1] for r in kept) == 2
+        assert (top in kept) == bool(top)
