@@ -28,13 +28,12 @@ def keep_none(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Rows whose key occurs once; all copies of a repeated key go."""
     keys = list(keys or df.columns)
     rest = others(df, keys)
-    found = [F.count(F.lit(1)).alias("_copies")]
-    if rest:
-        found.append(F.first(entry(rest)).alias("_row"))
-    single = df.groupBy(*cols(keys)).agg(*found).filter("_copies = 1")
-    return single.select(
-        *[F.col("_row").getField(c).alias(c) if c in rest else col(c) for c in df.columns]
-    )
+    # The one row of a kept key is its first; columns by themselves keep the hash
+    # aggregate where all of them are numbers or dates.
+    found = [F.first(col(c)).alias(f"_c{i}") for i, c in enumerate(rest)]
+    single = df.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("_copies"), *found).filter("_copies = 1")
+    place = {c: f"_c{i}" for i, c in enumerate(rest)}
+    return single.select(*[F.col(place[c]).alias(c) if c in place else col(c) for c in df.columns])
 
 
 def mark_repeats(
