@@ -210,10 +210,85 @@ def test_character_models_are_distributions():
     kinds, count = np.unique(np.stack([lang, gram], 1), axis=0, return_counts=True)
     levels = language_id._levels(kinds[:, 0], kinds[:, 1], count, 2, base)
     for context in rng.integers(0, base**3, 200).tolist() + (gram[:50] // base).tolist():
-        total = language_id.probabilities(levels, context * base + np.arange(base), base, 2).sum(0)
+        total = language_id.probabilities(levels, context * base + np.arange(base), base, 0, 2).sum(0)
         assert np.allclose(total, 1)
 
 
+def plain_entropy(texts, text):
+    """Cross-entropy of a text by language, from dictionaries of counts; texts are (language, text)."""
+    runs = lambda t: [" "] * 3 + list(re.sub(r"[^a-zäöüéñ]+", " ", t.lower()).lstrip(" "))
+    letters = sorted({x for _, t in texts for x in runs(t)} - {" "})
+    langs, base, result = sorted({k for k, _ in texts}), len(letters) + 2, []
+    for own in langs:
+        counts = [Counter() for _ in range(5)]
+        for k, t in texts:
+            if k == own:
+                w = runs(t)
+                counts[4].update(tuple(w[i - 3 : i + 1]) for i in range(3, len(w)))
+        for order in (3, 2, 1):
+            counts[order] = Counter(g[1:] for g in counts[order + 1])
+        d = {}
+        for order in range(1, 5):
+            a, b = (sum(v == n for v in counts[order].values()) for n in (1, 2))
+            d[order] = min(0.9, max(0.1, a / (a + 2 * b) if a else 0.5))
+
+        def p(gram):
+            if not gram:
+                return 1 / base
+            c, order = counts[len(gram)], len(gram)
+            after = [v for g, v in c.items() if g[:-1] == gram[:-1]]
+            if not after:
+                return p(gram[1:])
+            return max(c[gram] - d[order], 0) / sum(after) + d[order] * len(after) / sum(after) * p(gram[1:])
+
+        w = runs(text)
+        logs = [math.log(p(tuple(w[i - 3 : i + 1]))) for i in range(3, len(w))]
+        result.append(-sum(logs) / len(logs) if logs else math.nan)
+    return result
+
+
+def test_entropies_equal_plain_arithmetic(make):
+    texts = [("aa", "ea ou er en, le re ea!"), ("aa", "le le en ou"), ("bb", "sch ung heit 7 zu ver ö"), ("bb", "Ung heit"), ("cc", "ñ que lla")]
+    learn = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2][: len(texts)]
+    docs = make([(i, t, k) for i, (k, t) in zip(learn, texts)], "doc_id long, text string, lang string")
+    model = language_id.trained(docs)
+    assert model.langs == ["aa", "bb", "cc"]
+    asked = [t for _, t in texts] + ["ea que sch", "lla  -- ver heit", "ö", "ea" * 50, "12"]
+    for t, found in zip(asked, language_id.entropies(pa.array(asked), model)):
+        assert found.tolist() == pytest.approx(plain_entropy(texts, t), nan_ok=True)
+
+
+def test_a_language_of_one_document_is_learned(make):
+    rows = [r[:3] for r in language_corpus(120)]
+    own = [i for i in range(2000, 2400) if zlib.crc32(str(i).encode()) % 4 != 2][:40]
+    rng = random.Random(5)
+    parts = {i: ["".join(rng.choices("bcdfghjklmnpqrstvwxz", k=3)) for _ in range(6)] for i in own}
+    rows += [(i, " ".join(rng.choices(parts[i], k=30)), f"one{i}") for i in own]
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.identified(make(rows, "doc_id long, text string, lang string")).collect()}
+    assert [found[i] for i in own] == [f"one{i}" for i in own]
+
+
+def test_six_hundred_languages(make):
+    rng = random.Random(8)
+    parts = {k: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(8)] for k in range(600)}
+    rows = [(i, " ".join(rng.choices(parts[i % 600], k=12)), f"l{i % 600}") for i in range(2400)]
+    found = language_id.identified(make(rows, "doc_id long, text string, lang string")).collect()
+    held = [r["lang_pred"] == f"l{r['doc_id'] % 600}" for r in found if r["held_out"]]
+    assert len(held) > 400 and np.mean(held) > 0.95
+    assert {r["lang_pred"] for r in found} >= {f"l{k}" for k in range(513, 600)}
+
+
+def test_documents_without_text_and_one_language(make):
+    schema = "doc_id long, text string, lang string"
+    rows = [(i, None if i % 2 else "", "aa") for i in range(20)]
+    assert {r["lang_pred"] for r in language_id.identified(make(rows, schema)).collect()} == {"und"}
+    rows = [(i, "ea ou er", "aa") for i in range(20)]
+    assert {(r["lang_pred"], r["score"]) for r in language_id.identified(make(rows, schema)).collect()} == {("aa", 1.0)}
+    labels = [(i, 1, i % 2) for i in range(20)]
+    none = toxicity.scored(make([(i, None if i % 3 else "") for i in range(20)], DOCS), make(labels, LABELS)).collect()
+    assert len({r["score"] for r in none}) == 1
+
+
 def tokens(text):
     return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
