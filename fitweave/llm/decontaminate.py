@@ -2,10 +2,11 @@
 
 Every benchmark item is cut into windows of ``size`` words (an item of fewer
 words is one window).  The windows go to the executors as a sorted array of
-hashes, in blocks of at most ``block_windows``: memory per task is bounded by
-the block, and a benchmark of any size is worked off block after block in one
-narrow pass over the documents, without a shuffle.  Hits of the hash array are
-verified on the words themselves.
+hashes, in blocks of about ``block_windows``.  A benchmark of one block takes one
+narrow pass over the documents, without a shuffle; of more, a pass for each
+block, between which the documents are written and the block is given up, so
+memory is bounded by the block.  Hits of the hash array are verified on the words
+themselves.
 """
 
 from __future__ import annotations
@@ -15,12 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fitweave.llm.apart import set_apart
 from fitweave.llm.words import PLAIN, Words, fetched, sliced_words, windows
+from fitweave.shared import pinned
 
 WINDOW = 10
 BLOCK_WINDOWS = 1 << 19
@@ -59,22 +62,18 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
 _GRAM_ARROW = pa.schema([("hash", pa.int64()), ("words", pa.int32()), ("gram", pa.string()), ("item", pa.string())])
 
 
-def _blocks(grams: DataFrame, block_windows: int) -> Iterator[dict]:
-    """The windows in blocks of at most ``block_windows`` rows, as arrays."""
-    count = grams.count()
-    parts = max(1, -(-count // block_windows))
-    for part in range(parts):
-        # A block holds about block_windows rows: a hash deals them out evenly.
-        own = grams if parts == 1 else grams.filter(F.pmod(F.xxhash64("hash", "gram"), F.lit(parts)) == part)
-        table = fetched(own)
-        value = table["hash"].view(np.uint64)
-        order = np.lexsort((value, table["words"]))
-        yield {
-            "hash": value[order],
-            "words": table["words"][order].astype(np.int64),
-            "gram": table["gram"][order].tolist(),
-            "item": table["item"][order].tolist(),
-        }
+def _block(grams: DataFrame, part: int, parts: int) -> dict:
+    """The windows of one of several blocks, as arrays; a hash deals them out evenly."""
+    own = grams if parts == 1 else grams.filter(F.pmod(F.xxhash64("hash", "gram"), F.lit(parts)) == part)
+    table = fetched(own)
+    value = table["hash"].view(np.uint64)
+    order = np.lexsort((value, table["words"]))
+    return {
+        "hash": value[order],
+        "words": table["words"][order].astype(np.int64),
+        "gram": table["gram"][order].tolist(),
+        "item": table["item"][order].tolist(),
+    }
 
 
 def _found(words: Words, block: dict) -> list[list[dict]]:
@@ -102,8 +101,7 @@ def _found(words: Words, block: dict) -> list[list[dict]]:
     return hits
 
 
-def _pass(docs: DataFrame, spark: SparkSession, block: dict, first: bool) -> DataFrame:
-    shared = spark.sparkContext.broadcast(block)
+def _pass(docs: DataFrame, shared: Broadcast, first: bool) -> DataFrame:
     schema = docs.schema if not first else T.StructType([*docs.schema, *T.StructType.fromDDL(f"_hits {HITS}, n_words long")])
     text_at = docs.columns.index("text")
     old = None if first else docs.columns.index("_hits")
@@ -137,13 +135,23 @@ def benchmark_hits(
     A hit has the place of its first word, its number of words and the item's
     id as text.  A null text has no words; without a benchmark there are no
     hits.  Columns ``_hits`` and ``n_words`` of the input are replaced.
+
+    One block of about ``block_windows`` windows is held at a time, on the driver
+    and in each task: where more blocks follow, the documents are written with
+    their hits so far and the block is given up before the next one is fetched.
     """
     spark = docs.sparkSession
     found = docs.drop("_hits", "n_words", "hits")
-    first = True
-    for block in _blocks(benchmark_windows(benchmark, size), block_windows):
-        found = _pass(found, spark, block, first)
-        first = False
+    grams = benchmark_windows(benchmark, size)
+    parts = max(1, -(-grams.count() // block_windows))
+    if parts > 1:
+        grams = pinned(grams, "windows")
+    for part in range(parts):
+        shared = spark.sparkContext.broadcast(_block(grams, part, parts))
+        found = _pass(found, shared, part == 0)
+        if part < parts - 1:
+            found = pinned(found, "hits")
+            shared.destroy()
     return found.withColumnRenamed("_hits", "hits")
 
 

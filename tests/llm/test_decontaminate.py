@@ -78,3 +78,27 @@ def test_empty_tables_and_long_text(make):
         make([(1, text)], "doc_id long, text string"), make([(5, " ".join(f"w{i}" for i in range(199_980, 200_000)))], "item_id long, text string")
     ).collect()
     assert [(r["n_words"], r["n_hit"], r["n_items"]) for r in found] == [(200_000, 20, 1)]
+
+
+@pytest.mark.parametrize("blocks", [1, 20])
+def test_one_block_is_held_at_a_time(make, monkeypatch, blocks):
+    """Each further block starts from written documents, when the one before is given up."""
+    items = make([(i, f"w{i} a b c d e f g h i{i} j{i}") for i in range(40)], "item_id long, text string")
+    windows = decontaminate.benchmark_windows(items, 4).count()
+    given_up, written = [], []
+    real_destroy, real_pinned = decontaminate.Broadcast.destroy, decontaminate.pinned
+    monkeypatch.setattr(decontaminate.Broadcast, "destroy", lambda self, *a: (given_up.append(self), real_destroy(self, *a)))
+    monkeypatch.setattr(decontaminate, "pinned", lambda df, label: (written.append(label), real_pinned(df, label))[1])
+    docs = make([(k, f"x w{k} a b c d e y") for k in range(40)], "doc_id long, text string")
+    found = decontaminate.contamination(docs, items, size=4, block_windows=-(-windows // blocks))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # One pass over the documents and the digest, however many blocks there are.
+    assert plan.count("MapInArrow") == 2
+    assert len(given_up) == blocks - 1 and written == (["windows"] + ["hits"] * (blocks - 1) if blocks > 1 else [])
+    assert [r["n_hit"] for r in found.collect()] == [6] * 40
+
+
+def test_clashing_columns(make):
+    docs = make([(1, "a b c d", 7, "x", True)], "doc_id long, text string, n_hit int, n_words string, contaminated boolean")
+    (row,) = decontaminate.contamination(docs, make([(1, "b c")], "item_id long, text string"), size=2).collect()
+    assert (row["n_hit"], row["n_words"], row["contaminated"]) == (2, 4, True)
