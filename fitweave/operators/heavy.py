@@ -20,8 +20,8 @@ def within(table: DataFrame, most: int) -> DataFrame:
     return F.broadcast(table) if table.limit(most + 1).count() <= most else table
 
 
-def _same(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right)])
+def _same(left: Sequence[Column], right: Sequence[Column], nulls_match: bool = True) -> Column:
+    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) if nulls_match else x == y for x, y in zip(left, right)])
 
 
 def heavy_keys(table: DataFrame, keys: Sequence[str]) -> DataFrame | None:
@@ -36,8 +36,11 @@ def heavy_keys(table: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     return table.sparkSession.createDataFrame(found, counts.select(*cols(keys)).schema) if found else None
 
 
-def join_heavy(left: DataFrame, right: DataFrame, keys: Mapping[str, str]) -> DataFrame:
-    """Left equi-join on ``{left column: right column}``, null equal to null; all columns but the right keys.
+def join_heavy(left: DataFrame, right: DataFrame, keys: Mapping[str, str], nulls_match: bool = True) -> DataFrame:
+    """Left equi-join on ``{left column: right column}``; all columns but the right keys.
+
+    Null equals null; where no key is null, ``nulls_match=False`` spares the
+    exchange of a side that is dealt by its keys already.
 
     ``left`` is a written table: its rows are counted per key first.  Rows of the
     few heavy keys do not move: the right rows of these keys are broadcast, or,
@@ -49,7 +52,7 @@ def join_heavy(left: DataFrame, right: DataFrame, keys: Mapping[str, str]) -> Da
     rest = [c for c in right.columns if c not in theirs]
     right = right.select(*[col(c).alias(n) for c, n in zip(theirs, named)], *cols(rest))
     kept = [*cols(left.columns), *cols(rest)]
-    on = _same(cols(mine), cols(named))
+    on = _same(cols(mine), cols(named), nulls_match)
     found = heavy_keys(left, mine)
     if found is None:
         return left.join(right, on, "left").select(*kept)
@@ -57,9 +60,11 @@ def join_heavy(left: DataFrame, right: DataFrame, keys: Mapping[str, str]) -> Da
     marks = [f"_h{i}" for i, _ in enumerate(mine)]
     # At most twice as many rows as there are shuffle partitions.
     heavy = F.broadcast(found.toDF(*marks))
-    few, light = left.join(heavy, _same(cols(mine), cols(marks)), "left_semi"), left.join(heavy, _same(cols(mine), cols(marks)), "left_anti")
-    others = right.join(heavy, _same(cols(named), cols(marks)), "left_anti")
-    met = pinned(right.join(heavy, _same(cols(named), cols(marks)), "left_semi"), "heavy")
+    marked = _same(cols(mine), cols(marks), nulls_match)
+    few, light = left.join(heavy, marked, "left_semi"), left.join(heavy, marked, "left_anti")
+    marked = _same(cols(named), cols(marks), nulls_match)
+    others = right.join(heavy, marked, "left_anti")
+    met = pinned(right.join(heavy, marked, "left_semi"), "heavy")
     plain = light.join(others, on, "left").select(*kept)
     if met.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return few.join(F.broadcast(met), on, "left").select(*kept).unionByName(plain)

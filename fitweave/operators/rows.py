@@ -46,19 +46,25 @@ def number_as_is(df: DataFrame, name: str = "row_no") -> DataFrame:
     )
 
 
+def order_ids(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
+    """Add a long that grows in the order of ``order_by`` and differs for every row; the table is written."""
+    return pinned(df.orderBy(*ascending(order_by)).withColumn(name, F.monotonically_increasing_id()), "ordered")
+
+
 def with_order_key(
     df: DataFrame, order_by: Sequence[str], name: str, several: bool = False
 ) -> tuple[DataFrame, str]:
     """``df`` and the name of a column of whole numbers that orders its rows as ``order_by`` does.
 
-    One column of whole numbers is taken as it is; otherwise rows are numbered
-    under ``name``.  With ``several``, rows that share ``order_by`` get one number.
+    One column of whole numbers is taken as it is; otherwise rows are sorted once
+    and get ids under ``name``.  With ``several``, rows that share ``order_by`` get
+    one id.
     """
     if len(order_by) == 1 and isinstance(df.schema[order_by[0]].dataType, T.IntegralType):
         return df, order_by[0]
     if not several:
-        return number_rows(df, order_by, name), name
-    firsts = number_rows(df.select(*cols(order_by)).distinct(), order_by, name)
+        return order_ids(df, order_by, name), name
+    firsts = order_ids(df.select(*cols(order_by)).distinct(), order_by, name)
     return df.join(firsts, list(order_by)), name
 
 

@@ -23,7 +23,7 @@ from fitweave.operators.dedupe import (
 from fitweave.operators.lists import PAGE_ROWS, ordered_lists, repeated_members
 from fitweave.operators.pivot import pivot_text
 from fitweave.operators.report import vehicle_rows
-from fitweave.operators.rows import number_rows
+from fitweave.operators.rows import order_ids
 from fitweave.operators.spread import attach_notes, spread_lists
 from fitweave.shared import pinned
 from fitweave.vocabulary import (
@@ -258,8 +258,8 @@ def finished_catalogue(
     notes = criteria_notes(criteria, notes_order)
     spread = spread_report(report, keys, lists, cells, padded, line_order=True)
     line = {f"_{c}": F.col("line").getField(c) for c in ("at", "turn", "place")}
-    numbered = number_rows(spread.withColumns(line).drop("line"), list(line)).drop(*line)
-    return attach_criteria(numbered, notes, [ROW], notes_order, keys=keys, cells=cells)
+    ordered = order_ids(spread.withColumns(line).drop("line"), list(line), ROW).drop(*line)
+    return attach_criteria(ordered, notes, [ROW], notes_order, keys=keys, cells=cells)
 
 
 def sort_links(links: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:

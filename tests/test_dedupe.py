@@ -71,3 +71,26 @@ def test_rows_that_share_an_order_key_stop_the_marks(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "at int, k string")
     with pytest.raises(Exception, match="do not identify a row"):
         dedupe.mark_repeats(df, ["k"], ["at"]).collect()
+
+
+def test_keys_that_only_share_their_hashes_stay(spark, rows_of):
+    """Nulls leave a hash as it is: these keys are told apart on the whole rows."""
+    rows = [("a", None, 1), (None, "a", 2), ("b", "c", 3), ("b", "c", 4), ("d", None, 5)]
+    df = spark.createDataFrame(rows, "k string, j string, v int").repartition(3)
+    same = df.select(F.xxhash64(F.lit(0), "k", "j").alias("h")).distinct().count()
+    assert same == 3
+    assert rows_of(dedupe.keep_none(df, ["k", "j"])) == [(None, "a", 2), ("a", None, 1), ("d", None, 5)]
+
+
+def test_rows_whose_hash_is_alone_do_not_move(spark):
+    wide = spark.range(2000).select("id", (F.col("id") % 1990).alias("k"), F.repeat(F.lit("x"), 50).alias("text"))
+    plan = dedupe.keep_none(wide, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "LeftAnti" in plan and "LeftSemi" in plan
+    plan = dedupe.keep_none(wide, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    for most in (dedupe.MOST_REPEATED, 0):
+        dedupe.MOST_REPEATED, before = most, dedupe.MOST_REPEATED
+        try:
+            assert dedupe.keep_none(wide, ["k"]).count() == 1980
+        finally:
+            dedupe.MOST_REPEATED = before

@@ -100,6 +100,8 @@ def test_order_keys(spark):
     same, name = rows.with_order_key(df, ["at"], "no")
     assert same is df and name == "at"
     numbered, name = rows.with_order_key(df, ["s", "k"], "no")
-    assert name == "no" and sorted((r.no, r.at) for r in numbered.collect()) == [(0, 2), (1, 1), (2, 3)]
+    assert name == "no" and [r.at for r in numbered.orderBy("no").collect()] == [2, 1, 3]
+    assert numbered.select("no").distinct().count() == 3
     shared, name = rows.with_order_key(df, ["s"], "no", several=True)
-    assert sorted((r.no, r.at) for r in shared.collect()) == [(0, 1), (0, 2), (1, 3)]
+    found = {r.at: r.no for r in shared.collect()}
+    assert found[1] == found[2] < found[3]
