@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fitweave.llm.near_dedup import BLOCK, _blocks
-from fitweave.llm.words import SPACED, mixed, shingles, sliced_words
+from fitweave.llm.words import SPACED, mixed, shingles, sliced_words, windows
 from fitweave.shared import pinned
 
 SHINGLE = 5
@@ -375,6 +375,65 @@ def _fewest(own: np.ndarray, least: int) -> int:
     return min(len(np.unique(own[k : k + least])) for k in range(max(1, len(own) - least + 1)))
 
 
+def _common(hashes: np.ndarray, wanted: np.ndarray, least: int, percent: int) -> np.ndarray:
+    """Whether a wanted member (row) and a member share as many distinct shingles as a passage needs.
+
+    A passage of either member has at least ``_fewest`` of them, so ``percent`` of
+    the union is a share of both numbers.  All counts of a block are one matrix
+    product over the shingles that several members have.
+    """
+    member, place = np.nonzero(hashes)
+    values, value = np.unique(hashes[member, place], return_inverse=True)
+    pairs = np.unique(member * len(values) + value)
+    member, value = pairs // max(len(values), 1), pairs % max(len(values), 1)
+    often = np.bincount(value, minlength=len(values)) > 1
+    asked = np.zeros(len(values), bool)
+    asked[value[np.isin(member, wanted)]] = True
+    often &= asked
+    column = np.cumsum(often) - 1
+    member, value = member[often[value]], column[value[often[value]]]
+    shared = np.zeros((len(wanted), len(hashes)), np.float32)
+    order = np.argsort(value, kind="stable")
+    member, value = member[order], value[order]
+    for low in range(0, int(often.sum()), 4096):
+        first, last = np.searchsorted(value, [low, low + 4096])
+        has = np.zeros((len(hashes), 4096), np.float32)
+        has[member[first:last], value[first:last] - low] = 1
+        shared += has[wanted] @ has.T
+    fewest = np.array([_fewest(x[x > 0], least) for x in hashes], np.float32)
+    return (100 + percent) * shared >= percent * (fewest[wanted, None] + fewest[None, :])
+
+
+def _equal_run(ids: np.ndarray, hashes: np.ndarray, least: int) -> np.ndarray:
+    """Members that share ``least`` shingles in a row, at one place, with a member of another text."""
+    found = np.zeros(len(ids), bool)
+    full = hashes > 0
+    for start in range(least):
+        whole = np.flatnonzero(full[:, start : start + least].all(1))
+        if len(whole) < 2:
+            continue
+        key = windows(hashes[whole, start : start + least].ravel(), least)[::least]
+        order = np.lexsort((ids[whole], key))
+        key, own = key[order], ids[whole][order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(first, len(key)))
+        # Sorted by text, a group of several has different ones at its ends.
+        several = own[first] != own[first + size - 1]
+        found[whole[order][np.repeat(several, size)]] = True
+    return found
+
+
+def _longest_run(match: np.ndarray) -> np.ndarray:
+    """Length of each row's longest run of matches, which may run across gaps as in ``_runs``."""
+    rows, width = match.shape
+    place = np.arange(width)
+    last = np.maximum.accumulate(np.where(match, place, -1), axis=1)
+    before = np.concatenate([np.full((rows, 1), -1), last[:, :-1]], axis=1)
+    opens = match & ((before < 0) | (place - before > GAP))
+    start = np.maximum.accumulate(np.where(opens, place, -1), axis=1)
+    return np.where(match, place - start + 1, 0).max(axis=1, initial=0)
+
+
 def block_pairs(
     ids: np.ndarray, free: np.ndarray, mine: np.ndarray | None, hashes: np.ndarray, least: int, percent: int
 ) -> list[tuple[int, int]]:
@@ -385,11 +444,12 @@ def block_pairs(
     """
     free, found = free.copy(), []
     middle = least - 1
-    for i in np.flatnonzero(free):
-        ok = ids != ids[i]
-        if mine is not None:
-            ok &= mine != mine[i]
-        at = np.flatnonzero(ok)
+
+    def allowed(i: int) -> np.ndarray:
+        return (ids != ids[i]) if mine is None else (ids != ids[i]) & (mine != mine[i])
+
+    for i in np.flatnonzero(free & _equal_run(ids, hashes, least)):
+        at = np.flatnonzero(allowed(i))
         if not free[i] or not len(at):
             continue
         same = (hashes[at] == hashes[i]) & (hashes[i] > 0)
@@ -399,9 +459,17 @@ def block_pairs(
             equal = at[(run >= least) & free[at]]
             found += [(i, j) for j in {int(at[run.argmax()]), *equal.tolist()}]
             free[equal] = free[i] = False
+    # Members without a partner that shares enough cost nothing more than that product.
+    opened = np.flatnonzero(free)
+    for i, row in zip(opened, _common(hashes, opened, least, percent)):
+        at = np.flatnonzero(row & allowed(i))
+        if not free[i] or not len(at):
             continue
         own = hashes[i][hashes[i] > 0]
-        shared = np.isin(hashes[at], own).sum(1)
+        common = np.isin(hashes[at], own)
+        # A passage needs a run of matches of its length in the other text.
+        long = _longest_run(common) >= least
+        at, shared = at[long], common[long].sum(1)
         for k in np.argsort(-shared, kind="stable"):
             if 100 * shared[k] < percent * _fewest(own, least):
                 break

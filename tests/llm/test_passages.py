@@ -179,3 +179,42 @@ def test_a_passage_in_very_long_texts(make):
     rows = [(i, " ".join(prose(rng, 30_000) + passage + prose(rng, 30_000))) for i in range(2)]
     found = passages.repeated_passages(make(rows, "doc_id long, text string")).collect()
     assert {(r["doc_id"], r["first_word"] <= 30_000, r["end_word"] >= 30_070) for r in found} == {(0, True, True), (1, True, True)}
+
+
+@pytest.mark.parametrize("across", [False, True])
+def test_every_open_member_of_a_block_gets_a_partner_if_it_has_one(across):
+    """Blocks with exact, changed, near-miss and repetitive neighbourhoods, against all pairs."""
+    import numpy as np
+
+    rng = np.random.default_rng(17)
+    least, percent = 12, 80
+    for trial in range(40):
+        n = int(rng.integers(2, 40))
+        hashes = rng.integers(1, 1 << 62, (n, 2 * least - 1), dtype=np.uint64)
+        for _ in range(int(rng.integers(0, 5))):
+            line = rng.integers(1, 1 << 62, int(rng.integers(6, 2 * least)), dtype=np.uint64)
+            if rng.random() < 0.3:
+                line[:] = line[: 1 + len(line) // 3].repeat(4)[: len(line)]
+            for i in rng.choice(n, int(rng.integers(1, n + 1)), replace=False):
+                at = int(rng.integers(0, 2 * least - len(line)))
+                own = line.copy()
+                if rng.random() < 0.5:
+                    own[rng.integers(0, len(own))] = rng.integers(1, 1 << 62)
+                hashes[i, at : at + len(line)] = own
+        hashes[:, least - 1] = 7
+        hashes[0, : int(rng.integers(0, least - 1))] = 0
+        ids, free = rng.integers(0, max(2, n - 2), n), rng.random(n) < 0.8
+        mine = rng.integers(0, 2, n) if across else None
+
+        def similar(i, j):
+            if ids[i] == ids[j] or (across and mine[i] == mine[j]):
+                return False
+            same = (hashes[i] == hashes[j]) & (hashes[i] > 0)
+            run = np.cumprod(same[least - 1 :: -1]).sum() + np.cumprod(same[least:]).sum()
+            own, other = (hashes[k][hashes[k] > 0] for k in (i, j))
+            return run >= least or bool(passages.verified(own, other, [(0, len(own) - 1)], least, percent))
+
+        found = passages.block_pairs(ids, free, mine, hashes, least, percent)
+        assert all(similar(i, j) for i, j in found)
+        met = {k for pair in found for k in pair}
+        assert {i for i in range(n) if free[i] and any(similar(i, j) for j in range(n))} <= met
