@@ -1,11 +1,14 @@
 """Delimited text with line ends inside quotes, read in splits."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from fitweave.shared import recorded_plans
+from fitweave.sources import readers
 from fitweave.sources.readers import FILE_ORDER, quoted_records, read_delimited, read_quoted
 from fitweave.sources.writers import write_delimited
 
@@ -81,3 +84,16 @@ def test_a_field_of_another_type_stops(spark, tmp_path):
         file.write("id\nx\n")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         read_quoted(spark, str(tmp_path / "a.csv"), spark.createDataFrame([], "id long").schema).select(F.sum("id")).collect()
+
+
+def test_lines_become_texts_by_blocks(spark, tmp_path):
+    """No group of single lines is longer than a block, and lines move under their split's number."""
+    path = str(tmp_path / "rows")
+    rows = [(i, "line\n" * (3 * readers.BLOCK_LINES + i), None, None) for i in range(4)]
+    write_delimited(spark.createDataFrame(rows, SCHEMA).coalesce(1), path)
+    with recorded_plans() as plans:
+        found = read_quoted(spark, path, spark.createDataFrame([], SCHEMA).schema, null_texts=[""])
+    pieces = [p for p in plans if "Window" in p and "value#" in p and "collect_list" in p]
+    assert pieces and all("block#" in p for p in pieces)
+    assert not any(re.search(r"Exchange hashpartitioning\(file#[^\n]*part#[^\n]*ENSURE", p) and "value#" in p for p in pieces)
+    assert Counter(map(tuple, found.collect())) == Counter(rows)
