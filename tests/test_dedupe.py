@@ -94,3 +94,12 @@ def test_rows_whose_hash_is_alone_do_not_move(spark):
             assert dedupe.keep_none(wide, ["k"]).count() == 1980
         finally:
             dedupe.MOST_REPEATED = before
+
+
+def test_many_repeated_hashes_move_rows_once(spark, rows_of, monkeypatch):
+    monkeypatch.setattr(dedupe, "MOST_REPEATED", 1)
+    rows = [("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5), ("c", 6)]
+    kept = dedupe.keep_none(spark.createDataFrame(rows, "k string, v int"), ["k"])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert rows_of(kept) == [("b", 3), ("c", 6)]
