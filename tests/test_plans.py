@@ -6,6 +6,7 @@ import pytest
 
 from fitweave.shared import recorded_plans
 from suite.queries import QUERIES
+from suite.views import fit
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -77,3 +78,23 @@ def test_spread_takes_three_exchanges(spark):
 
 def test_masks_take_no_sort_aggregate(spark):
     assert not any("SortAggregate" in p for p in plans_of(spark, "show_once"))
+
+
+def test_lines_move_once_after_their_joins(spark):
+    """Dealt by brand and model, rows stay where they are for the groups of later steps."""
+    plans = plans_of(spark, "repeated_articles")
+    assert sum(p.count("REPARTITION_BY_NUM") for p in plans) == 1 and "Exchange" not in plans[-1]
+    assert exchanges(plans_of(spark, "category_pivot")[-1:], "hashpartitioning") <= 2
+
+
+def test_customers_meet_orders_and_not_lines(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = fit(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Lines by part and by order; the third exchange by customer holds orders.
+    line_moves = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and ("o_custkey" in x or "c_custkey" in x)]
+    joins = [x for x in plan.splitlines() if "Join [" in x]
+    assert "l_orderkey" in joins[0] and len(line_moves) == 2
