@@ -363,9 +363,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     )
 
 
-def _told_apart(named: DataFrame) -> DataFrame:
+def _told_apart(named: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """``named`` with ``_node``: the doc_id, or an id of its own for a further text under one doc_id.
 
+    Also the ids of further texts as ``_own`` beside their ``doc_id``, None if there are none.
+
     Texts are told by two 64-bit hashes.  The least pair keeps the doc_id; the
     others get ids beyond all doc_ids, in the order of doc_id and hashes.
     """
@@ -375,7 +377,7 @@ def _told_apart(named: DataFrame) -> DataFrame:
     several = narrow.groupBy("doc_id").agg(*spread).filter("min_a < max_a or min_b < max_b").select("doc_id")
     several = pinned(several, "ids-of-several-texts")
     if several.isEmpty():
-        return named.withColumn("_node", F.col("doc_id"))
+        return named.withColumn("_node", F.col("doc_id")), None
     texts = narrow.join(several, "doc_id", "left_semi").distinct()
     first = Window.partitionBy("doc_id").orderBy("_a", "_b")
     further = texts.withColumn("_place", F.row_number().over(first)).filter("_place > 1").drop("_place")
@@ -386,20 +388,27 @@ def _told_apart(named: DataFrame) -> DataFrame:
     own = F.lit(high + 1) + F.col("_no") if high < (1 << 63) - 1 - count else F.lit(low - count) + F.col("_no")
     further = further.select("doc_id", "_a", "_b", own.cast("long").alias("_own"))
     joined = named.withColumns(hashes).join(further, ["doc_id", "_a", "_b"], "left")
-    return joined.withColumn("_node", F.coalesce("_own", "doc_id")).drop("_own", "_a", "_b")
+    told = joined.withColumn("_node", F.coalesce("_own", "doc_id")).drop("_own", "_a", "_b")
+    return told, further.select("_own", "doc_id")
 
 
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, with the input's columns.
 
-    Rows that share a doc_id and differ in text are documents of their own; all
-    but the least text by hash count as later than every other id.  Of rows that
+    Rows that share a doc_id and differ in text are documents of their own; of one
+    component's texts under its smallest id the least by hash stays.  Of rows that
     share both, the first by the other columns stays.  Rows without a doc_id stay.
     """
     plain, back = set_apart(docs, "doc_id", "text")
-    named = _told_apart(plain.filter("doc_id is not null"))
+    named, further = _told_apart(plain.filter("doc_id is not null"))
     found = near_duplicates(named.select(F.col("_node").alias("doc_id"), "text"), size, percent)
-    kept = found.filter("kept").select(F.col("doc_id").alias("_node")).distinct()
+    if further is None:
+        kept = found.filter("kept").select(F.col("doc_id").alias("_node")).distinct()
+    else:
+        # A further text's own id says nothing of its place: its doc_id does.
+        given = found.join(further.select(F.col("_own").alias("doc_id"), F.col("doc_id").alias("_given")), "doc_id", "left")
+        place = F.struct(F.coalesce("_given", "doc_id"), F.col("_given").isNotNull(), F.col("doc_id").alias("_node"))
+        kept = given.groupBy("component_id").agg(F.min(place).alias("_least")).select("_least._node")
     # The join deals the rows by id, so keeping one of each takes no further shuffle.
     others = [c for c in plain.columns if c not in ("doc_id", "text") and not isinstance(plain.schema[c].dataType, (T.MapType, T.VariantType))]
     first = Window.partitionBy("_node").orderBy("doc_id", *others)
