@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from fitweave.shared import recorded_plans
+from fitweave.shared import joins_where_dealt, recorded_plans
 from suite.queries import QUERIES
 from suite.views import fit
 
@@ -98,3 +98,24 @@ def test_customers_meet_orders_and_not_lines(spark):
     line_moves = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and ("o_custkey" in x or "c_custkey" in x)]
     joins = [x for x in plan.splitlines() if "Join [" in x]
     assert "l_orderkey" in joins[0] and len(line_moves) == 2
+
+
+@pytest.mark.parametrize("name", ["vehicle_report", "sorted_pivot", "cabin_report"])
+def test_cells_meet_vehicles_where_both_are_dealt(spark, name):
+    """After the lines are dealt by brand and model, neither cells nor vehicles move by engine."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        moves = [x for p in plans_of(spark, name) for x in p.splitlines() if "Exchange hashpartitioning" in x]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert any("Name" in x for x in moves)
+    assert not [x for x in moves if re.search(r"Engines|engine", x)]
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_joins_where_dealt_ends_with_a_failure(spark):
+    with pytest.raises(ValueError), joins_where_dealt(spark):
+        assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "false"
+        raise ValueError
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"

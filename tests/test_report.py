@@ -295,3 +295,15 @@ def test_positions_of_long_models(spark):
     rows = sorted(found.collect(), key=lambda r: r.place)
     assert [r.place for r in rows] == list(range(len(rows)))
     assert [(r.label, r.engine_codes, r.horse_powers, r.level) for r in rows] == literal_report(data, True)
+
+
+def test_pivot_is_written_whatever_its_categories_are_called(spark):
+    names = ["Oil, air; (new)=1", "a b.c", "c0"]
+    data = [("b", "m", "t", "e", "1", "2001", c, f"x{i}", i) for i, c in enumerate(names)]
+    fit = spark.createDataFrame(
+        data, "Name string, VM string, TypeName string, Engines string, HorsePowers string, Year string, "
+        "GenericArticle string, ArticleNumber string, at long",
+    )
+    found = jobs.category_pivot(fit, ["at"])
+    assert found.columns[-3:] == names
+    assert [tuple(r)[-3:] for r in found.collect()] == [("x0", "x1", "x2")]
