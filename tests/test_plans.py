@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from fitweave.operators import heavy
 from fitweave.shared import joins_where_dealt, recorded_plans
 from suite.queries import QUERIES
 from suite.views import fit
@@ -119,3 +120,24 @@ def test_joins_where_dealt_ends_with_a_failure(spark):
         assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "false"
         raise ValueError
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_spread_moves_rows_and_no_members(spark, monkeypatch):
+    """Many source rows are dealt by their keys; members and lines stay there, sums by key may move."""
+    monkeypatch.setattr(heavy, "MOST_PLAIN", 0)
+    plans = plans_of(spark, "report_spread")
+    assert plans[-1].count("Exchange") <= 1
+    (firsts,) = [p for p in plans if "min_by" in p]
+    assert "Exchange" not in firsts
+
+
+def test_short_pages_take_no_further_range_sort(spark):
+    assert exchanges(plans_of(spark, "report_spread_paged"), "rangepartitioning") <= 1
+
+
+def test_lines_with_notes_are_not_sorted(spark, monkeypatch):
+    """Models and notes are range-sorted, the lines of the catalogue are not; they move by their values and back."""
+    monkeypatch.setattr(heavy, "MOST_PLAIN", 0)
+    plans = plans_of(spark, "report_criteria")
+    assert exchanges(plans, "rangepartitioning") <= 2
+    assert plans[-1].count("Exchange") <= 1
