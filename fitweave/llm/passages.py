@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fitweave.llm.near_dedup import BLOCK, _blocks
-from fitweave.llm.words import SPACED, mixed, shingles, sliced_words, windows
+from fitweave.llm.words import SPACED, mixed, shingles, sliced_words, slices, windows
 from fitweave.shared import pinned
 
 SHINGLE = 5
@@ -306,10 +306,12 @@ def _spans(pairs: DataFrame, texts: DataFrame, least: int, percent: int) -> Data
 
 
 def _open(met: DataFrame, spans: DataFrame, least: int, enough: int) -> DataFrame:
-    """``key``, ``doc_id`` (node), ``place`` and ``open`` of the windows of each text.
+    """``key``, ``doc_id`` (node), ``place``, ``until`` and ``open`` of the windows of each text.
 
     A window is open if its least shingle lies in no passage found and one of its
-    starts, outside those passages, is in windows of ``enough`` functions.
+    starts, outside those passages, is in windows of ``enough`` functions.  Windows of
+    one key less than ``least`` apart are one row, from the first place until the
+    last: a repeated word has a window at each of its places.
     """
     windows = met.groupBy("a").agg(F.collect_set(F.struct("key", "w.first", "w.place", "w.last")).alias("windows"))
     own = merged(spans).groupBy("node").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
@@ -317,6 +319,7 @@ def _open(met: DataFrame, spans: DataFrame, least: int, enough: int) -> DataFram
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
             for node, column, found in zip(*(batch.column(k) for k in range(3))):
                 key, first, place, last = (x.to_numpy() for x in column.values.flatten())
                 begin, end = np.maximum(first, place - least + 1), np.minimum(place, last - least + 1)
@@ -334,151 +337,326 @@ def _open(met: DataFrame, spans: DataFrame, least: int, enough: int) -> DataFram
                     deep[span["first"] : max(span["last"] - least + 2, 0)] = False
                 total = np.concatenate([[0], np.cumsum(deep)])
                 free = (total[end + 1] > total[begin]) & ~held[place]
+                order = np.lexsort((place, key))
+                key, place, free = key[order], place[order], free[order]
+                apart = (key[1:] != key[:-1]) | (place[1:] - place[:-1] >= least)
+                edge = np.flatnonzero(np.concatenate([[True], apart]))
+                until = place[np.append(edge[1:], len(key)) - 1]
+                columns = (key[edge], np.full(len(edge), node.as_py()), place[edge], until, np.logical_or.reduceat(free, edge))
+                for old, x in zip(out, columns):
+                    old.append(x)
+            if out[0]:
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(np.full(len(key), node.as_py())), pa.array(place.astype(np.int32)), pa.array(free)],
-                    ["key", "doc_id", "place", "open"],
+                    [pa.array(np.concatenate(x), k) for x, k in zip(out, kinds)], ["key", "doc_id", "place", "until", "open"]
                 )
 
-    return both.mapInArrow(scan, "key long, doc_id long, place int, open boolean")
+    return both.mapInArrow(scan, "key long, doc_id long, place int, until int, open boolean")
 
 
 def _around(members: DataFrame, texts: DataFrame, least: int) -> DataFrame:
-    """Adds ``hashes``: the shingles less than ``least`` before and after a window's least one, 0 outside the text."""
-    windows = members.groupBy("doc_id").agg(F.collect_list(F.struct("key", "place", "open", "chunks")).alias("windows"))
+    """Adds ``hashes``: the shingles less than ``least`` before a row's place to as many after its last, in 32 bits each.
+
+    Equal bits only make a pair a candidate; passages are verified on whole hashes.
+    """
+    windows = members.groupBy("doc_id").agg(F.collect_list(F.struct("key", "place", "until", "open", "chunks")).alias("windows"))
     joined = texts.join(windows, texts["node"] == windows["doc_id"]).select("text", "doc_id", "windows")
-    names = ["doc_id", "key", "place", "open", "chunks", "hashes"]
+    names = ["doc_id", "key", "place", "until", "open", "chunks", "hashes"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, words in sliced_words(batch.column(0), SPACED):
                 row, _, value = shingles(words, SHINGLE)
                 edge = np.searchsorted(row, np.arange(j - i + 1))
-                for r in range(j - i):
-                    own = np.concatenate([np.zeros(least, np.uint64), value[edge[r] : edge[r + 1]], np.zeros(least, np.uint64)])
-                    fields = batch.column(2)[i + r].values.flatten()
-                    place = fields[1].to_numpy()
-                    for at in range(0, len(place), 4096):
-                        near = own[place[at : at + 4096, None] + np.arange(1, 2 * least)[None, :]]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(near), batch.column(1)[i + r].as_py())), *(x.slice(at, 4096) for x in fields),
-                             pa.array([x.tobytes() for x in near], pa.binary())],
-                            names,
-                        )
-
-    return joined.mapInArrow(scan, "doc_id long, key long, place int, open boolean, chunks int, hashes binary")
-
-
-def _fewest(own: np.ndarray, least: int) -> int:
-    """The least number of distinct shingles in a run of ``least``."""
-    if len(np.unique(own)) == len(own):
-        return least
-    return min(len(np.unique(own[k : k + least])) for k in range(max(1, len(own) - least + 1)))
-
-
-def _common(hashes: np.ndarray, wanted: np.ndarray, least: int, percent: int) -> np.ndarray:
-    """Whether a wanted member (row) and a member share as many distinct shingles as a passage needs.
-
-    A passage of either member has at least ``_fewest`` of them, so ``percent`` of
-    the union is a share of both numbers.  All counts of a block are one matrix
-    product over the shingles that several members have.
+                value = (value >> np.uint64(32)).astype(np.uint32)
+                column = batch.column(2).slice(i, j - i)
+                fields = column.flatten().flatten()
+                count = pa.compute.list_value_length(column).to_numpy()
+                place, until = (fields[k].to_numpy().astype(np.int64) for k in (1, 2))
+                base = np.repeat(edge[:-1], count)
+                low = base + np.maximum(place - least + 1, 0)
+                high = np.minimum(base + until + least, np.repeat(edge[1:], count))
+                ids = np.repeat(batch.column(1).slice(i, j - i).to_numpy(), count)
+                for at in range(0, len(ids), 8192):
+                    near = [value[a:b].tobytes() for a, b in zip(low[at : at + 8192].tolist(), high[at : at + 8192].tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[at : at + 8192]), *(x.slice(at, 8192) for x in fields), pa.array(near, pa.binary())], names
+                    )
+
+    return joined.mapInArrow(scan, "doc_id long, key long, place int, until int, open boolean, chunks int, hashes binary")
+
+
+def _weights(row: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """One by the number of times that each value is in its row."""
+    order = np.lexsort((value, row))
+    begins = np.concatenate([[True], (row[order][1:] != row[order][:-1]) | (value[order][1:] != value[order][:-1])])
+    times = np.diff(np.append(np.flatnonzero(begins), len(row)))
+    found = np.empty(len(row))
+    found[order] = np.repeat(1 / times, times)
+    return found
+
+
+def _dense(match: np.ndarray, weight: np.ndarray, size: np.ndarray, least: int, percent: int) -> np.ndarray:
+    """Whether each row has a part of ``least`` shingles or more, of which ``percent`` match.
+
+    Every passage is such a part of both texts.  A shingle that the row repeats
+    counts in whole at each match and once over all its places without one, so
+    no passage is missed.  ``size`` are the lengths of the rows, one after another.
     """
-    member, place = np.nonzero(hashes)
-    values, value = np.unique(hashes[member, place], return_inverse=True)
-    pairs = np.unique(member * len(values) + value)
-    member, value = pairs // max(len(values), 1), pairs % max(len(values), 1)
-    often = np.bincount(value, minlength=len(values)) > 1
-    asked = np.zeros(len(values), bool)
-    asked[value[np.isin(member, wanted)]] = True
-    often &= asked
-    column = np.cumsum(often) - 1
-    member, value = member[often[value]], column[value[often[value]]]
-    shared = np.zeros((len(wanted), len(hashes)), np.float32)
-    order = np.argsort(value, kind="stable")
-    member, value = member[order], value[order]
-    for low in range(0, int(often.sum()), 4096):
-        first, last = np.searchsorted(value, [low, low + 4096])
-        has = np.zeros((len(hashes), 4096), np.float32)
-        has[member[first:last], value[first:last] - low] = 1
-        shared += has[wanted] @ has.T
-    fewest = np.array([_fewest(x[x > 0], least) for x in hashes], np.float32)
-    return (100 + percent) * shared >= percent * (fewest[wanted, None] + fewest[None, :])
-
-
-def _equal_run(ids: np.ndarray, hashes: np.ndarray, least: int) -> np.ndarray:
-    """Members that share ``least`` shingles in a row, at one place, with a member of another text."""
-    found = np.zeros(len(ids), bool)
-    full = hashes > 0
-    for start in range(least):
-        whole = np.flatnonzero(full[:, start : start + least].all(1))
-        if len(whole) < 2:
+    gain = np.where(match, 100.0 - percent, -percent * weight)
+    edge = np.concatenate([[0], np.cumsum(size)])
+    total = np.concatenate([[0], np.cumsum(gain)])
+    row = np.repeat(np.arange(len(size)), size + 1)
+    total = total[np.arange(len(row)) - row]
+    # Far less from row to row, so that the least before a place is one of its own row.
+    fall = total - row * (200.0 * (size.max(initial=0) + 1))
+    low = np.minimum.accumulate(fall)
+    at = np.flatnonzero(np.arange(len(row)) - (edge[:-1] + np.arange(len(size)))[row] >= least)
+    good = at[fall[at] >= low[at - least] - 1e-3]
+    found = np.zeros(len(size), bool)
+    found[row[good]] = True
+    return found
+
+
+def _pieces(row: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the values of rows, one row after another, and the rows' lengths."""
+    size = edge[row + 1] - edge[row]
+    first = np.repeat(edge[row] - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
+    return first + np.arange(len(first)), size
+
+
+def _equal_runs(
+    group: np.ndarray, ids: np.ndarray, side: np.ndarray, flat: np.ndarray, edge: np.ndarray, least: int
+) -> np.ndarray:
+    """For each row one of its group, of another text and side, that shares ``least`` shingles in a row, or the number of rows."""
+    n = len(group)
+    partner = np.full(n, n)
+    key = windows(flat.astype(np.uint64), least)
+    row = np.repeat(np.arange(n), np.diff(edge))[: len(key)]
+    at = np.flatnonzero(np.arange(len(key)) + least <= edge[row + 1])
+    if not len(at):
+        return partner
+    row = row[at]
+    key = mixed(key[at] ^ mixed(group[row].astype(np.uint64) + np.uint64(1)))
+    order = np.argsort(key, kind="stable")
+    row, key = row[order], key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(first, len(key)))
+    some = np.repeat(size > 1, size)
+    row, first, size = row[some], first[size > 1], size[size > 1]
+    if not len(row):
+        return partner
+    run = np.repeat(np.arange(len(size)), size)
+    order = np.lexsort((ids[row], side[row], run))
+    row = row[order]
+    # The first and last texts of a run's first and last side: one of them is a partner, if there is any.
+    parts = np.flatnonzero(np.concatenate([[True], (run[1:] != run[:-1]) | (side[row][1:] != side[row][:-1])]))
+    first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    begin = np.searchsorted(parts, first)
+    end = np.append(begin[1:], len(parts))
+    ends = np.append(parts[1:], len(row)) - 1
+    for at in (first, ends[begin], parts[end - 1], first + size - 1):
+        other = np.repeat(row[at], size)
+        ok = (side[row] != side[other]) & (ids[row] != ids[other])
+        np.minimum.at(partner, row[ok], other[ok])
+    return partner
+
+
+def _shared(group: np.ndarray, side: np.ndarray, row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each group's value, and whether rows of two sides have it."""
+    key = mixed(value.astype(np.uint64) ^ mixed(group[row].astype(np.uint64) + np.uint64(1)))
+    _, code = np.unique(key, return_inverse=True)
+    low, high = np.full(code.max(initial=0) + 1, np.iinfo(np.int64).max), np.full(code.max(initial=0) + 1, np.iinfo(np.int64).min)
+    np.minimum.at(low, code, side[row])
+    np.maximum.at(high, code, side[row])
+    return code, (low < high)[code]
+
+
+def _matrix(rows: np.ndarray, edge: np.ndarray, code: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of a group as lines of one length: numbers of values, their weights, which values each has, and whether it repeats any.
+
+    Number 0 is a value that no other row has; lines are filled up with it and a
+    weight that no passage can run across.
+    """
+    at, size = _pieces(rows, edge)
+    values, number = np.unique(code[at], return_inverse=True)
+    if values[0] >= 0:
+        number = number + 1
+    inside = np.arange(size.max()) < size[:, None]
+    numbers, weights = np.zeros(inside.shape, np.int64), np.full(inside.shape, 1e6)
+    numbers[inside], weights[inside] = number, weight[at]
+    has = np.zeros((len(rows), int(number.max()) + 1), bool)
+    has[np.arange(len(rows))[:, None], numbers] = True
+    has[:, 0] = False
+    return numbers, weights, has, (weights < 1).any(1)
+
+
+def _reaches(match: np.ndarray, weight: np.ndarray, least: int, percent: float) -> np.ndarray:
+    """``_dense`` of the lines of a matrix."""
+    total = np.zeros((len(match), match.shape[1] + 1))
+    np.cumsum(np.where(match, 100.0 - percent, -percent * weight), axis=1, out=total[:, 1:])
+    if total.shape[1] <= least:
+        return np.zeros(len(match), bool)
+    low = np.minimum.accumulate(total[:, :-least], axis=1)
+    return (total[:, least:] >= low - 1e-3).any(1)
+
+
+def _may_share(
+    i: np.ndarray, j: np.ndarray, numbers: np.ndarray, weights: np.ndarray, has: np.ndarray, least: int, percent: int
+) -> np.ndarray:
+    """Whether lines i and j may have a passage in common: no pair that has one fails.
+
+    Of shares p and q of two passages that are common, 1 / p + 1 / q - 1 is the union
+    by the common part: both are at least ``percent``, and one of them at least
+    2 ``percent`` / (100 + ``percent``).
+    """
+    most = 200 * percent / (100 + percent)
+    found = np.zeros(len(i), bool)
+    step = max(1, (1 << 20) // numbers.shape[1])
+    for at in range(0, len(i), step):
+        x, y = i[at : at + step], j[at : at + step]
+        own = has[y[:, None], numbers[x]]
+        good = np.flatnonzero(_reaches(own, weights[x], least, percent))
+        if not len(good):
             continue
-        key = windows(hashes[whole, start : start + least].ravel(), least)[::least]
-        order = np.lexsort((ids[whole], key))
-        key, own = key[order], ids[whole][order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(first, len(key)))
-        # Sorted by text, a group of several has different ones at its ends.
-        several = own[first] != own[first + size - 1]
-        found[whole[order][np.repeat(several, size)]] = True
+        x, y = x[good], y[good]
+        high = _reaches(own[good], weights[x], least, most)
+        other = has[x[:, None], numbers[y]]
+        ok = _reaches(other, weights[y], least, percent)
+        rest = np.flatnonzero(ok & ~high)
+        ok[rest] = _reaches(other[rest], weights[y[rest]], least, most)
+        found[at + good[ok]] = True
     return found
 
 
-def _longest_run(match: np.ndarray) -> np.ndarray:
-    """Length of each row's longest run of matches, which may run across gaps as in ``_runs``."""
-    rows, width = match.shape
-    place = np.arange(width)
-    last = np.maximum.accumulate(np.where(match, place, -1), axis=1)
-    before = np.concatenate([np.full((rows, 1), -1), last[:, :-1]], axis=1)
-    opens = match & ((before < 0) | (place - before > GAP))
-    start = np.maximum.accumulate(np.where(opens, place, -1), axis=1)
-    return np.where(match, place - start + 1, 0).max(axis=1, initial=0)
+def _similar(own: np.ndarray, other: np.ndarray, least: int, percent: int) -> bool:
+    """Whether ``verified`` finds a passage, for two rows that repeat no value."""
+    _, here, there = np.intersect1d(own, other, assume_unique=True, return_indices=True)
+    order = np.argsort(here)
+    here, there = here[order], there[order]
+    cut = np.flatnonzero(np.diff(here) > GAP) + 1
+    todo = list(zip([0, *cut.tolist()], [*cut.tolist(), len(here)]))
+    while todo:
+        lo, hi = todo.pop()
+        if hi <= lo or here[hi - 1] - here[lo] + 1 < least:
+            continue
+        places = np.sort(there[lo:hi])
+        ends = np.flatnonzero(np.diff(places) > GAP)
+        for begin, end in zip([places[0], *places[ends + 1]], [*places[ends], places[-1]]):
+            if end - begin + 1 < least:
+                continue
+            both = np.flatnonzero((there[lo:hi] >= begin) & (there[lo:hi] <= end))
+            size = here[lo + both[-1]] - here[lo + both[0]] + 1
+            if size >= least and 100 * len(both) >= percent * (size + end - begin + 1 - len(both)):
+                return True
+        gaps = np.diff(here[lo:hi])
+        if len(gaps) and gaps.max() > 1:
+            cut = lo + int(gaps.argmax()) + 1
+            todo += [(lo, cut), (cut, hi)]
+    return False
+
+
+def group_pairs(
+    group: np.ndarray, ids: np.ndarray, side: np.ndarray, free: np.ndarray, flat: np.ndarray, edge: np.ndarray, least: int, percent: int
+) -> list[tuple[int, int]]:
+    """Pairs of rows of one group with a passage in common, until each open row has one if it has any.
+
+    Row r has the shingles ``flat[edge[r]:edge[r + 1]]``; the rows of a group follow one
+    another.  Only rows of different texts (``ids``) and sides are compared.  The steps are taken for
+    all groups at once; what is left for pairs of rows passed a test that every
+    passage passes.
+    """
+    partner = _equal_runs(group, ids, side, flat, edge, least)
+    done = np.flatnonzero(free & (partner < len(group)))
+    found = list(zip(done.tolist(), partner[done].tolist()))
+    free = free.copy()
+    free[done] = False
+    size = np.diff(edge)
+    row = np.repeat(np.arange(len(group)), size)
+    weight = _weights(row, flat)
+    alive = np.arange(len(group))
+    while len(alive):
+        at, sizes = _pieces(alive, edge)
+        code, shared = _shared(group, side, row[at], flat[at])
+        good = _dense(shared, weight[at], sizes, least, percent)
+        kept = alive[good]
+        wanted = np.zeros(int(group.max()) + 1, bool)
+        wanted[group[kept[free[kept]]]] = True
+        kept = kept[wanted[group[kept]]]
+        if len(kept) == len(alive):
+            break
+        alive = kept
+    if not len(alive):
+        return found
+    codes = np.full(len(flat), -1)
+    codes[at] = np.where(shared, code, -1)
+    for rows in np.split(alive, np.flatnonzero(np.diff(group[alive])) + 1):
+        numbers, weights, has, repeats = _matrix(rows, edge, codes, weight)
+        for at in np.split(np.flatnonzero(free[rows]), np.arange(64, free[rows].sum(), 64)):
+            open_at = at[free[rows[at]]]
+            i, j = np.repeat(open_at, len(rows)), np.tile(np.arange(len(rows)), len(open_at))
+            apart = (side[rows[i]] != side[rows[j]]) & (ids[rows[i]] != ids[rows[j]])
+            i, j = i[apart], j[apart]
+            good = _may_share(i, j, numbers, weights, has, least, percent)
+            for x, y in zip(i[good].tolist(), j[good].tolist()):
+                a, b = int(rows[x]), int(rows[y])
+                if not free[a]:
+                    continue
+                own, other = flat[edge[a] : edge[a + 1]], flat[edge[b] : edge[b + 1]]
+                if repeats[x] or repeats[y]:
+                    ok = bool(verified(own, other, [(0, len(own) - 1)], least, percent))
+                else:
+                    ok = _similar(own, other, least, percent)
+                if ok:
+                    found.append((a, b))
+                    free[[a, b]] = False
+    return found
 
 
 def block_pairs(
     ids: np.ndarray, free: np.ndarray, mine: np.ndarray | None, hashes: np.ndarray, least: int, percent: int
 ) -> list[tuple[int, int]]:
-    """Pairs of members of a block with a passage in common, until each open member has one if it has any.
+    """``group_pairs`` of one block: ``hashes`` has a line per member, 0 outside its text.
 
-    ``hashes`` are the shingles around the members' common one, which is in the
-    middle.  ``mine`` are chunks if only pairs across chunks count.
+    ``mine`` are chunks if only pairs across chunks count.
     """
-    free, found = free.copy(), []
-    middle = least - 1
+    inside = hashes > 0
+    edge = np.concatenate([[0], np.cumsum(inside.sum(1))])
+    return group_pairs(np.zeros(len(ids), np.int64), ids, ids if mine is None else mine, free, hashes[inside], edge, least, percent)
 
-    def allowed(i: int) -> np.ndarray:
-        return (ids != ids[i]) if mine is None else (ids != ids[i]) & (mine != mine[i])
 
-    for i in np.flatnonzero(free & _equal_run(ids, hashes, least)):
-        at = np.flatnonzero(allowed(i))
-        if not free[i] or not len(at):
-            continue
-        same = (hashes[at] == hashes[i]) & (hashes[i] > 0)
-        run = np.cumprod(same[:, middle::-1], 1).sum(1) + np.cumprod(same[:, middle + 1 :], 1).sum(1)
-        if run.max() >= least:
-            # Equal runs need no other test: all that are open are done, one with the longest run is taken.
-            equal = at[(run >= least) & free[at]]
-            found += [(i, j) for j in {int(at[run.argmax()]), *equal.tolist()}]
-            free[equal] = free[i] = False
-    # Members without a partner that shares enough cost nothing more than that product.
-    opened = np.flatnonzero(free)
-    for i, row in zip(opened, _common(hashes, opened, least, percent)):
-        at = np.flatnonzero(row & allowed(i))
-        if not free[i] or not len(at):
-            continue
-        own = hashes[i][hashes[i] > 0]
-        common = np.isin(hashes[at], own)
-        # A passage needs a run of matches of its length in the other text.
-        long = _longest_run(common) >= least
-        at, shared = at[long], common[long].sum(1)
-        for k in np.argsort(-shared, kind="stable"):
-            if 100 * shared[k] < percent * _fewest(own, least):
-                break
-            other = hashes[at[k]][hashes[at[k]] > 0]
-            if verified(own, other, [(0, len(own) - 1)], least, percent):
-                found.append((i, int(at[k])))
-                free[[i, at[k]]] = False
-                break
-    return found
+def _held(members: DataFrame, texts: DataFrame, least: int, percent: int) -> DataFrame:
+    """Members of ``_around`` whose shingles that another text of their group has are dense enough for a passage."""
+    around = pinned(_around(members, texts, least), "hot-members")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 4096):
+                part = batch.slice(at, 4096)
+                near = [np.unique(np.frombuffer(x, np.uint32)) for x in part.column(2).to_pylist()]
+                size = [len(x) for x in near]
+                key, ids = (np.repeat(part.column(k).to_numpy(), size) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), pa.array(ids), pa.array(np.concatenate(near).view(np.int32))], ["key", "doc_id", "value"]
+                )
+
+    # Counted before the exchange, so that a shingle of all members is one row of each task.
+    values = around.select("key", "doc_id", "hashes").mapInArrow(split, "key long, doc_id long, value int")
+    single = values.groupBy("key", "value").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("high")).filter("doc_id = high")
+    own = single.groupBy("key", "doc_id").agg(F.collect_list("value").alias("single"))
+    joined = around.join(own, ["key", "doc_id"], "left").select(*around.columns, "single")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for x, alone in zip(batch.column("hashes").to_pylist(), batch.column("single")):
+                value = np.frombuffer(x, np.uint32)
+                match = ~np.isin(value, alone.values.to_numpy().view(np.uint32)) if alone.is_valid else np.ones(len(value), bool)
+                weight = _weights(np.zeros(len(value), np.int64), value)
+                good.append(bool(_dense(match, weight, np.array([len(value)]), least, percent)[0]))
+            yield batch.drop_columns(["single"]).filter(pa.array(good, pa.bool_()))
+
+    return joined.mapInArrow(scan, around.schema)
 
 
 def _rest(
@@ -488,32 +666,43 @@ def _rest(
 
     The open windows of a group are compared with all others of the group, block
     by block; no task holds a whole group, and a block sends out one pair per
-    open window at most.
+    open window at most.  Groups of several blocks first lose the members that
+    share too little with all others of the group for any passage.
     """
-    windows = pinned(_open(met, spans, least, enough), "windows-left")
-    keys = windows.groupBy("key").agg(F.max("open").alias("some"), F.count(F.lit(1)).alias("n"))
+    rows = pinned(_open(met, spans, least, enough), "windows-left")
+    keys = rows.groupBy("key").agg(F.max("open").alias("some"), F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     # In a group of two the only pair is tested.
-    keys = pinned(keys.filter("some and n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")), "open-keys")
-    members = pinned(windows.join(keys, "key"), "open-members")
+    keys = keys.filter("some and n > 2 and low < high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"))
+    members = pinned(rows.join(pinned(keys, "open-keys"), "key"), "open-members")
     texts = pinned(_texts(noded, nodes, members.select(F.col("doc_id").alias("node"))), "open-texts")
+    small = _around(members.filter("chunks = 1"), texts, least)
+    hot = pinned(_held(members.filter("chunks > 1"), texts, least, percent), "hot-members-left")
+    left = hot.groupBy("key").agg(F.max("open").alias("some"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")).filter("some")
+    hot = hot.join(left, "key").withColumn("chunks", F.col("parts")).select(*small.columns)
     mine = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int").alias("mine")
-    rows = _around(members, texts, least).withColumn("member", F.struct("doc_id", "place", "open", mine, "hashes"))
-    grouped = _blocks(rows.select("key", "chunks", "doc_id", "member"), "member").select("low", "high", "rows")
+    around = small.unionByName(hot).withColumn("member", F.struct("doc_id", "place", "until", "open", mine, "hashes"))
+    grouped = _blocks(around.select("key", "chunks", "doc_id", "member"), "member").select("low", "high", "rows")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for r in range(len(batch)):
-                column = batch.column(2)[r].values.flatten()
-                ids, place, free, mine = (x.to_numpy(zero_copy_only=False) for x in column[:4])
-                hashes = np.frombuffer(b"".join(column[4].to_pylist()), np.uint64).reshape(len(ids), -1)
-                across = batch.column(0)[r] != batch.column(1)[r]
-                for i, j in block_pairs(ids, free, mine if across else None, hashes, least, percent):
-                    first, last = max(0, int(place[i]) - least + 1), int(place[i]) + int((hashes[i, least - 1 :] > 0).sum()) - 1
-                    out.append((int(ids[i]), int(ids[j]), first, last))
-            columns = list(zip(*out)) if out else [[]] * 4
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["a", "b", "first", "last"])
+            count = pa.compute.list_value_length(batch.column(2)).to_numpy()
+            # Groups of about 4,096 rows are worked on at once.
+            for begin, end in slices(np.concatenate([[0], np.cumsum(count)]), 4096):
+                column = batch.column(2).slice(begin, end - begin).flatten().flatten()
+                ids, place, until, free, mine = (x.to_numpy(zero_copy_only=False) for x in column[:5])
+                near = column[5].to_pylist()
+                edge = np.concatenate([[0], np.cumsum([len(x) // 4 for x in near])])
+                group = np.repeat(np.arange(end - begin), count[begin:end])
+                across = (batch.column(0).to_numpy() != batch.column(1).to_numpy())[begin:end][group]
+                side = np.where(across, mine, ids)
+                i, j = np.array(
+                    group_pairs(group, ids, side, free, np.frombuffer(b"".join(near), np.uint32), edge, least, percent), np.int64
+                ).reshape(-1, 2).T
+                first = np.maximum(0, place[i].astype(np.int64) - least + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[i]), pa.array(ids[j]), pa.array(first.astype(np.int32)), pa.array((first + np.diff(edge)[i] - 1).astype(np.int32))],
+                    ["a", "b", "first", "last"],
+                )
 
     found = grouped.mapInArrow(scan, "a long, b long, first int, last int")
     pairs = pinned(found.groupBy("a", "b").agg(F.collect_set(F.struct("first", "last")).alias("regions")), "open-pairs")

@@ -218,3 +218,55 @@ def test_every_open_member_of_a_block_gets_a_partner_if_it_has_one(across):
         assert all(similar(i, j) for i, j in found)
         met = {k for pair in found for k in pair}
         assert {i for i in range(n) if free[i] and any(similar(i, j) for j in range(n))} <= met
+
+
+def near_copies(rng, n, least, edits):
+    """Shingles around a common one, each row with changed words at other places; a word changes five shingles."""
+    hashes = np.tile(rng.integers(1, 1 << 62, 2 * least - 1, dtype=np.uint64), (n, 1))
+    for row in hashes:
+        for at in edits(rng):
+            row[at : at + 5] = rng.integers(1, 1 << 62, len(row[at : at + 5]), dtype=np.uint64)
+    hashes[:, least - 1] = 7
+    return hashes
+
+
+def test_near_misses_need_no_look_at_each_pair(monkeypatch):
+    """Rows of one family that are too unlike: no pair of them is verified."""
+    rng = np.random.default_rng(5)
+    hashes = near_copies(rng, 60, 46, lambda r: range(int(r.integers(0, 9)), 91, 9))
+    calls = []
+    whole = passages.verified
+    monkeypatch.setattr(passages, "verified", lambda *a: calls.append(1) or whole(*a))
+    free = np.ones(60, bool)
+    assert passages.block_pairs(np.arange(60), free, None, hashes, 46, 80) == [] and free.all() and not calls
+
+
+def test_groups_at_once_equal_groups_alone():
+    rng = np.random.default_rng(6)
+    blocks = [near_copies(rng, int(n), 12, lambda r: r.choice(23, int(r.integers(0, 3)))) for n in rng.integers(3, 30, 25)]
+    # Values of another group are no match.
+    blocks += [x.copy() for x in blocks[:5]]
+    group = np.repeat(np.arange(len(blocks)), [len(x) for x in blocks])
+    ids = rng.integers(0, 50, len(group))
+    free = rng.random(len(group)) < 0.7
+    flat = np.concatenate([x.ravel() for x in blocks])
+    found = passages.group_pairs(group, ids, ids, free, flat, np.arange(len(group) + 1) * 23, 12, 80)
+    alone = []
+    for g, block in enumerate(blocks):
+        at = np.flatnonzero(group == g)
+        pairs = passages.block_pairs(ids[at], free[at], None, block, 12, 80)
+        alone += [(int(at[i]), int(at[j])) for i, j in pairs]
+    assert sorted(found) == sorted(alone) and found and all(free[i] for i, _ in found)
+
+
+def test_a_repeated_word_is_one_row_of_its_group(make, monkeypatch):
+    """A run of one word has a window at each place; they are compared as one, with passages around them found."""
+    rng = random.Random(31)
+    passage = prose(rng, 30)
+    rows = [(i, " ".join(prose(rng, 20) + ["and"] * (150 + i) + passage + prose(rng, 20))) for i in range(4)]
+    sizes = []
+    whole = passages._open
+    monkeypatch.setattr(passages, "_open", lambda *a: (lambda df: sizes.append(df.groupBy("key", "doc_id").count().agg({"count": "max"}).first()[0]) or df)(whole(*a)))
+    found = passages.repeated_passages(make(rows, "doc_id long, text string")).collect()
+    assert sizes == [1] and {r["doc_id"] for r in found} == {0, 1, 2, 3}
+    assert all(r["first_word"] <= 20 and r["end_word"] >= 200 + r["doc_id"] for r in found)
