@@ -157,27 +157,34 @@ def common_regions(
 
 
 def _runs(places: np.ndarray) -> list[tuple[int, int]]:
-    cut = np.flatnonzero(np.diff(places) > GAP) + 1
-    return [(int(x[0]), int(x[-1])) for x in np.split(places, cut)] if len(places) else []
+    if not len(places):
+        return []
+    cut = np.flatnonzero(np.diff(places) > GAP)
+    return list(zip([int(places[0]), *places[cut + 1].tolist()], [*places[cut].tolist(), int(places[-1])]))
+
+
+def _marked(values: np.ndarray, count: int) -> np.ndarray:
+    found = np.zeros(count, bool)
+    found[values] = True
+    return found
 
 
 def _aligned(
-    a: np.ndarray, b: np.ndarray, first: int, last: int, least: int, percent: int
+    a: np.ndarray, b: np.ndarray, count: int, first: int, last: int, least: int, percent: int
 ) -> tuple[int, int, int, int, float] | None:
-    """The longest similar part of a's shingles first to last and of one run of b."""
+    """The longest similar part of a's shingles first to last and of one run of b; shingles are numbers below ``count``."""
     own = a[first : last + 1]
     best: tuple[int, int, int, int, float] | None = None
-    for begin, end in sorted(_runs(np.flatnonzero(np.isin(b, own))), key=lambda r: r[0] - r[1]):
+    for begin, end in sorted(_runs(np.flatnonzero(_marked(own, count)[b])), key=lambda r: r[0] - r[1]):
         if end - begin + 1 < least:
             break
-        other = b[begin : end + 1]
-        here = np.flatnonzero(np.isin(own, other))
+        y = _marked(b[begin : end + 1], count)
+        here = np.flatnonzero(y[own])
         s, e = first + int(here[0]), first + int(here[-1])
         if e - s + 1 < least or (best is not None and e - s <= best[1] - best[0]):
             continue
-        x, y = np.unique(a[s : e + 1]), np.unique(other)
-        shared = np.isin(x, y, assume_unique=True).sum()
-        union = len(x) + len(y) - shared
+        x = _marked(a[s : e + 1], count)
+        shared, union = int(np.count_nonzero(x & y)), int(np.count_nonzero(x | y))
         if 100 * shared >= percent * union:
             best = (s, e, begin, end, float(shared / union))
     return best
@@ -195,13 +202,15 @@ def verified(
     inside = np.zeros(len(a), bool)
     for first, last in regions:
         inside[first : last + 1] = True
-    places = np.flatnonzero(np.isin(a, b) & inside)
+    values, numbers = np.unique(np.concatenate([a, b]), return_inverse=True)
+    count, a, b = len(values), numbers[: len(a)], numbers[len(a) :]
+    places = np.flatnonzero(_marked(b, count)[a] & inside)
     todo = _runs(places)
     while todo:
         first, last = todo.pop()
         if last - first + 1 < least:
             continue
-        best = _aligned(a, b, first, last, least, percent)
+        best = _aligned(a, b, count, first, last, least, percent)
         lo, hi = np.searchsorted(places, [first, last + 1])
         own = places[lo:hi]
         if best:
@@ -462,14 +471,25 @@ def _equal_runs(
     return partner
 
 
-def _shared(group: np.ndarray, side: np.ndarray, row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A number for each group's value, and whether rows of two sides have it."""
+def _numbered(group: np.ndarray, row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of places by their group's value, a number for each in that order, and ``_weights`` of the places."""
     key = mixed(value.astype(np.uint64) ^ mixed(group[row].astype(np.uint64) + np.uint64(1)))
-    _, code = np.unique(key, return_inverse=True)
-    low, high = np.full(code.max(initial=0) + 1, np.iinfo(np.int64).max), np.full(code.max(initial=0) + 1, np.iinfo(np.int64).min)
-    np.minimum.at(low, code, side[row])
-    np.maximum.at(high, code, side[row])
-    return code, (low < high)[code]
+    order = np.argsort(key, kind="stable")
+    key, own = key[order], row[order]
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    # Rows follow one another, so the places of a row are together.
+    first = np.flatnonzero(new | np.concatenate([[True], own[1:] != own[:-1]]))
+    times = np.diff(np.append(first, len(key)))
+    weight = np.empty(len(key))
+    weight[order] = np.repeat(1 / times, times)
+    return order, np.cumsum(new) - 1, weight
+
+
+def _shared(side: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Whether rows of two sides have a value; ``code`` is sorted, with the side of each place."""
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    several = np.minimum.reduceat(side, first) < np.maximum.reduceat(side, first)
+    return np.repeat(several, np.diff(np.append(first, len(code))))
 
 
 def _matrix(rows: np.ndarray, edge: np.ndarray, code: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -566,30 +586,44 @@ def group_pairs(
     all groups at once; what is left for pairs of rows passed a test that every
     passage passes.
     """
-    partner = _equal_runs(group, ids, side, flat, edge, least)
-    done = np.flatnonzero(free & (partner < len(group)))
-    found = list(zip(done.tolist(), partner[done].tolist()))
+    if not len(flat):
+        return []
     free = free.copy()
-    free[done] = False
-    size = np.diff(edge)
-    row = np.repeat(np.arange(len(group)), size)
-    weight = _weights(row, flat)
-    alive = np.arange(len(group))
-    while len(alive):
-        at, sizes = _pieces(alive, edge)
-        code, shared = _shared(group, side, row[at], flat[at])
-        good = _dense(shared, weight[at], sizes, least, percent)
-        kept = alive[good]
-        wanted = np.zeros(int(group.max()) + 1, bool)
-        wanted[group[kept[free[kept]]]] = True
-        kept = kept[wanted[group[kept]]]
-        if len(kept) == len(alive):
-            break
-        alive = kept
+    row = np.repeat(np.arange(len(group)), np.diff(edge))
+    order, code, weight = _numbered(group, row, flat)
+
+    def left(alive: np.ndarray, order: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rows dense in values of other rows, as long as rows fall out; their places, and numbers or -1 where alone."""
+        while True:
+            codes = np.full(len(flat), -1)
+            if not len(alive):
+                return alive, order, code, codes
+            shared = _shared(side[row[order]], code)
+            codes[order[shared]] = code[shared]
+            at, sizes = _pieces(alive, edge)
+            kept = alive[_dense(codes[at] >= 0, weight[at], sizes, least, percent)]
+            wanted = np.zeros(int(group.max()) + 1, bool)
+            wanted[group[kept[free[kept]]]] = True
+            kept = kept[wanted[group[kept]]]
+            if len(kept) == len(alive):
+                return alive, order, code, codes
+            alive = kept
+            inside = np.zeros(len(group), bool)
+            inside[alive] = True
+            inside = inside[row[order]]
+            order, code = order[inside], code[inside]
+
+    alive, order, code, codes = left(np.arange(len(group)), order, code)
+    if not len(alive):
+        return []
+    at, sizes = _pieces(alive, edge)
+    partner = _equal_runs(group[alive], ids[alive], side[alive], flat[at], np.concatenate([[0], np.cumsum(sizes)]), least)
+    done = np.flatnonzero(free[alive] & (partner < len(alive)))
+    found = list(zip(alive[done].tolist(), alive[partner[done]].tolist()))
+    free[alive[done]] = False
+    alive, order, code, codes = left(alive, order, code)
     if not len(alive):
         return found
-    codes = np.full(len(flat), -1)
-    codes[at] = np.where(shared, code, -1)
     for rows in np.split(alive, np.flatnonzero(np.diff(group[alive])) + 1):
         numbers, weights, has, repeats = _matrix(rows, edge, codes, weight)
         for at in np.split(np.flatnonzero(free[rows]), np.arange(64, free[rows].sum(), 64)):
