@@ -18,7 +18,9 @@ Equal texts are one node from the start, named by a hash of the text.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fitweave.llm.near_dedup import BLOCK, _blocks
-from fitweave.llm.words import SPACED, mixed, shingles, sliced_words, slices, windows
+from fitweave.llm.packed import SCHEMA, binary, buckets, by_bucket, dealt, packed, unpacked
+from fitweave.llm.words import SPACED, buffers, mixed, shingles, sliced_words, slices, windows
 from fitweave.shared import pinned
 
 SHINGLE = 5
@@ -90,14 +93,31 @@ def twin_of(text: Column) -> Column:
     return F.xxhash64(F.lit("twin"), text)
 
 
-def text_windows(docs: DataFrame, least: int) -> DataFrame:
-    """``key``, ``node``, ``doc_id``, ``function``, ``first``, ``place``, ``last`` of all compact windows.
+def _kinds(least: int) -> tuple[np.dtype, np.dtype]:
+    """Records of a window of a text with that text, and of a window alone.
+
+    ``before`` and ``after`` are the places to its first and last, ``least`` - 1 at most: a
+    passage of the least length over the window's place reaches no further.
+    """
+    short = np.min_scalar_type(max(least, 1))
+    window = [("key", "<i8"), ("place", "<i4"), ("before", short), ("after", short)]
+    return np.dtype([("node", "<i8"), ("doc", "<i8"), *window]), np.dtype(window)
+
+
+def _bounds(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First, place and last of windows."""
+    place = windows["place"].astype(np.int64)
+    return place - windows["before"], place, place + windows["after"]
+
+
+def text_windows(docs: DataFrame, least: int, count: int) -> DataFrame:
+    """All compact windows with ``node`` and ``doc``, packed by their keys into ``count`` buckets.
 
     ``docs`` has node, doc_id and text; ``least`` is in shingles.
     """
-    names = ["key", "node", "doc_id", "function", "first", "place", "last"]
+    kind, _ = _kinds(least)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
             node, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for i, j, words in sliced_words(batch.column(2), SPACED):
@@ -118,17 +138,15 @@ def text_windows(docs: DataFrame, least: int) -> DataFrame:
                     values[place] = (hashed >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
                     first, least_at, last = compact_windows(values, least, longest)
                     own = np.searchsorted(place, least_at)
-                    shift = at[own] - least_at
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(mixed(hashed[own] + np.uint64(f)).view(np.int64)), pa.array(node[i + row[own]]),
-                         pa.array(doc[i + row[own]]), pa.array(np.full(len(own), f, np.int32)), pa.array((first + shift).astype(np.int32)),
-                         pa.array(at[own].astype(np.int32)), pa.array((last + shift).astype(np.int32))],
-                        names,
-                    )
-
-    return docs.select("node", "doc_id", "text").mapInArrow(
-        scan, "key long, node long, doc_id long, function int, first int, place int, last int"
-    )
+                    out = np.empty(len(own), kind)
+                    out["key"] = mixed(hashed[own] + np.uint64(f)).view(np.int64)
+                    out["node"], out["doc"] = node[i + row[own]], doc[i + row[own]]
+                    out["place"] = at[own]
+                    out["before"] = np.minimum(least_at - first, least - 1)
+                    out["after"] = np.minimum(last - least_at, least - 1)
+                    yield out["key"], out
+
+    return docs.select("node", "doc_id", "text").mapInArrow(lambda batches: packed(found(batches), count), SCHEMA)
 
 
 def common_regions(
@@ -198,12 +216,18 @@ def verified(
     A run of matches that is not similar enough as a whole is cut at its widest
     gap; what a passage leaves of a run on either side is looked at again.
     """
+    values, numbers = np.unique(np.concatenate([a, b]), return_inverse=True)
+    return _passages(numbers[: len(a)], numbers[len(a) :], len(values), regions, least, percent)
+
+
+def _passages(
+    a: np.ndarray, b: np.ndarray, count: int, regions: list[tuple[int, int]], least: int, percent: int
+) -> list[tuple[int, int, int, int, float]]:
+    """``verified`` of shingles that are numbers below ``count``."""
     found = []
     inside = np.zeros(len(a), bool)
     for first, last in regions:
         inside[first : last + 1] = True
-    values, numbers = np.unique(np.concatenate([a, b]), return_inverse=True)
-    count, a, b = len(values), numbers[: len(a)], numbers[len(a) :]
     places = np.flatnonzero(_marked(b, count)[a] & inside)
     todo = _runs(places)
     while todo:
@@ -225,48 +249,81 @@ def verified(
     return sorted(found)
 
 
+def star(windows: np.ndarray) -> np.ndarray:
+    """Windows whose key several texts have; ``doc`` is the document that the text is tested against.
+
+    Equal texts bring equal windows: they are one.
+    """
+    order = np.argsort(windows["key"], kind="stable")
+    windows = windows[order]
+    key, node, doc = (np.ascontiguousarray(windows[c]) for c in ("key", "node", "doc"))
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(first, len(key)))
+    several = np.minimum.reduceat(node, first) < np.maximum.reduceat(node, first)
+    keep = np.repeat(several, size)
+    low, high = (np.repeat(x.reduceat(doc, first)[several], size[several]) for x in (np.minimum, np.maximum))
+    found, key, node, doc = windows[keep], key[keep], node[keep], doc[keep]
+    centre = np.where(doc == low, high, low)
+    found["doc"] = centre
+    place = np.ascontiguousarray(found["place"])
+    mark = mixed(place.astype(np.uint64) ^ mixed(centre.view(np.uint64) ^ mixed(node.view(np.uint64) ^ mixed(key.view(np.uint64)))))
+    order = np.argsort(mark)
+    # A text's key and place are those of one window.
+    again = reduce(np.logical_and, (x[order][1:] == x[order][:-1] for x in (mark, key, node, centre, place)))
+    return found[order[np.concatenate([[True], ~again])]] if len(order) else found
+
+
 def _met(docs: DataFrame, least: int) -> DataFrame:
-    """``key``, ``a`` (node), ``b`` (the document it is tested against) and ``w`` of windows whose key several texts have."""
-    # Cut out once for the keys and once for the look-up: that costs less than keeping all windows.
-    windows = text_windows(docs, least)
-    shared = (
-        windows.groupBy("key")
-        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), (F.min("node") < F.max("node")).alias("several"))
-        .filter("several")
-        .select("key", "low", "high")
-    )
-    # A written table on this side lets adaptive execution split the windows of a hot key.
-    shared = pinned(shared, "shared-windows")
-    met = windows.join(shared, "key").select(
-        "key", F.col("node").alias("a"),
-        F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"),
-        F.struct("first", "place", "last", "function").alias("w"),
-    )
-    return pinned(met, "met-windows")
+    """``a`` (node), ``windows`` of it whose key several texts have, and ``centres``, the document that each is tested against."""
+    count = buckets(docs.sparkSession)
+    kind, window = _kinds(least)
+
+    def starred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return packed(((x["node"], x) for x in map(star, by_bucket(batches, kind))), count)
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in by_bucket(batches, kind):
+            x = x[np.lexsort((x["place"], x["doc"], x["node"]))]
+            node = np.ascontiguousarray(x["node"])
+            ends = np.append(np.flatnonzero(node[1:] != node[:-1]), len(node) - 1) + 1
+            own = np.empty(len(x), window)
+            for c in window.names:
+                own[c] = x[c]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node[ends - 1]), binary(own, ends), binary(np.ascontiguousarray(x["doc"]), ends)], ["a", "windows", "centres"]
+            )
+
+    # Windows move twice, by their keys and by their texts.
+    shared = dealt(text_windows(docs, least, count)).mapInArrow(starred, SCHEMA)
+    return pinned(dealt(shared).mapInArrow(gathered, "a long, windows binary, centres binary"), "met-windows")
 
 
-def _pairs(met: DataFrame, docs: DataFrame, least: int, enough: int) -> DataFrame:
+def _pairs(met: DataFrame, known: DataFrame, least: int, enough: int) -> DataFrame:
     """``a``, ``b`` and candidate ``regions`` of a, for texts that share enough windows."""
-    # Equal texts bring equal windows; a set holds each once.
-    both = met.groupBy("a", "b").agg(F.collect_set("w").alias("windows"))
+    _, window = _kinds(least)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("first", pa.int32()), ("last", pa.int32())])
         for batch in batches:
-            column = batch.column(2)
-            pair = np.repeat(np.arange(len(batch)), pa.compute.list_value_length(column).to_numpy())
-            fields = [x.to_numpy().astype(np.int64) for x in column.flatten().flatten()]
-            own, first, last = common_regions(pair, *fields[:3], least, enough)
-            offsets = np.searchsorted(own, np.arange(len(batch) + 1)).astype(np.int32)
+            windows, edge = unpacked(batch.column(1), window)
+            centre, _ = unpacked(batch.column(2), np.dtype("<i8"))
+            if not len(windows):
+                continue
+            row = np.repeat(np.arange(len(batch)), np.diff(edge))
+            new = np.concatenate([[True], (row[1:] != row[:-1]) | (centre[1:] != centre[:-1])])
+            own, first, last = common_regions(np.cumsum(new) - 1, *_bounds(windows), least, enough)
+            at = np.flatnonzero(new)[np.unique(own)]
+            offsets = np.searchsorted(own, np.append(np.unique(own), new.sum())).astype(np.int32)
             regions = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (first, last)], fields=list(kind))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(offsets), regions)], ["a", "b", "regions"]
+                [batch.column(0).take(pa.array(row[at])), pa.array(centre[at]), pa.ListArray.from_arrays(pa.array(offsets), regions)],
+                ["a", "b", "regions"],
             )
 
     schema = "a long, b long, regions array<struct<first:int,last:int>>"
-    found = pinned(both.mapInArrow(scan, schema).filter(F.size("regions") > 0), "regions")
+    found = pinned(met.mapInArrow(scan, schema), "regions")
     # The centre is known by its document; its text names the node.
-    named = docs.select(F.col("doc_id").alias("b"), F.col("node").alias("centre")).distinct()
+    named = known.select(F.col("doc_id").alias("b"), F.col("node").alias("centre")).distinct()
     pairs = found.join(named, "b").filter("a <> centre").select("a", F.col("centre").alias("b"), "regions")
     # Centres with equal texts are one.
     return pairs.groupBy("a", "b").agg(F.flatten(F.collect_list("regions")).alias("regions"))
@@ -282,10 +339,14 @@ def _texts(noded: DataFrame, nodes: DataFrame, ids: DataFrame) -> DataFrame:
 
 def _spans(pairs: DataFrame, texts: DataFrame, least: int, percent: int) -> DataFrame:
     """``node``, ``other``, ``first``, ``last`` (shingles) and ``similarity``, for both texts of a pair."""
+    # The pair of a text and its centre may be there from either side: both texts are brought once.
+    forward = F.col("a") < F.col("b")
+    regions = [F.flatten(F.collect_list(F.when(side, F.col("regions")))).alias(name) for side, name in ((forward, "ahead"), (~forward, "back"))]
+    once = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(*regions)
     joined = (
-        pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
+        once.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
         .join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
-        .select("a", "b", "regions", "text_a", "text_b")
+        .select("a", "b", "ahead", "back", "text_a", "text_b")
     )
 
     def hashes(column: pa.Array) -> list[np.ndarray]:
@@ -301,10 +362,14 @@ def _spans(pairs: DataFrame, texts: DataFrame, least: int, percent: int) -> Data
             for at in range(0, len(whole), 128):
                 batch = whole.slice(at, 128)
                 rows = []
-                ids_a, ids_b, regions = (batch.column(k).to_pylist() for k in range(3))
-                for a, b, own, x, y in zip(ids_a, ids_b, regions, hashes(batch.column(3)), hashes(batch.column(4))):
-                    for s, e, t, u, similar in verified(x, y, [(r["first"], r["last"]) for r in own], least, percent):
+                ids_a, ids_b, ahead, back = (batch.column(k).to_pylist() for k in range(4))
+                for a, b, own, other, x, y in zip(ids_a, ids_b, ahead, back, hashes(batch.column(4)), hashes(batch.column(5))):
+                    values, numbers = np.unique(np.concatenate([x, y]), return_inverse=True)
+                    x, y = numbers[: len(x)], numbers[len(x) :]
+                    for s, e, t, u, similar in _passages(x, y, len(values), [(r["first"], r["last"]) for r in own], least, percent) if own else ():
                         rows += [(a, b, s, e, similar), (b, a, t, u, similar)]
+                    for t, u, s, e, similar in _passages(y, x, len(values), [(r["first"], r["last"]) for r in other], least, percent) if other else ():
+                        rows += [(b, a, t, u, similar), (a, b, s, e, similar)]
                 columns = list(zip(*rows)) if rows else [[]] * 5
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
                 yield pa.RecordBatch.from_arrays(
@@ -322,43 +387,49 @@ def _open(met: DataFrame, spans: DataFrame, least: int, enough: int) -> DataFram
     one key less than ``least`` apart are one row, from the first place until the
     last: a repeated word has a window at each of its places.
     """
-    windows = met.groupBy("a").agg(F.collect_set(F.struct("key", "w.first", "w.place", "w.last")).alias("windows"))
+    _, window = _kinds(least)
     own = merged(spans).groupBy("node").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    both = windows.join(own, windows["a"] == own["node"], "left").select("a", "windows", "spans")
+    both = met.select("a", "windows").join(own, met["a"] == own["node"], "left").select("a", "windows", "spans")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
-            for node, column, found in zip(*(batch.column(k) for k in range(3))):
-                key, first, place, last = (x.to_numpy() for x in column.values.flatten())
-                begin, end = np.maximum(first, place - least + 1), np.minimum(place, last - least + 1)
-                ok = begin <= end
-                key, place, begin, end = key[ok], place[ok], begin[ok], end[ok]
-                if not len(key):
-                    continue
-                step = np.zeros(int(last.max()) + 2, np.int64)
-                np.add.at(step, begin, 1)
-                np.add.at(step, end + 1, -1)
-                deep = np.cumsum(step) >= enough
-                held = np.zeros(len(step), bool)
-                for span in found.as_py() or []:
-                    held[span["first"] : span["last"] + 1] = True
-                    deep[span["first"] : max(span["last"] - least + 2, 0)] = False
-                total = np.concatenate([[0], np.cumsum(deep)])
-                free = (total[end + 1] > total[begin]) & ~held[place]
-                order = np.lexsort((place, key))
-                key, place, free = key[order], place[order], free[order]
-                apart = (key[1:] != key[:-1]) | (place[1:] - place[:-1] >= least)
-                edge = np.flatnonzero(np.concatenate([[True], apart]))
-                until = place[np.append(edge[1:], len(key)) - 1]
-                columns = (key[edge], np.full(len(edge), node.as_py()), place[edge], until, np.logical_or.reduceat(free, edge))
-                for old, x in zip(out, columns):
-                    old.append(x)
-            if out[0]:
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x), k) for x, k in zip(out, kinds)], ["key", "doc_id", "place", "until", "open"]
-                )
+            windows, edge_of = unpacked(batch.column(1), window)
+            text = np.repeat(np.arange(len(batch)), np.diff(edge_of))
+            order = np.lexsort((windows["place"], windows["key"], text))
+            text, windows = text[order], windows[order]
+            key, (first, place, last) = np.ascontiguousarray(windows["key"]), _bounds(windows)
+            begin, end = np.maximum(first, place - least + 1), np.minimum(place, last - least + 1)
+            # A window of a text with several centres is one.
+            new = np.concatenate([[True], (text[1:] != text[:-1]) | (key[1:] != key[:-1]) | (place[1:] != place[:-1])])
+            ok = new & (begin <= end)
+            text, key, place, begin, end = text[ok], key[ok], place[ok], begin[ok], end[ok]
+            if not len(key):
+                continue
+            # Places of all texts, one after another: a text's last one is in no window.
+            size = np.zeros(len(batch), np.int64)
+            np.maximum.at(size, text, place + least + 1)
+            base = np.concatenate([[0], np.cumsum(size)])
+            own = base[text]
+
+            def depth(up: np.ndarray, down: np.ndarray) -> np.ndarray:
+                return np.cumsum(np.bincount(up, minlength=base[-1] + 1) - np.bincount(down, minlength=base[-1] + 1))
+
+            deep = depth(own + begin, own + end + 1) >= enough
+            found = batch.column(2)
+            spans = found.flatten()
+            low, high = (x.to_numpy().astype(np.int64) for x in spans.flatten()) if len(spans) else (np.zeros(0, np.int64),) * 2
+            of = np.repeat(np.arange(len(batch)), pa.compute.list_value_length(found).fill_null(0).to_numpy())
+            low = np.minimum(low, size[of])
+            held = depth(base[of] + low, base[of] + np.maximum(low, np.minimum(high + 1, size[of]))) > 0
+            deep &= depth(base[of] + low, base[of] + np.maximum(low, np.minimum(high - least + 2, size[of]))) == 0
+            total = np.concatenate([[0], np.cumsum(deep)])
+            free = (total[own + end + 1] > total[own + begin]) & ~held[own + place]
+            apart = (text[1:] != text[:-1]) | (key[1:] != key[:-1]) | (place[1:] - place[:-1] >= least)
+            edge = np.flatnonzero(np.concatenate([[True], apart]))
+            until = place[np.append(edge[1:], len(key)) - 1]
+            columns = (key[edge], batch.column(0).to_numpy()[text[edge]], place[edge], until, np.logical_or.reduceat(free, edge))
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], ["key", "doc_id", "place", "until", "open"])
 
     return both.mapInArrow(scan, "key long, doc_id long, place int, until int, open boolean")
 
@@ -492,10 +563,10 @@ def _shared(side: np.ndarray, code: np.ndarray) -> np.ndarray:
     return np.repeat(several, np.diff(np.append(first, len(code))))
 
 
-def _matrix(rows: np.ndarray, edge: np.ndarray, code: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of a group as lines of one length: numbers of values, their weights, which values each has, and whether it repeats any.
+def _lines(rows: np.ndarray, edge: np.ndarray, code: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of a group as columns of one length: numbers of values, their weights, a place of each value that it has, from 1, and whether it repeats any.
 
-    Number 0 is a value that no other row has; lines are filled up with it and a
+    Number 0 is a value that no other row has; columns are filled up with it and a
     weight that no passage can run across.
     """
     at, size = _pieces(rows, edge)
@@ -503,57 +574,165 @@ def _matrix(rows: np.ndarray, edge: np.ndarray, code: np.ndarray, weight: np.nda
     if values[0] >= 0:
         number = number + 1
     inside = np.arange(size.max()) < size[:, None]
-    numbers, weights = np.zeros(inside.shape, np.int64), np.full(inside.shape, 1e6)
+    numbers, weights = np.zeros(inside.shape, np.int64), np.full(inside.shape, 1e6, np.float32)
     numbers[inside], weights[inside] = number, weight[at]
-    has = np.zeros((len(rows), int(number.max()) + 1), bool)
-    has[np.arange(len(rows))[:, None], numbers] = True
-    has[:, 0] = False
+    has = np.zeros((len(rows), int(number.max()) + 1), np.int32)
+    has[np.arange(len(rows))[:, None], numbers] = np.arange(1, numbers.shape[1] + 1)
+    has[:, 0] = 0
     return numbers, weights, has, (weights < 1).any(1)
 
 
-def _reaches(match: np.ndarray, weight: np.ndarray, least: int, percent: float) -> np.ndarray:
-    """``_dense`` of the lines of a matrix."""
-    total = np.zeros((len(match), match.shape[1] + 1))
-    np.cumsum(np.where(match, 100.0 - percent, -percent * weight), axis=1, out=total[:, 1:])
-    if total.shape[1] <= least:
-        return np.zeros(len(match), bool)
-    low = np.minimum.accumulate(total[:, :-least], axis=1)
-    return (total[:, least:] >= low - 1e-3).any(1)
+def _sums(gain: np.ndarray) -> np.ndarray:
+    """Sums of each column's first places, from none to all, a line per column."""
+    total = np.zeros((gain.shape[1], len(gain) + 1), gain.dtype if gain.dtype != np.float32 else np.float64)
+    np.cumsum(gain.T, axis=1, out=total[:, 1:])
+    return total
 
 
-def _may_share(
-    i: np.ndarray, j: np.ndarray, numbers: np.ndarray, weights: np.ndarray, has: np.ndarray, least: int, percent: int
-) -> np.ndarray:
-    """Whether lines i and j may have a passage in common: no pair that has one fails.
+def _most(match: np.ndarray, weight: np.ndarray | None, least: int, hit: int, miss: int) -> np.ndarray:
+    """The most that a part of ``least`` places or more of each column gains: ``hit`` at a match, less ``miss`` times its weight without.
+
+    A value that the column repeats counts in whole at each match and once over all its places
+    without one, so no part gains less than its distinct values do.  Without ``weight``, of columns that repeat
+    no value, places beyond a column's end only count as places without a match.
+    """
+    size, n = match.shape
+    if weight is None:
+        kind = np.int16 if max(hit, miss) * size < 1 << 15 else np.int64
+        gain = match.astype(kind)
+        gain *= kind(hit + miss)
+        gain -= kind(miss)
+    else:
+        kind, gain = np.float32, np.where(match, np.float32(hit), weight * np.float32(-miss))
+    if size < least:
+        return np.full(n, -np.inf, np.float32)
+    if n < size:
+        total = _sums(gain)
+        return (total[:, least:] - np.minimum.accumulate(total[:, :-least], axis=1)).max(1).astype(np.float32)
+    # All columns go on by one place at once.
+    best, low, own = np.full(n, -miss * size, kind), np.zeros(n, kind), np.empty(n, kind)
+    total = np.zeros((size + 1, n), kind)
+    for k in range(1, size + 1):
+        np.add(gain[k - 1], total[k - 1], out=total[k])
+        if k >= least:
+            np.minimum(low, total[k - least], out=low)
+            np.subtract(total[k], low, out=own)
+            np.maximum(best, own, out=best)
+    return best.astype(np.float32)
+
+
+def _loss(match: np.ndarray, weight: np.ndarray, least: int) -> np.ndarray:
+    """The least weight without a match in ``least`` places of each column, one after another."""
+    size, n = match.shape
+    best, own = np.full(n, np.inf, np.float32), np.empty(n, np.float32)
+    total, lost = np.zeros((size + 1, n), np.float32), np.where(match, np.float32(0), weight)
+    if least <= size and n < size:
+        total = _sums(lost)
+        return (total[:, least:] - total[:, :-least]).min(1)
+    for k in range(1, size + 1):
+        np.add(lost[k - 1], total[k - 1], out=total[k])
+        if k >= least:
+            np.subtract(total[k], total[k - least], out=own)
+            np.minimum(best, own, out=best)
+    return best
+
 
-    Of shares p and q of two passages that are common, 1 / p + 1 / q - 1 is the union
-    by the common part: both are at least ``percent``, and one of them at least
-    2 ``percent`` / (100 + ``percent``).
+#: Rounding of sums of single precision.
+SLACK = 0.05
+
+
+class _Lines:
+    """``_lines`` of several groups side by side: rows are numbered through all of them."""
+
+    def __init__(self, groups: list[np.ndarray], edge: np.ndarray, code: np.ndarray, weight: np.ndarray):
+        made = [_lines(rows, edge, code, weight) for rows in groups]
+        width = max(x[0].shape[1] for x in made)
+        count = sum(len(rows) for rows in groups)
+        self.rows = np.concatenate(groups)
+        self.repeats = np.concatenate([x[3] for x in made])
+        self.numbers, self.weights = np.zeros((width, count), np.int64), np.full((width, count), 1e6, np.float32)
+        # Where the values that a row has begin: rows of a group have as many each.
+        self.base, at, cells = np.empty(count, np.int64), 0, 0
+        for numbers, weights, has, _ in made:
+            n = len(numbers)
+            self.numbers[: numbers.shape[1], at : at + n], self.weights[: numbers.shape[1], at : at + n] = numbers.T, weights.T
+            self.base[at : at + n] = cells + np.arange(n) * has.shape[1]
+            at, cells = at + n, cells + has.size
+        self.places = np.concatenate([x[2].ravel() for x in made])
+        self.has = self.places > 0
+
+    def match(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which values of rows i the rows j have, a column per pair."""
+        return self.has[self.numbers[:, i] + self.base[j]]
+
+    def common(self, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places in row i and in row j of the values that both have; neither repeats one."""
+        there = self.places[self.numbers[:, i] + self.base[j]]
+        here = np.flatnonzero(there)
+        return here, there[here] - 1
+
+    def gain(self, i: np.ndarray, match: np.ndarray, least: int, hit: int, miss: int) -> np.ndarray:
+        """``_most`` of rows i."""
+        once, again = np.flatnonzero(~self.repeats[i]), np.flatnonzero(self.repeats[i])
+        if not len(again):
+            return _most(match, None, least, hit, miss)
+        found = np.empty(len(i), np.float32)
+        found[once] = _most(match[:, once], None, least, hit, miss)
+        found[again] = _most(match[:, again], self.weights[:, i[again]], least, hit, miss)
+        return found
+
+    def may_share(self, i: np.ndarray, j: np.ndarray, least: int, percent: int) -> np.ndarray:
+        """Places of the pairs i and j that may have a passage in common: no pair that has one fails.
+
+        Of m values that two passages have in common, u and v that one of them has alone,
+        m is at least ``percent`` of m + u + v.  So u is at most (100 - ``percent``) / ``percent`` of m, and
+        of all values that both rows have; the same is true of v and of u + v.
+        """
+        hit, miss = (x // math.gcd(100, percent) for x in (100 - percent, percent))
+        own = self.match(i, j)
+        left = np.flatnonzero(self.gain(i, own, least, hit, miss) >= -SLACK)
+        i, j, own = i[left], j[left], own[:, left]
+        other = self.match(j, i)
+        good = np.flatnonzero(self.gain(j, other, least, hit, miss) >= -SLACK)
+        left, i, j, own, other = left[good], i[good], j[good], own[:, good], other[:, good]
+        # Half of m goes to either side.
+        both = self.gain(i, own, least, hit, 2 * miss) + self.gain(j, other, least, hit, 2 * miss)
+        good = np.flatnonzero(both >= -SLACK)
+        left, i, j, own, other = left[good], i[good], j[good], own[:, good], other[:, good]
+        # Rows without a repeat have a value for each match: the gains say as much.
+        again = np.flatnonzero(self.repeats[i] | self.repeats[j])
+        if not len(again):
+            return left
+        i, j, own, other = i[again], j[again], own[:, again], other[:, again]
+        common = (own * np.minimum(self.weights[:, i], 1)).sum(0)
+        most = common * (hit / miss) + SLACK
+        ok = (_loss(own, self.weights[:, i], least) <= most) & (_loss(other, self.weights[:, j], least) <= most)
+        return np.delete(left, again[~ok])
+
+
+def _repeated(rows: np.ndarray, flat: np.ndarray, edge: np.ndarray, code: np.ndarray, least: int, percent: int) -> np.ndarray:
+    """Whether row i of a group may have a passage in common with row j, by the values that its parts repeat.
+
+    Each part of a passage has at most (100 - ``percent``) / ``percent`` of the values common to both
+    rows as values of its own: counted are the values of all parts of ``least`` places.
     """
-    most = 200 * percent / (100 + percent)
-    found = np.zeros(len(i), bool)
-    step = max(1, (1 << 20) // numbers.shape[1])
-    for at in range(0, len(i), step):
-        x, y = i[at : at + step], j[at : at + step]
-        own = has[y[:, None], numbers[x]]
-        good = np.flatnonzero(_reaches(own, weights[x], least, percent))
-        if not len(good):
+    numbers, _, has, _ = _lines(rows, edge, code, np.ones(len(code)))
+    found = np.ones((len(rows), len(rows)), bool)
+    for i, row in enumerate(rows.tolist()):
+        values, at, place = np.unique(flat[edge[row] : edge[row + 1]], return_index=True, return_inverse=True)
+        parts = len(place) - least + 1
+        if parts < 1 or parts * len(values) > 1 << 22:
             continue
-        x, y = x[good], y[good]
-        high = _reaches(own[good], weights[x], least, most)
-        other = has[x[:, None], numbers[y]]
-        ok = _reaches(other, weights[y], least, percent)
-        rest = np.flatnonzero(ok & ~high)
-        ok[rest] = _reaches(other[rest], weights[y[rest]], least, most)
-        found[at + good[ok]] = True
-    return found
+        inside = np.zeros((parts, len(values)), np.float32)
+        inside[np.arange(parts)[:, None], np.lib.stride_tricks.sliding_window_view(place, least)] = 1
+        alone = (has[:, numbers[i, at]] == 0).astype(np.float32)
+        common = len(values) - alone.sum(1)
+        found[i] = (inside @ alone.T).min(0) <= common * ((100 - percent) / percent) + SLACK
+    return found & found.T
 
 
-def _similar(own: np.ndarray, other: np.ndarray, least: int, percent: int) -> bool:
-    """Whether ``verified`` finds a passage, for two rows that repeat no value."""
-    _, here, there = np.intersect1d(own, other, assume_unique=True, return_indices=True)
-    order = np.argsort(here)
-    here, there = here[order], there[order]
+def _similar(here: np.ndarray, there: np.ndarray, least: int, percent: int) -> bool:
+    """Whether ``verified`` finds a passage, from the places of the common values of two rows that repeat none."""
     cut = np.flatnonzero(np.diff(here) > GAP) + 1
     todo = list(zip([0, *cut.tolist()], [*cut.tolist(), len(here)]))
     while todo:
@@ -576,6 +755,25 @@ def _similar(own: np.ndarray, other: np.ndarray, least: int, percent: int) -> bo
     return False
 
 
+#: Places that pairs of rows are compared at in one step.
+PAIRS = 1 << 19
+
+
+def _side_by_side(groups: list[np.ndarray], edge: np.ndarray, longest: int) -> Iterator[list[np.ndarray]]:
+    """Groups in lists of about a quarter of a million places; a larger group stands alone, and so does one with longer rows."""
+    held: list[np.ndarray] = []
+    count = 0
+    for rows in groups:
+        width = int((edge[rows + 1] - edge[rows]).max())
+        if held and ((count + len(rows)) * width > 1 << 18 or width > longest):
+            yield held
+            held, count = [], 0
+        held.append(rows)
+        count += len(rows)
+    if held:
+        yield held
+
+
 def group_pairs(
     group: np.ndarray, ids: np.ndarray, side: np.ndarray, free: np.ndarray, flat: np.ndarray, edge: np.ndarray, least: int, percent: int
 ) -> list[tuple[int, int]]:
@@ -624,26 +822,37 @@ def group_pairs(
     alive, order, code, codes = left(alive, order, code)
     if not len(alive):
         return found
-    for rows in np.split(alive, np.flatnonzero(np.diff(group[alive])) + 1):
-        numbers, weights, has, repeats = _matrix(rows, edge, codes, weight)
-        for at in np.split(np.flatnonzero(free[rows]), np.arange(64, free[rows].sum(), 64)):
-            open_at = at[free[rows[at]]]
-            i, j = np.repeat(open_at, len(rows)), np.tile(np.arange(len(rows)), len(open_at))
-            apart = (side[rows[i]] != side[rows[j]]) & (ids[rows[i]] != ids[rows[j]])
-            i, j = i[apart], j[apart]
-            good = _may_share(i, j, numbers, weights, has, least, percent)
-            for x, y in zip(i[good].tolist(), j[good].tolist()):
-                a, b = int(rows[x]), int(rows[y])
-                if not free[a]:
+    groups = np.split(alive, np.flatnonzero(np.diff(group[alive])) + 1)
+    groups.sort(key=lambda rows: int((edge[rows + 1] - edge[rows]).max()))
+    for some in _side_by_side(groups, edge, 4 * least):
+        lines = _Lines(some, edge, codes, weight)
+        # Rows are that long where a text goes on repeating itself.
+        near = _repeated(some[0], flat, edge, codes, least, percent) if len(some) == 1 and len(lines.numbers) > 4 * least else None
+        begin = np.concatenate([[0], np.cumsum([len(rows) for rows in some])])
+        # Pairs of an open row and each other row of its group, about ``PAIRS`` at once.
+        opens = [k + np.flatnonzero(free[rows]) for k, rows in zip(begin, some)]
+        width = np.repeat(np.diff(begin), [len(x) for x in opens])
+        opens, first = np.concatenate(opens), np.repeat(begin[:-1], [len(x) for x in opens])
+        most = max(1, PAIRS // len(lines.numbers))
+        for at, end in slices(np.concatenate([[0], np.cumsum(width)]), most):
+            still = at + np.flatnonzero(free[lines.rows[opens[at:end]]])
+            i = np.repeat(opens[still], width[still])
+            j = np.repeat(first[still] - np.concatenate([[0], np.cumsum(width[still])[:-1]]), width[still]) + np.arange(len(i))
+            a, b = lines.rows[i], lines.rows[j]
+            apart = np.flatnonzero((side[a] != side[b]) & (ids[a] != ids[b]) & (True if near is None else near[i, j]))
+            good = apart[lines.may_share(i[apart], j[apart], least, percent)]
+            again = lines.repeats[i[good]] | lines.repeats[j[good]]
+            for p, q, x, y, repeats in zip(*(k.tolist() for k in (i[good], j[good], a[good], b[good], again))):
+                if not free[x]:
                     continue
-                own, other = flat[edge[a] : edge[a + 1]], flat[edge[b] : edge[b + 1]]
-                if repeats[x] or repeats[y]:
+                if repeats:
+                    own, other = flat[edge[x] : edge[x + 1]], flat[edge[y] : edge[y + 1]]
                     ok = bool(verified(own, other, [(0, len(own) - 1)], least, percent))
                 else:
-                    ok = _similar(own, other, least, percent)
+                    ok = _similar(*lines.common(p, q), least, percent)
                 if ok:
-                    found.append((a, b))
-                    free[[a, b]] = False
+                    found.append((x, y))
+                    free[[x, y]] = False
     return found
 
 
@@ -663,39 +872,67 @@ def _held(members: DataFrame, texts: DataFrame, least: int, percent: int) -> Dat
     """Members of ``_around`` whose shingles that another text of their group has are dense enough for a passage."""
     around = pinned(_around(members, texts, least), "hot-members")
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    count = buckets(members.sparkSession)
+    kind = np.dtype([("key", "<i8"), ("doc", "<i8"), ("value", "<u4")])
+
+    def ends(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Records by key and value, where each of these begins, and whether several texts have it."""
+        x = x[np.lexsort((x["doc"], x["value"], x["key"]))]
+        new = np.concatenate([[True], (x["key"][1:] != x["key"][:-1]) | (x["value"][1:] != x["value"][:-1])])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(x)) - 1
+        return x[first], x[last], x["doc"][first] != x["doc"][last]
+
+    def marked(x: np.ndarray, other: str) -> np.ndarray:
+        return x["key"].astype(np.uint64) ^ mixed(x[other].astype(np.uint64))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
             for at in range(0, len(batch), 4096):
                 part = batch.slice(at, 4096)
-                near = [np.unique(np.frombuffer(x, np.uint32)) for x in part.column(2).to_pylist()]
-                size = [len(x) for x in near]
-                key, ids = (np.repeat(part.column(k).to_numpy(), size) for k in (0, 1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(ids), pa.array(np.concatenate(near).view(np.int32))], ["key", "doc_id", "value"]
-                )
-
-    # Counted before the exchange, so that a shingle of all members is one row of each task.
-    values = around.select("key", "doc_id", "hashes").mapInArrow(split, "key long, doc_id long, value int")
-    single = values.groupBy("key", "value").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("high")).filter("doc_id = high")
-    own = single.groupBy("key", "doc_id").agg(F.collect_list("value").alias("single"))
+                value, edge = unpacked(part.column(2), np.dtype("<u4"))
+                row = np.repeat(np.arange(len(part)), np.diff(edge))
+                x = np.empty(len(value), kind)
+                x["key"], x["doc"], x["value"] = part.column(0).to_numpy()[row], part.column(1).to_numpy()[row], value
+                if len(x):
+                    # Counted before the exchange: a shingle of all members is two records of each part.
+                    low, high, several = ends(x)
+                    x = np.concatenate([low, high[several]])
+                    yield marked(x, "value"), x
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for x in by_bucket(batches, kind):
+            low, _, several = ends(x)
+            yield marked(low[~several], "doc"), low[~several]
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in by_bucket(batches, kind):
+            x = x[np.lexsort((x["doc"], x["key"]))]
+            last = np.append(np.flatnonzero((x["key"][1:] != x["key"][:-1]) | (x["doc"][1:] != x["doc"][:-1])), len(x) - 1)
+            key, doc, value = (np.ascontiguousarray(x[c]) for c in kind.names)
+            yield pa.RecordBatch.from_arrays([pa.array(key[last]), pa.array(doc[last]), binary(value, last + 1)], ["key", "doc_id", "single"])
+
+    values = around.select("key", "doc_id", "hashes").mapInArrow(lambda batches: packed(split(batches), count), SCHEMA)
+    single = dealt(values).mapInArrow(lambda batches: packed(alone(batches), count), SCHEMA)
+    own = dealt(single).mapInArrow(gathered, "key long, doc_id long, single binary")
     joined = around.join(own, ["key", "doc_id"], "left").select(*around.columns, "single")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, alone in zip(batch.column("hashes").to_pylist(), batch.column("single")):
-                value = np.frombuffer(x, np.uint32)
-                match = ~np.isin(value, alone.values.to_numpy().view(np.uint32)) if alone.is_valid else np.ones(len(value), bool)
-                weight = _weights(np.zeros(len(value), np.int64), value)
-                good.append(bool(_dense(match, weight, np.array([len(value)]), least, percent)[0]))
-            yield batch.drop_columns(["single"]).filter(pa.array(good, pa.bool_()))
+        for whole in batches:
+            for at in range(0, len(whole), 4096):
+                batch = whole.slice(at, 4096)
+                value, edge = unpacked(batch.column(batch.schema.get_field_index("hashes")), np.dtype("<u4"))
+                lone, lone_edge = unpacked(batch.column(batch.schema.get_field_index("single")).fill_null(b""), np.dtype("<u4"))
+                rows = np.arange(len(batch), dtype=np.uint64) << np.uint64(32)
+                row = np.repeat(np.arange(len(batch)), np.diff(edge))
+                match = ~np.isin(rows[row] | value, np.repeat(rows, np.diff(lone_edge)) | lone)
+                good = _dense(match, _weights(row, value), np.diff(edge), least, percent) if len(value) else np.zeros(len(batch), bool)
+                yield batch.drop_columns(["single"]).filter(pa.array(good, pa.bool_()))
 
     return joined.mapInArrow(scan, around.schema)
 
 
-def _rest(
-    met: DataFrame, spans: DataFrame, noded: DataFrame, nodes: DataFrame, least: int, enough: int, percent: int
-) -> DataFrame:
+def _rest(met: DataFrame, spans: DataFrame, texts: DataFrame, least: int, enough: int, percent: int) -> DataFrame:
     """Spans of passages that the stars did not test, see ``_spans``.
 
     The open windows of a group are compared with all others of the group, block
@@ -708,7 +945,6 @@ def _rest(
     # In a group of two the only pair is tested.
     keys = keys.filter("some and n > 2 and low < high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"))
     members = pinned(rows.join(pinned(keys, "open-keys"), "key"), "open-members")
-    texts = pinned(_texts(noded, nodes, members.select(F.col("doc_id").alias("node"))), "open-texts")
     small = _around(members.filter("chunks = 1"), texts, least)
     hot = pinned(_held(members.filter("chunks > 1"), texts, least, percent), "hot-members-left")
     left = hot.groupBy("key").agg(F.max("open").alias("some"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")).filter("some")
@@ -764,6 +1000,26 @@ def merged(spans: DataFrame) -> DataFrame:
     )
 
 
+def _known(noded: DataFrame) -> DataFrame:
+    """``doc_id``, ``node``, ``twin`` and ``words``, the number of words, of each document."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column(3))
+            count = [np.zeros(0, np.int64)]
+            for i, j in slices(offsets):
+                edge = offsets[i : j + 1] - offsets[i]
+                inside = SPACED[data[offsets[i] : offsets[j]]]
+                starts = inside.copy()
+                starts[1:] &= ~inside[:-1]
+                border = edge[:-1][edge[:-1] < len(inside)]
+                starts[border] = inside[border]
+                count.append(np.diff(np.concatenate([[0], np.cumsum(starts)])[edge]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.concatenate(count))], ["doc_id", "node", "twin", "words"])
+
+    return noded.select("doc_id", "node", "twin", "text").mapInArrow(scan, "doc_id long, node long, twin long, words long")
+
+
 def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, enough: int = ENOUGH, percent: int = PERCENT) -> DataFrame:
     """Passages of at least ``least_words`` words that another document holds too.
 
@@ -781,24 +1037,24 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, enough: i
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     noded = given.withColumns({"node": node_of(F.col("text")), "twin": twin_of(F.col("text"))})
-    nodes = noded.groupBy("node", "twin").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    # What is asked of all documents later, without their texts.
+    known = pinned(_known(noded), "documents")
+    nodes = known.groupBy("node", "twin").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     nodes = pinned(nodes, "nodes")
     met = _met(noded, least)
-    pairs = pinned(_pairs(met, noded, least, enough), "passage-pairs")
-    ids = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    texts = pinned(_texts(noded, nodes, ids), "passage-texts")
+    pairs = pinned(_pairs(met, known, least, enough), "passage-pairs")
+    # The texts of all pairs, and of the windows that are left, are those that share a window.
+    texts = pinned(_texts(noded, nodes, met.select(F.col("a").alias("node"))), "passage-texts")
     spans = pinned(_spans(pairs, texts, least, percent), "spans")
-    found = merged(spans.unionByName(_rest(met, spans, noded, nodes, least, enough, percent)))
+    found = merged(spans.unionByName(_rest(met, spans, texts, least, enough, percent)))
     others = nodes.select(F.col("node").alias("other"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
-    members = noded.select("doc_id", "node").distinct()
+    members = known.select("doc_id", "node").distinct()
     other = F.when(F.col("other_low") == F.col("doc_id"), F.col("other_high")).otherwise(F.col("other_low"))
     near = found.join(others, "other").join(members, "node").select(
         "doc_id", F.col("first").cast("long").alias("first_word"), (F.col("last") + SHINGLE).cast("long").alias("end_word"),
         "similarity", other.alias("other_id"), "n_found",
     ).filter("other_id <> doc_id")
-    # Counted before the join, so that no text is shuffled for it.
-    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    counted = noded.select("doc_id", "node", "twin", words.alias("end_word")).filter(F.col("end_word") >= least_words)
+    counted = known.withColumnRenamed("words", "end_word").filter(F.col("end_word") >= least_words)
     whole = counted.join(nodes.filter("low < high"), ["node", "twin"]).distinct().select(
         "doc_id", F.lit(0).cast("long").alias("first_word"), "end_word", F.lit(1.0).alias("similarity"),
         F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("other_id"),

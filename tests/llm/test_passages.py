@@ -270,3 +270,96 @@ def test_a_repeated_word_is_one_row_of_its_group(make, monkeypatch):
     found = passages.repeated_passages(make(rows, "doc_id long, text string")).collect()
     assert sizes == [1] and {r["doc_id"] for r in found} == {0, 1, 2, 3}
     assert all(r["first_word"] <= 20 and r["end_word"] >= 200 + r["doc_id"] for r in found)
+
+
+def test_repeated_lines_need_no_look_at_each_pair(monkeypatch):
+    """Rows around runs of one word, too short in all but one of them, and of lines that are too unlike."""
+    rng = np.random.default_rng(8)
+    least = 46
+    own = lambda n: rng.integers(1, 1 << 62, n, dtype=np.uint64)
+    few = own(3)
+    rows = [np.concatenate([few[rng.integers(0, 3, 20)], own(25), np.full(25 + 40 * (i == 0), 7, np.uint64), own(45)]) for i in range(20)]
+    line = own(50)
+    for i in range(20):
+        other = line.copy()
+        other[rng.choice(50, 12, replace=False)] = own(12)
+        rows.append(np.tile(other, 12))
+    calls = []
+    whole = passages.verified
+    assert not any(whole(a, b, [(0, len(a) - 1)], least, 80) for i, a in enumerate(rows) for b in rows[:i])
+    monkeypatch.setattr(passages, "verified", lambda *a: calls.append(1) or whole(*a))
+    size = [len(x) for x in rows]
+    group = np.repeat([0, 1], 20)
+    found = passages.group_pairs(
+        group, np.arange(40), np.arange(40), np.ones(40, bool), np.concatenate(rows), np.concatenate([[0], np.cumsum(size)]), least, 80
+    )
+    assert found == [] and not calls
+
+
+def test_long_rows_that_repeat_themselves_equal_all_pairs():
+    rng = np.random.default_rng(9)
+    least = 10
+    hits = 0
+    for trial in range(40):
+        n = int(rng.integers(3, 9))
+        words = rng.integers(1, 1 << 62, 30, dtype=np.uint64)
+        rows = []
+        for _ in range(n):
+            line = words[: int(rng.integers(1, 30))].copy()
+            line[rng.choice(len(line), int(rng.integers(0, 1 + len(line) // 4)), replace=False)] = 5
+            parts = [np.tile(line, int(rng.integers(1, 8))), rng.integers(1, 1 << 62, int(rng.integers(0, 60)), dtype=np.uint64)]
+            rows.append(np.concatenate([parts[k] for k in rng.permutation(2)])[:150])
+        edge = np.concatenate([[0], np.cumsum([len(x) for x in rows])])
+        ids = np.arange(n)
+        found = passages.group_pairs(np.zeros(n, int), ids, ids, np.ones(n, bool), np.concatenate(rows), edge, least, 80)
+        similar = lambda i, j: bool(passages.verified(rows[i], rows[j], [(0, len(rows[i]) - 1)], least, 80))
+        assert all(similar(i, j) or similar(j, i) or passages._equal_runs(
+            np.zeros(2, int), np.arange(2), np.arange(2), np.concatenate([rows[i], rows[j]]), np.array([0, len(rows[i]), len(rows[i]) + len(rows[j])]), least
+        ).min() < 2 for i, j in found)
+        met = {k for pair in found for k in pair}
+        want = {i for i in range(n) if any(similar(i, j) for j in range(n) if j != i)}
+        assert want <= met
+        hits += len(want)
+    assert hits > 20
+
+
+def test_windows_move_in_few_rows(make):
+    """Windows are records of a few rows, a row for each bucket and task; none is lost."""
+    rng = random.Random(12)
+    rows = [(i, i, " ".join(prose(rng, 300))) for i in range(40)]
+    docs = make(rows, "node long, doc_id long, text string").coalesce(2)
+    found = passages.text_windows(docs, 46, 8).collect()
+    assert len(found) <= 16 and {r["bucket"] for r in found} <= set(range(8))
+    kind, _ = passages._kinds(46)
+    windows = np.concatenate([np.frombuffer(r["records"], kind) for r in found])
+    assert len(windows) > 40 * 5 * 3 and set(windows["doc"].tolist()) == set(range(40))
+    assert (windows["before"] < 46).all() and (windows["after"] < 46).all()
+
+
+def test_a_star_of_each_key():
+    rng = np.random.default_rng(3)
+    kind, _ = passages._kinds(46)
+    windows = np.zeros(300, kind)
+    windows["key"], windows["doc"] = rng.integers(0, 40, 300), rng.integers(0, 60, 300)
+    windows["node"], windows["place"] = windows["doc"] // 3, rng.integers(0, 3, 300)
+    want = set()
+    for key in range(40):
+        own = windows[windows["key"] == key]
+        if len(set(own["node"].tolist())) > 1:
+            low, high = own["doc"].min(), own["doc"].max()
+            want |= {(key, int(w["node"]), int(high if w["doc"] == low else low), int(w["place"])) for w in own}
+    found = [(int(w["key"]), int(w["node"]), int(w["doc"]), int(w["place"])) for w in passages.star(windows)]
+    assert len(found) == len(set(found)) and set(found) == want
+
+
+def test_texts_are_read_without_a_pattern(make):
+    """Words are counted once, by bytes; texts of pairs and of open windows are one table."""
+    from fitweave.shared import recorded_plans
+
+    rng = random.Random(5)
+    passage = prose(rng, 60)
+    rows = [(i, " ".join(prose(rng, 40) + passage + prose(rng, 40))) for i in range(6)] + [(9, "\u00a0\t\n a " + "b \x0b" * 60)] * 2 + [(10, None), (11, "")]
+    with recorded_plans() as plans:
+        found = passages.repeated_passages(make(rows + [(12, rows[6][1])], "doc_id long, text string"))
+    assert not any("regexp" in p for p in plans) and "regexp" not in found._jdf.queryExecution().toString()
+    assert {(r["doc_id"], r["end_word"]) for r in found.collect() if r["doc_id"] > 8} == {(9, 62), (12, 62)}
