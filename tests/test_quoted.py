@@ -97,3 +97,21 @@ def test_lines_become_texts_by_blocks(spark, tmp_path):
     assert pieces and all("block#" in p for p in pieces)
     assert not any(re.search(r"Exchange hashpartitioning\(file#[^\n]*part#[^\n]*ENSURE", p) and "value#" in p for p in pieces)
     assert Counter(map(tuple, found.collect())) == Counter(rows)
+
+
+def test_lines_meet_before_they_move(spark, tmp_path):
+    """No line is moved or sorted on its own: a block is one text before its exchange."""
+    path = str(tmp_path / "rows")
+    rows = [(i, "line\n" * 50, "a;\"b\"\n", None) for i in range(400)]
+    write_delimited(spark.createDataFrame(rows, SCHEMA).coalesce(1), path)
+    with recorded_plans() as plans:
+        found = read_quoted(spark, path, spark.createDataFrame([], SCHEMA).schema, null_texts=[""], file_order=True)
+    blocks = [p for p in plans if "value#" in p and "partial_collect_list" in p]
+    below = [p[p.index("partial_collect_list") :].split("FileScan text")[0] for p in blocks]
+    assert below and not any("Exchange hashpartitioning" in x or "Window" in x for x in below)
+    got = found.collect()
+    assert Counter(tuple(r)[:4] for r in got) == Counter(rows)
+    assert [r.id for r in sorted(got, key=lambda r: (r.file, r.file_part, r.file_row))] == list(range(400))
+    # A record's place is the number of its first line: 51 lines and one more each, after the header.
+    places = sorted(r.file_row for r in got if r.file_part == 0)
+    assert places[0] % (1 << 33) == 1 and {b - a for a, b in zip(places, places[1:])} == {52}
