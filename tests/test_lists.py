@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from fitweave.functions.cells import list_text
-from fitweave.operators.lists import ordered_lists, with_positions
+from fitweave.operators.lists import dealt_pages, ordered_lists, with_positions
 from fitweave.operators.pivot import pivot_text
 from fitweave.plans.jobs import barcode_lists
 from fitweave.shared import recorded_plans
@@ -84,3 +84,15 @@ def test_only_long_groups_are_range_sorted(spark):
             found = ordered_lists(df, ["k"], {"v": F.col("v")}, ["at"], page_rows=page_rows)
         plans = [*plans, found._jdf.queryExecution().executedPlan().toString()]
         assert any("rangepartitioning" in p for p in plans) == ranged
+
+
+def test_short_groups_of_the_source_need_no_count(spark):
+    """Rows are not made to count them where no group of their source is beyond a page; they are where one is."""
+    made = spark.sparkContext.accumulator(0)
+    source = spark.createDataFrame([(k, i) for k in range(3) for i in range(4)], "k int, at int")
+    found = source.filter(F.udf(lambda x: made.add(1) or x > 1, "boolean")("at"))
+    for most, pages in ((4, {0}), (2, {0}), (1, {0, 1})):
+        before = made.value
+        paged = dealt_pages(found, ["k"], ["at"], most, source)
+        assert (made.value == before) == (most == 4)
+        assert {r["page"] for r in paged.collect()} == pages and paged.count() == 6
